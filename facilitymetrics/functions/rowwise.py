@@ -2,56 +2,52 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ColumnOrName = Column | str
-
 
-def _columns(items: tuple[ColumnOrName, ...]) -> list[Column]:
-    return [F.col(item) if isinstance(item, str) else item for item in items]
+def _listed(names: tuple[str, ...], pattern: str, separator: str) -> str:
+    """SQL text repeating a pattern for each column name."""
+    return separator.join(pattern.format(f"`{name}`") for name in names)
 
 
-def strict_sum(*items: ColumnOrName) -> Column:
+def strict_sum(*names: str) -> Column:
     """Left-to-right sum; one missing part makes the total missing."""
-    return reduce(add, _columns(items))
+    return F.expr(_listed(names, "{}", " + "))
 
 
-def lenient_sum(*items: ColumnOrName) -> Column:
+def lenient_sum(*names: str) -> Column:
     """Left-to-right sum as double in which a missing part counts as 0.0."""
-    return reduce(add, [F.coalesce(item, F.lit(0.0)) for item in _columns(items)])
+    return F.expr(_listed(names, "coalesce({}, 0D)", " + "))
 
 
-def missing_count(*items: ColumnOrName) -> Column:
+def missing_count(*names: str) -> Column:
     """How many of the columns are null in this row."""
-    return reduce(add, [item.isNull().cast("int") for item in _columns(items)])
+    return F.expr(_listed(names, "int({} IS NULL)", " + "))
 
 
-def row_max(*items: ColumnOrName) -> Column:
-    return F.greatest(*_columns(items))
+def row_max(*names: str) -> Column:
+    """Largest present value; null when there is none."""
+    return F.expr(f"greatest({_listed(names, '{}', ', ')})")
 
 
-def row_min(*items: ColumnOrName) -> Column:
-    return F.least(*_columns(items))
+def row_min(*names: str) -> Column:
+    """Smallest present value; null when there is none."""
+    return F.expr(f"least({_listed(names, '{}', ', ')})")
 
 
-def row_range(*items: ColumnOrName) -> Column:
+def row_range(*names: str) -> Column:
     """Largest minus smallest present value; 0 with one value, null with none."""
-    return row_max(*items) - row_min(*items)
+    return row_max(*names) - row_min(*names)
 
 
-def safe_ratio(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
+def safe_ratio(numerator: Column | str, denominator: Column | str) -> Column:
     """Quotient that is null, not an error, for a zero divisor (in ANSI mode too)."""
-    top, bottom = _columns((numerator, denominator))
-    return F.try_divide(top, bottom)
+    return F.try_divide(numerator, denominator)
 
 
-def finite_or_null(item: ColumnOrName) -> Column:
+def finite_or_null(value: Column) -> Column:
     """The value, or null where it is infinite or not a number."""
-    (value,) = _columns((item,))
     return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 

@@ -8,7 +8,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from facilitymetrics.functions.rowwise import (
     lenient_sum,
@@ -73,11 +72,10 @@ def derive_quality(df: DataFrame) -> DataFrame:
 
 
 def derive_state_averages(df: DataFrame) -> DataFrame:
-    cycles = [F.col(f"`{name}`") for name in CYCLE_DEFICIENCIES]
     return df.withColumns(
         {
-            "all_cycle_total_health_deficiencies": lenient_sum(*cycles),
-            "total_health_deficiencies_range": row_range(*cycles),
+            "all_cycle_total_health_deficiencies": lenient_sum(*CYCLE_DEFICIENCIES),
+            "total_health_deficiencies_range": row_range(*CYCLE_DEFICIENCIES),
         }
     )
 

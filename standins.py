@@ -12,14 +12,12 @@ they are computed from the part key, not joined in.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from facilitymetrics.operators.joins import STATE_NAMES
 from facilitymetrics.operators.reshape import renamed
 from facilitymetrics.plans.curate import DERIVE
 from facilitymetrics.schemas import (
-    CYCLE_DEFICIENCIES,
     PBJ,
     PROVIDER_INFO,
     QUALITY,
@@ -27,121 +25,122 @@ from facilitymetrics.schemas import (
     STATE_AVERAGES,
 )
 
-STATE_CODES = list(STATE_NAMES)
+_CODES = ", ".join(f"'{code}'" for code in STATE_NAMES)
+_QUARTER = "concat(year(l_shipdate), 'Q', quarter(l_shipdate))"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _state(key: str) -> Column:
+def _state(key: str) -> str:
     """One of the state codes by key; one key in 54 has none."""
-    codes = F.array(*[F.lit(code) for code in STATE_CODES])
-    return F.get(codes, (F.col(key) % (len(STATE_CODES) + 1)).cast("int"))
+    return f"get(array({_CODES}), cast({key} % {len(STATE_NAMES) + 1} as int))"
 
 
-def _name(key: str) -> Column:
+def _name(key: str) -> str:
     """Three consecutive keys share a name."""
-    return F.concat(F.lit("FACILITY "), F.expr(f"{key} div 3").cast("string"))
+    return f"concat('FACILITY ', {key} div 3)"
 
 
-def _quarter(day: str) -> Column:
-    return F.concat(F.year(day).cast("string"), F.lit("Q"), F.quarter(day).cast("string"))
-
-
-def _unless(condition: Column, value: Column | str) -> Column:
-    return F.when(~condition, F.col(value) if isinstance(value, str) else value)
+def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{value} AS `{name}`" for name, value in columns.items()])
 
 
 def refined_provider_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    size = F.col("p_size")
-    return table(spark, sf_dir, "part").select(
-        _unless(size == 13, F.col("p_partkey").cast("string")).alias(
-            "CMS Certification Number (CCN)"
-        ),
-        _name("p_partkey").alias("Provider Name"),
-        _state("p_partkey").alias("State"),
-        F.col("p_type").alias("Ownership Type"),
-        F.col("p_brand").alias("Provider Type"),
-        F.col("p_name").alias("Provider Address"),
-        F.concat(F.lit("0"), size.cast("string")).alias("Zip Code"),
-        (size - 1).alias("Number of Certified Beds"),
-        F.when(size == 50, F.lit(0.0))
-        .otherwise(F.floor("p_retailprice").cast("double") / 32)
-        .alias("Average Number of Residents per Day"),
-        _unless(size % 6 == 0, size % 6).alias("Overall Rating"),
-        _unless(size % 7 > 5, size % 7).alias("Staffing Rating"),
-        (size % 5 + 1).alias("QM Rating"),
-        (size % 4 + 1).alias("Long-Stay QM Rating"),
-        (size % 3 + 1).alias("Short-Stay QM Rating"),
-        (size.cast("double") / 64).alias("Total nursing staff turnover"),
-        _unless(size % 10 == 0, size.cast("double") / 128).alias("Registered nurse turnover"),
-        (size % 2).alias("Number of administrators who have left the nursing home"),
+    return _select(
+        table(spark, sf_dir, "part"),
+        {
+            "CMS Certification Number (CCN)": "if(p_size = 13, null, string(p_partkey))",
+            "Provider Name": _name("p_partkey"),
+            "State": _state("p_partkey"),
+            "Ownership Type": "p_type",
+            "Provider Type": "p_brand",
+            "Provider Address": "p_name",
+            "Zip Code": "concat('0', p_size)",
+            "Number of Certified Beds": "p_size - 1",
+            "Average Number of Residents per Day":
+                "if(p_size = 50, 0D, double(floor(p_retailprice)) / 32)",
+            "Overall Rating": "nullif(p_size % 6, 0)",
+            "Staffing Rating": "nullif(p_size % 7, 6)",
+            "QM Rating": "p_size % 5 + 1",
+            "Long-Stay QM Rating": "p_size % 4 + 1",
+            "Short-Stay QM Rating": "p_size % 3 + 1",
+            "Total nursing staff turnover": "double(p_size) / 64",
+            "Registered nurse turnover": "if(p_size % 10 = 0, null, double(p_size) / 128)",
+            "Number of administrators who have left the nursing home": "p_size % 2",
+        },
     )
 
 
 def refined_pbj(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = F.col("l_shipdate")
-    line = F.col("l_linenumber")
-    nurse = (F.col("l_quantity") - 1) / 4
-    practical = F.round(F.col("l_discount") * 100) / 4
-    aide = F.round(F.col("l_tax") * 100) / 4
-    return table(spark, sf_dir, "lineitem").select(
-        _unless(F.col("l_quantity") == 50, F.col("l_partkey").cast("string")).alias("PROVNUM"),
-        _unless(line == 7, _name("l_partkey")).alias("PROVNAME"),
-        _unless(F.col("l_discount") == 0.01, _state("l_partkey")).alias("STATE"),
-        (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).alias("WorkDate"),
-        _quarter("l_shipdate").alias("CY_Qtr"),
-        nurse.alias("Hrs_RN"),
-        _unless(line == 3, practical).alias("Hrs_LPN"),
-        aide.alias("Hrs_CNA"),
-        (nurse * 0.75).alias("Hrs_RN_emp"),
-        _unless(line == 3, practical).alias("Hrs_LPN_emp"),
-        (aide * 0.5).alias("Hrs_CNA_emp"),
-        F.when(F.col("l_linestatus") == "F", F.lit(1.0)).otherwise(F.lit(0.0)).alias(
-            "Hrs_NAtrn_emp"
-        ),
-        (line.cast("double") / 2).alias("Hrs_MedAide_emp"),
-        (nurse * 0.25).alias("Hrs_RN_ctr"),
-        _unless(F.col("l_returnflag") == "R", F.lit(0.5)).alias("Hrs_LPN_ctr"),
-        (aide * 0.5).alias("Hrs_CNA_ctr"),
-        F.lit(0.0).alias("Hrs_NAtrn_ctr"),
-        F.lit(0.25).alias("Hrs_MedAide_ctr"),
-        "l_linestatus",
+    nurse = "(l_quantity - 1) / 4"
+    practical = "if(l_linenumber = 3, null, round(l_discount * 100) / 4)"
+    aide = "round(l_tax * 100) / 4"
+    return _select(
+        table(spark, sf_dir, "lineitem"),
+        {
+            "PROVNUM": "if(l_quantity = 50, null, string(l_partkey))",
+            "PROVNAME": f"if(l_linenumber = 7, null, {_name('l_partkey')})",
+            "STATE": f"if(l_discount = 0.01D, null, {_state('l_partkey')})",
+            "WorkDate":
+                "year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate)",
+            "CY_Qtr": _QUARTER,
+            "Hrs_RN": nurse,
+            "Hrs_LPN": practical,
+            "Hrs_CNA": aide,
+            "Hrs_RN_emp": f"{nurse} * 0.75D",
+            "Hrs_LPN_emp": practical,
+            "Hrs_CNA_emp": f"{aide} * 0.5D",
+            "Hrs_NAtrn_emp": "if(l_linestatus = 'F', 1D, 0D)",
+            "Hrs_MedAide_emp": "double(l_linenumber) / 2",
+            "Hrs_RN_ctr": f"{nurse} * 0.25D",
+            "Hrs_LPN_ctr": "if(l_returnflag = 'R', null, 0.5D)",
+            "Hrs_CNA_ctr": f"{aide} * 0.5D",
+            "Hrs_NAtrn_ctr": "0D",
+            "Hrs_MedAide_ctr": "0.25D",
+            "l_linestatus": "l_linestatus",
+        },
     )
 
 
 def refined_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.col("l_linenumber")
-    return table(spark, sf_dir, "lineitem").select(
-        F.col("l_partkey").cast("string").alias("CMS Certification Number (CCN)"),
-        _name("l_partkey").alias("Provider Name"),
-        F.concat(F.lit("SUITE "), F.col("l_suppkey").cast("string")).alias("Provider Address"),
-        F.concat(F.lit("0"), F.col("l_suppkey").cast("string")).alias("Zip Code"),
-        F.concat(F.lit("M"), line.cast("string")).alias("Measure Code"),
-        F.concat(F.lit("Measure "), line.cast("string")).alias("Measure Description"),
-        F.col("l_returnflag").alias("Resident Type"),
-        _quarter("l_shipdate").alias("Measure Period"),
-        _unless(F.col("l_discount") == 0, "l_discount").alias("Q1 Measure Score"),
-        _unless(F.col("l_tax") == 0, "l_tax").alias("Q2 Measure Score"),
-        F.when(F.col("l_returnflag") == "A", F.col("l_quantity")).alias("Q3 Measure Score"),
-        F.when(F.col("l_linestatus") == "F", line.cast("double")).alias("Q4 Measure Score"),
-        F.col("l_extendedprice").alias("Four Quarter Average Score"),
-        F.col("l_shipdate").cast("date").alias("Processing Date"),
+    return _select(
+        table(spark, sf_dir, "lineitem"),
+        {
+            "CMS Certification Number (CCN)": "string(l_partkey)",
+            "Provider Name": _name("l_partkey"),
+            "Provider Address": "concat('SUITE ', l_suppkey)",
+            "Zip Code": "concat('0', l_suppkey)",
+            "Measure Code": "concat('M', l_linenumber)",
+            "Measure Description": "concat('Measure ', l_linenumber)",
+            "Resident Type": "l_returnflag",
+            "Measure Period": _QUARTER,
+            "Q1 Measure Score": "nullif(l_discount, 0D)",
+            "Q2 Measure Score": "nullif(l_tax, 0D)",
+            "Q3 Measure Score": "if(l_returnflag = 'A', l_quantity, null)",
+            "Q4 Measure Score": "if(l_linestatus = 'F', double(l_linenumber), null)",
+            "Four Quarter Average Score": "l_extendedprice",
+            "Processing Date": "date(l_shipdate)",
+        },
     )
 
 
 def raw_state_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, balance = F.col("s_suppkey"), F.col("s_acctbal")
-    first, second, third = CYCLE_DEFICIENCIES
     suppliers = table(spark, sf_dir, "supplier")
     nations = table(spark, sf_dir, "nation")
-    return suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        F.col("n_name").alias("State or Nation"),
-        _unless(key % 7 == 0, balance).alias(first),
-        _unless(key % 3 == 0, F.col("s_nationkey").cast("double")).alias(second),
-        _unless(key % 5 == 0, balance / 2).alias(third),
-        F.lit("2024-10-01").cast("date").alias("Processing Date"),
+    return _select(
+        suppliers.join(nations, suppliers.s_nationkey == nations.n_nationkey),
+        {
+            "State or Nation": "n_name",
+            "Cycle 1 Total Number of Health Deficiencies":
+                "if(s_suppkey % 7 = 0, null, s_acctbal)",
+            "Cycle 2 Total Number of Health Deficiencies":
+                "if(s_suppkey % 3 = 0, null, double(s_nationkey))",
+            "Cycle 3 Total Number of Health Deficiencies":
+                "if(s_suppkey % 5 = 0, null, s_acctbal / 2)",
+            "Processing Date": "date'2024-10-01'",
+        },
     )
 
 
