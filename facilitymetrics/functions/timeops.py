@@ -22,8 +22,10 @@ def parse_workday(df: DataFrame, column: str = "WorkDate") -> Column:
     digits = F.concat_ws(
         "-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)
     )
-    iso = F.when(text.contains("-"), text).when(F.length(text) == 8, digits)
-    return iso.try_cast("date")
+    compact = F.length(text) == 8
+    if isinstance(kind, T.IntegralType):
+        return F.when(compact, digits).try_cast("date")
+    return F.when(text.contains("-"), text).when(compact, digits).try_cast("date")
 
 
 def _resolve(df: DataFrame, column: str) -> str:

@@ -90,14 +90,19 @@ def selected_ids(facilities: DataFrame) -> DataFrame:
     return facilities.select(F.col(CCN).alias("selected_ccn")).distinct()
 
 
-def of_selected(staffing: DataFrame, facilities: DataFrame) -> DataFrame:
+def of_selected(
+    staffing: DataFrame, facilities: DataFrame, missing_ids: bool = True
+) -> DataFrame:
     """Rows of ``staffing`` whose facility is selected; a missing id matches a missing id.
 
     ``staffing`` may be day rows or rows already grouped by facility id.  Callers that
     aggregate should pass the grouped form: Catalyst moves the semi-join below the
     aggregate when the id set is small enough to broadcast (few rows get aggregated), and
     leaves it above otherwise (grouped rows, not day rows, are shuffled for the join, and a
-    hot facility is down to its groups).
+    hot facility is down to its groups).  ``missing_ids=False`` makes it a plain equi-join
+    for rows known to have an id.
     """
     ids = selected_ids(facilities)
-    return staffing.join(ids, staffing[CCN].eqNullSafe(ids["selected_ccn"]), "left_semi")
+    have, wanted = staffing[CCN], ids["selected_ccn"]
+    same = have.eqNullSafe(wanted) if missing_ids else have == wanted
+    return staffing.join(ids, same, "left_semi")

@@ -22,4 +22,4 @@ def facility_staffing(
     Day rows are grouped first and matched afterwards; see ``of_selected``.
     """
     means = group_mean(pbj, keys, "Total_Nurse_Hrs", "avg_total_nurse_hrs")
-    return of_selected(means, facilities)
+    return of_selected(means, facilities, missing_ids=False)
