@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -113,13 +114,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     The folder is the cluster's ``spark.checkpoint.dir``.  Only a local session without
     that setting falls back to the machine's temporary folder.
     """
-    context = spark.sparkContext
-    shared = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        run = spark.sql("SELECT uuid()").first()[0]
-        return _join(shared, f"{name}-{run}")
-    if context.master.startswith("local"):
+        return _join(shared, f"{name}-{uuid.uuid4()}")
+    if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix=f"run-{name}-")
     raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")

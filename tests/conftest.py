@@ -12,11 +12,20 @@ from facilitymetrics.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def shared_dir(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("shared"))
+
+
+@pytest.fixture(scope="session")
+def spark(shared_dir):
     session = build_session(
         "tests",
         "local[4]",
-        {"spark.sql.shuffle.partitions": "4", "spark.ui.showConsoleProgress": "false"},
+        {
+            "spark.sql.shuffle.partitions": "4",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": shared_dir,
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
