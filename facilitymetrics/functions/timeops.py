@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 def parse_workday(df: DataFrame, column: str = "WorkDate") -> Column:
     """Date of a work-day column held as ``yyyyMMdd`` number or text, ISO text or a date.
 
-    Anything that is no calendar day becomes null.  The digits are put into ISO form and
+    Anything that is no calendar day becomes null.  The parts are put into ISO form and
     cast, which stays on Spark's own date parser; a pattern-based parse runs a formatter
     for every row.
     """
@@ -18,14 +18,15 @@ def parse_workday(df: DataFrame, column: str = "WorkDate") -> Column:
     kind = df.schema[_resolve(df, column)].dataType
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return day.cast("date")
-    text = day.cast("string")
+    if isinstance(kind, T.IntegralType):
+        year, month = F.expr(f"`{column}` div 10000"), F.expr(f"`{column}` div 100 % 100")
+        iso = F.concat_ws("-", *[part.cast("string") for part in (year, month, day % 100)])
+        return F.when(day.between(1000_01_01, 9999_12_31), iso).try_cast("date")
     digits = F.concat_ws(
-        "-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)
+        "-", F.substring(day, 1, 4), F.substring(day, 5, 2), F.substring(day, 7, 2)
     )
-    compact = F.length(text) == 8
-    if isinstance(kind, T.IntegralType):
-        return F.when(compact, digits).try_cast("date")
-    return F.when(text.contains("-"), text).when(compact, digits).try_cast("date")
+    iso = F.when(day.contains("-"), day).when(F.length(day) == 8, digits)
+    return iso.try_cast("date")
 
 
 def _resolve(df: DataFrame, column: str) -> str:

@@ -11,7 +11,7 @@ import argparse
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from facilitymetrics.operators.reshape import missing_sources
 from facilitymetrics.operators.select import (
@@ -42,6 +42,7 @@ from facilitymetrics.sources.lake import (
     read_refined,
     write_parquet,
 )
+from facilitymetrics.sources.sizing import size_tasks
 
 log = logging.getLogger("facilitymetrics")
 
@@ -49,6 +50,7 @@ log = logging.getLogger("facilitymetrics")
 def refine(spark: SparkSession, csv_path: str, lake: Lake) -> int:
     """Raw CSV of state averages to the refined layer; returns the rows written."""
     raw = read_csv(spark, csv_path, REFINED[STATE_AVERAGES])
+    size_tasks(spark, raw)
     return write_parquet(refine_state_averages(raw), lake.refined_path(STATE_AVERAGES))
 
 
@@ -62,6 +64,7 @@ def curate_dataset(
 ) -> int:
     """Refined to curated for one dataset; returns the rows written."""
     refined = read_refined(spark, lake, dataset)
+    size_tasks(spark, refined)
     if missing := missing_sources(refined, RENAMES[dataset]):
         log.warning("%s: columns to rename are missing: %s", dataset, missing)
     for finding in schema_findings(refined, REFINED[dataset]):
@@ -85,9 +88,10 @@ def build_reports(
     """
     pbj = read_curated(spark, lake, PBJ)
     provider = read_curated(spark, lake, PROVIDER_INFO)
+    size_tasks(spark, pbj, provider)
     rows: dict[str, int] = {}
 
-    def write(name, table):
+    def write(name: str, table: DataFrame) -> DataFrame:
         path = f"{out_root.rstrip('/')}/{name}"
         rows[name] = write_parquet(table, path)
         return read_parquet(spark, path)

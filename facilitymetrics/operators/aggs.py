@@ -19,11 +19,6 @@ def sum_or_zero(value: str) -> Column:
     return F.coalesce(F.sum(value), F.lit(0.0))
 
 
-def mean_or_zero(value: str) -> Column:
-    """Mean of the present values; 0.0 when there is none."""
-    return F.coalesce(F.avg(value), F.lit(0.0))
-
-
 def mean_or_zero_if_no_rows(value: str) -> Column:
     """Mean of the present values; 0.0 for no rows, null for rows without any value."""
     return F.when(F.count(F.lit(1)) == 0, F.lit(0.0)).otherwise(F.avg(value))
@@ -33,10 +28,6 @@ def group_mean(df: DataFrame, keys: Sequence[str], value: str, name: str) -> Dat
     return present(df, *keys).groupBy(*keys).agg(F.avg(value).alias(name))
 
 
-def group_sum(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    return present(df, *keys).groupBy(*keys).agg(sum_or_zero(value).alias(name))
-
-
 def group_size(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return present(df, *keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facilitymetrics.functions.timeops import month_label, month_start, parse_workday
-from facilitymetrics.operators.aggs import group_size, group_sum
+from facilitymetrics.operators.aggs import group_size
 from facilitymetrics.operators.ordering import ranked
 from facilitymetrics.operators.select import present
 from facilitymetrics.plans.facility_staffing import FACILITY_STATE
@@ -24,15 +24,26 @@ from facilitymetrics.schemas import CCN
 HOURS = "Total_Nurse_Hrs"
 
 
-def _dated(staffing: DataFrame) -> DataFrame:
-    """Rows that belong to a facility month; ``month`` is added to day rows as a date."""
+def _rolled_up(staffing: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hours by key over rows that belong to a facility month.
+
+    ``month`` is added to day rows as a date.  Undated rows are left out inside the
+    aggregate: a filter on the parsed month would be evaluated ahead of the projection, and
+    every work date would be parsed twice.
+    """
     if "month" not in staffing.columns:
         staffing = staffing.withColumn("month", month_start(parse_workday(staffing)))
-    return present(staffing, *FACILITY_STATE, "month")
-
-
-def _rolled_up(staffing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return group_sum(_dated(staffing), keys, HOURS, HOURS)
+    dated_hours = F.when(F.col("month").isNotNull(), F.col(HOURS))
+    return (
+        present(staffing, *FACILITY_STATE)
+        .groupBy(*keys)
+        .agg(
+            F.coalesce(F.sum(dated_hours), F.lit(0.0)).alias(HOURS),
+            F.count("month").alias("dated_rows"),
+        )
+        .filter(F.col("dated_rows") > 0)
+        .drop("dated_rows")
+    )
 
 
 def _labelled(rolled_up: DataFrame) -> DataFrame:

@@ -16,6 +16,9 @@ from facilitymetrics.functions.timeops import month_label, month_start, parse_wo
         ("int", 20230229, None),
         ("int", 20241301, None),
         ("int", 2024100, None),
+        ("int", 202411011, None),
+        ("int", -20241001, None),
+        ("int", 20241000, None),
         ("int", None, None),
         ("string", "20241001", datetime.date(2024, 10, 1)),
         ("string", "2024-10-01", datetime.date(2024, 10, 1)),

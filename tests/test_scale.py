@@ -15,6 +15,7 @@ from facilitymetrics.operators.select import FacilityFilter
 from facilitymetrics.plans import occupancy, rollups, staffing
 from facilitymetrics.plans.facility_staffing import facility_staffing
 from facilitymetrics.schemas import CCN
+from facilitymetrics.sources.sizing import input_bytes, settings_for
 
 ROWS = 6000
 FOR_PROFIT = FacilityFilter(owner="For profit")
@@ -208,3 +209,19 @@ def test_hot_facility_is_split_in_a_day_row_semi_join(spark, stored, tmp_path):
             spark.conf.unset(key)
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert "skew=true" in plan
+
+
+@pytest.mark.parametrize(
+    ("size", "partitions", "split_mib"),
+    [(0, 200, 128), (1 << 40, 2048, 128), (100 << 40, 32768, 800), (1 << 50, 32768, 1024)],
+)
+def test_task_counts_follow_the_input(size, partitions, split_mib):
+    assert settings_for(size, 200) == {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(split_mib << 20),
+    }
+
+
+def test_input_size_is_known_without_reading(stored):
+    days, facilities = stored
+    assert input_bytes(days) > input_bytes(facilities) > 0
