@@ -21,7 +21,7 @@ SPLIT_BYTES = (128 * MIB, 1024 * MIB)
 def input_bytes(*tables: DataFrame) -> int:
     """Size on disk of the files that the tables scan, as Catalyst's statistics have it."""
     plans = [table._jdf.queryExecution().optimizedPlan() for table in tables]
-    return sum(int(plan.stats().sizeInBytes().toString()) for plan in plans)
+    return sum(int(plan.stats().sizeInBytes()) for plan in plans)
 
 
 def settings_for(size: int, partitions: int) -> dict[str, str]:
