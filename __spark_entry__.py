@@ -25,10 +25,11 @@ from facilitymetrics.operators.select import (  # noqa: E402
 )
 from facilitymetrics.plans import occupancy, rollups, staffing  # noqa: E402
 from facilitymetrics.plans.curate import curate, refine_state_averages  # noqa: E402
-from facilitymetrics.plans.facility_staffing import (  # noqa: E402
+from facilitymetrics.plans.facility_staffing import facility_staffing  # noqa: E402
+from facilitymetrics.plans.summary import (  # noqa: E402
     FACILITY,
     FACILITY_STATE,
-    facility_staffing,
+    staffing_summary,
 )
 from facilitymetrics.schemas import (  # noqa: E402
     CCN,
@@ -330,6 +331,7 @@ def queries() -> dict[str, Query]:
         "provider_detail_staffing": _over_both(staffing.provider_detail),
         "hours_per_resident_by_state": _hours_per_resident(ANY),
         # roll-ups of the whole staffing table
+        "staffing_summary": _over(PBJ, lambda df: _iso_dates(staffing_summary(df))),
         "monthly_hours": _over(PBJ, rollups.monthly_hours),
         "hours_by_month": _over(PBJ, rollups.hours_by_month),
         "hours_by_state": _over(PBJ, rollups.hours_by_state),

@@ -23,7 +23,8 @@ from facilitymetrics.operators.select import (
 )
 from facilitymetrics.plans import occupancy, rollups, staffing
 from facilitymetrics.plans.curate import curate, refine_state_averages
-from facilitymetrics.plans.facility_staffing import FACILITY_STATE, facility_staffing
+from facilitymetrics.plans.facility_staffing import facility_staffing
+from facilitymetrics.plans.summary import FACILITY_STATE, staffing_summary
 from facilitymetrics.schemas import (
     DATASETS,
     PBJ,
@@ -82,9 +83,9 @@ def build_reports(
 ) -> dict[str, int]:
     """Write every report table below ``out_root``; returns the rows written per table.
 
-    Tables that others are computed from (facility months, facility analysis) are written
-    first and read back, so the staffing table is not aggregated again for each of them and
-    a lost executor costs at most the table being written.
+    Tables that others are computed from (staffing summary, facility analysis, indicators)
+    are written first and read back, so the staffing table is scanned once and a lost
+    executor costs at most the table being written.
     """
     pbj = read_curated(spark, lake, PBJ)
     provider = read_curated(spark, lake, PROVIDER_INFO)
@@ -96,11 +97,12 @@ def build_reports(
         rows[name] = write_parquet(table, path)
         return read_parquet(spark, path)
 
-    months = write("monthly_hours", rollups.monthly_hours(pbj))
-    write("hours_by_month", rollups.hours_by_month(months))
-    write("hours_by_state", rollups.hours_by_state(months))
-    write("hours_by_provider", rollups.hours_by_provider(months))
-    write("record_completeness", rollups.record_completeness(pbj))
+    summary = write("staffing_summary", staffing_summary(pbj))
+    write("monthly_hours", rollups.monthly_hours(summary))
+    write("hours_by_month", rollups.hours_by_month(summary))
+    write("hours_by_state", rollups.hours_by_state(summary))
+    write("hours_by_provider", rollups.hours_by_provider(summary))
+    write("record_completeness", rollups.record_completeness(summary))
 
     write("options_state", state_options(provider))
     write("options_owner", owner_options(provider))
@@ -116,20 +118,24 @@ def build_reports(
     write("occupancy_ranking", occupancy.occupancy_ranking(provider, choice))
     write(
         "facility_staffing",
-        facility_staffing(pbj, choice.full_scope(provider), FACILITY_STATE),
+        facility_staffing(summary, choice.full_scope(provider), FACILITY_STATE),
     )
     write(
-        "occupancy_facility_analysis", occupancy.facility_analysis(pbj, provider, choice)
+        "occupancy_facility_analysis",
+        occupancy.facility_analysis(summary, provider, choice),
     )
 
     analysis = write(
-        "staffing_facility_analysis", staffing.facility_analysis(pbj, provider, choice)
+        "staffing_facility_analysis",
+        staffing.facility_analysis(summary, provider, choice),
     )
     write("hours_per_resident_by_state", staffing.hours_per_resident_by_state(analysis))
-    kpis = write("staffing_kpis", staffing.staffing_kpis(pbj, provider, choice))
+    kpis = write("staffing_kpis", staffing.staffing_kpis(summary, provider, choice))
     write("staffing_kpi_text", staffing.staffing_kpi_text(kpis))
     write("staffing_mix", staffing.labelled_hours(kpis))
-    write("staffing_provider_detail", staffing.provider_detail(pbj, provider, choice))
+    write(
+        "staffing_provider_detail", staffing.provider_detail(summary, provider, choice)
+    )
     return rows
 
 

@@ -6,12 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from facilitymetrics.operators.aggs import group_mean
 from facilitymetrics.operators.joins import of_selected
-from facilitymetrics.schemas import CCN
-
-FACILITY = (CCN, "provider_name")
-FACILITY_STATE = FACILITY + ("state",)
+from facilitymetrics.operators.select import present
+from facilitymetrics.plans.summary import FACILITY, additive_rows, mean_daily_hours
 
 
 def facility_staffing(
@@ -19,7 +16,11 @@ def facility_staffing(
 ) -> DataFrame:
     """Mean of the daily totals by facility for the given selection of facilities.
 
-    Day rows are grouped first and matched afterwards; see ``of_selected``.
+    Rows are grouped first and matched afterwards; see ``of_selected``.
     """
-    means = group_mean(pbj, keys, "Total_Nurse_Hrs", "avg_total_nurse_hrs")
+    means = (
+        present(additive_rows(pbj), *keys)
+        .groupBy(*keys)
+        .agg(mean_daily_hours().alias("avg_total_nurse_hrs"))
+    )
     return of_selected(means, facilities, missing_ids=False)

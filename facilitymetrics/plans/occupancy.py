@@ -11,7 +11,8 @@ from facilitymetrics.operators.aggs import group_mean, group_size, mean_or_zero_
 from facilitymetrics.operators.joins import with_state_name
 from facilitymetrics.operators.ordering import first_row, ranked, ranked_rows
 from facilitymetrics.operators.select import EVERYTHING, FacilityFilter
-from facilitymetrics.plans.facility_staffing import FACILITY, FACILITY_STATE, facility_staffing
+from facilitymetrics.plans.facility_staffing import facility_staffing
+from facilitymetrics.plans.summary import FACILITY, FACILITY_STATE
 from facilitymetrics.schemas import CCN
 
 
@@ -69,8 +70,8 @@ def beds_by_provider(provider: DataFrame, choice: FacilityFilter = EVERYTHING) -
 
 def providers_by_state(provider: DataFrame, choice: FacilityFilter = EVERYTHING) -> DataFrame:
     """Facility rows (not distinct facilities) per state."""
-    sizes = group_size(choice.chart_scope(provider), ["state"], "facilities")
-    return ranked(sizes, "facilities", ["state"])
+    sizes = group_size(choice.chart_scope(provider), ["state"], "count")
+    return ranked(sizes, "count", ["state"])
 
 
 def facility_analysis(

@@ -1,10 +1,9 @@
 """Unfiltered roll-ups of the staffing table by month, state, provider and quarter.
 
-The monthly table is the finest level.  The coarser ones take either day rows or the
-written monthly table, with the same result: the sum of present values is the same in one
-step or two, and both leave out rows without id, name, state or month.  From day rows a
-single-step roll-up shuffles a few rows per task instead of every facility month; when
-several are wanted, write the monthly table once and roll up from that.
+The monthly table is the finest level; the coarser ones are sums over it.  The sum of present
+values is the same in one step or two, so each is a single aggregate that leaves out the rows the
+monthly table leaves out: those without id, name, state or month.  It shuffles a few rows per
+task instead of every facility month.
 """
 
 from __future__ import annotations
@@ -14,28 +13,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from facilitymetrics.functions.timeops import month_label, month_start, parse_workday
-from facilitymetrics.operators.aggs import group_size
+from facilitymetrics.functions.timeops import month_label
 from facilitymetrics.operators.ordering import ranked
 from facilitymetrics.operators.select import present
-from facilitymetrics.plans.facility_staffing import FACILITY_STATE
+from facilitymetrics.plans.summary import FACILITY_STATE, HOURS, additive_rows
 from facilitymetrics.schemas import CCN
 
-HOURS = "Total_Nurse_Hrs"
-
 
 def _rolled_up(staffing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Hours by key over rows that belong to a facility month.
 
-    ``month`` is added to day rows as a date.  Undated rows are left out inside the
-    aggregate: a filter on the parsed month would be evaluated ahead of the projection, and
-    every work date would be parsed twice.
+    Undated rows are left out inside the aggregate: a filter on the parsed month would be
+    evaluated ahead of the projection, and every work date would be parsed twice.
     """
-    if "month" not in staffing.columns:
-        staffing = staffing.withColumn("month", month_start(parse_workday(staffing)))
     dated_hours = F.when(F.col("month").isNotNull(), F.col(HOURS))
     return (
-        present(staffing, *FACILITY_STATE)
+        present(additive_rows(staffing), *FACILITY_STATE)
         .groupBy(*keys)
         .agg(
             F.coalesce(F.sum(dated_hours), F.lit(0.0)).alias(HOURS),
@@ -48,14 +41,12 @@ def _rolled_up(staffing: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _labelled(rolled_up: DataFrame) -> DataFrame:
     """Write out the month of the grouped rows (far fewer than the day rows)."""
-    if dict(rolled_up.dtypes)["month"] == "date":
-        return rolled_up.withColumn("month", month_label(F.col("month")))
-    return rolled_up
+    return rolled_up.withColumn("month", month_label(F.col("month")))
 
 
-def monthly_hours(pbj: DataFrame) -> DataFrame:
+def monthly_hours(staffing: DataFrame) -> DataFrame:
     """Hours per facility and month."""
-    return _labelled(_rolled_up(pbj, [*FACILITY_STATE, "month"]))
+    return _labelled(_rolled_up(staffing, [*FACILITY_STATE, "month"]))
 
 
 def hours_by_month(staffing: DataFrame) -> DataFrame:
@@ -71,6 +62,11 @@ def hours_by_provider(staffing: DataFrame) -> DataFrame:
     return ranked(_rolled_up(staffing, keys), HOURS, keys)
 
 
-def record_completeness(pbj: DataFrame) -> DataFrame:
+def record_completeness(staffing: DataFrame) -> DataFrame:
     """Staffing records per facility and quarter."""
-    return group_size(pbj, [CCN, "CY_Qtr"], "record_count")
+    keys = [CCN, "CY_Qtr"]
+    return (
+        present(additive_rows(staffing), *keys)
+        .groupBy(*keys)
+        .agg(F.sum("record_count").alias("record_count"))
+    )

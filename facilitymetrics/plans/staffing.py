@@ -24,7 +24,8 @@ from facilitymetrics.operators.joins import of_selected, with_state_name
 from facilitymetrics.operators.ordering import ranked
 from facilitymetrics.operators.reshape import labelled_hours
 from facilitymetrics.operators.select import EVERYTHING, FacilityFilter, present
-from facilitymetrics.plans.facility_staffing import FACILITY, facility_staffing
+from facilitymetrics.plans.facility_staffing import facility_staffing
+from facilitymetrics.plans.summary import FACILITY, additive_rows, mean_daily_hours
 from facilitymetrics.schemas import CCN
 
 
@@ -54,14 +55,14 @@ def hours_per_resident_by_state(analysis: DataFrame) -> DataFrame:
 def _staffing_with_facilities(pbj: DataFrame, facilities: DataFrame) -> DataFrame:
     """Staffing groups of the selection, each with the facility rows it joins to.
 
-    One row per (id, name) on either side: day rows are reduced to a mean and two sums, the
+    One row per (id, name) on either side: staffing rows are reduced to a mean and two sums, the
     facility rows of a key to counts and sums.  A mean over the joined rows is then a sum of
     products, so the staffing table is read once for all indicators, nothing is fanned out
     by repeated facility rows, and a hot key is a single row in the join.  Groups without a
     key are kept here: their hours count in the totals, though they join to no facility.
     """
-    days = pbj.groupBy(*FACILITY).agg(
-        F.avg("Total_Nurse_Hrs").alias("mean_hours"),
+    groups = additive_rows(pbj).groupBy(*FACILITY).agg(
+        mean_daily_hours().alias("mean_hours"),
         F.sum("employee_hrs").alias("employee_hours"),
         F.sum("contractor_hrs").alias("contractor_hours"),
     )
@@ -78,7 +79,7 @@ def _staffing_with_facilities(pbj: DataFrame, facilities: DataFrame) -> DataFram
             F.min(F.struct("state", "ownership_type")).alias("first_facility"),
         )
     )
-    return of_selected(days, facilities).join(rows, list(FACILITY), "left")
+    return of_selected(groups, facilities).join(rows, list(FACILITY), "left")
 
 
 def _joined_means() -> dict[str, Column]:

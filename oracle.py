@@ -396,7 +396,7 @@ from provider""",
         "occupancy_by_provider": _group_mean("occupancy_rate"),
         "beds_by_provider": _group_mean("certified_beds"),
         "providers_by_state": f"""{_WITH_PROVIDER}
-select state, count(*) as facilities from provider where state is not null group by state""",
+select state, count(*) as count from provider where state is not null group by state""",
         "occupancy_ranking": f"""{_WITH_PROVIDER}
 select provider_name, state, occupancy_rate from provider""",
         "facility_analysis_occupancy": f"""{_selected()}
@@ -446,6 +446,12 @@ select provider_name, coalesce(label, state) as state_name, ownership_type,
        {_percent('a.avg_occupancy')} as avg_occupancy
 from first cross join averaged a left join states on state = code""",
         "hours_per_resident_by_state": _hours_per_resident("true"),
+        "staffing_summary": f"""{_WITH_PBJ}
+select ccn as cms_certification_number_ccn, provider_name, state, cy_qtr as "CY_Qtr",
+       month || '-01' as month, sum(total_hrs) as "Total_Nurse_Hrs",
+       count(total_hrs) as hour_days, count(*) as record_count,
+       sum(employee_hrs) as employee_hrs, sum(contractor_hrs) as contractor_hrs
+from pbj group by ccn, provider_name, state, cy_qtr, month""",
         "monthly_hours": f"""{_WITH_PBJ}, {_MONTHS}
 select ccn as cms_certification_number_ccn, provider_name, state, month,
        hours as "Total_Nurse_Hrs" from months""",

@@ -159,6 +159,9 @@ def test_report_job(spark, lake, tmp_path, refined_pbj, refined_provider, pbj):
     )
     kpis = read_parquet(spark, f"{out}/staffing_kpis").first()
     assert (kpis["providers"], kpis["total_employee_hrs"]) == (2, 80.0)
+    assert jobs.build_reports(spark, lake, f"{out}-empty", FacilityFilter(state="ZZ"))[
+        "occupancy_ranking"
+    ] == 0
     for name, count in written.items():
         assert read_parquet(spark, f"{out}/{name}").count() == count
 

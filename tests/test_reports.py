@@ -12,7 +12,8 @@ from facilitymetrics.operators.select import (
 )
 from facilitymetrics.plans import occupancy, rollups, staffing
 from facilitymetrics.plans.curate import curate
-from facilitymetrics.plans.facility_staffing import FACILITY, FACILITY_STATE, facility_staffing
+from facilitymetrics.plans.facility_staffing import facility_staffing
+from facilitymetrics.plans.summary import FACILITY, FACILITY_STATE, staffing_summary
 from facilitymetrics.schemas import CCN
 
 EMPTY = FacilityFilter(state="ZZ")
@@ -165,10 +166,22 @@ def test_rollups(pbj):
     ]
 
 
-def test_rollups_agree_from_days_and_from_months(spark, pbj):
-    months = rollups.monthly_hours(pbj)
-    for rollup in (rollups.hours_by_month, rollups.hours_by_state, rollups.hours_by_provider):
-        assert rows.as_tuples(rollup(months)) == rows.as_tuples(rollup(pbj))
+def test_reports_agree_from_days_and_from_the_summary(pbj, provider):
+    summary = staffing_summary(pbj)
+    for report in (
+        rollups.monthly_hours, rollups.hours_by_month, rollups.hours_by_state,
+        rollups.hours_by_provider, rollups.record_completeness,
+        lambda rows_of: facility_staffing(rows_of, provider, FACILITY),
+        lambda rows_of: facility_staffing(rows_of, provider, FACILITY_STATE),
+        lambda rows_of: occupancy.facility_analysis(rows_of, provider),
+        lambda rows_of: staffing.facility_analysis(rows_of, provider),
+        lambda rows_of: staffing.staffing_kpis(rows_of, provider),
+        lambda rows_of: staffing.staffing_mix(rows_of, provider),
+        lambda rows_of: staffing.provider_detail(rows_of, provider),
+    ):
+        assert report(summary).columns == report(pbj).columns
+        found = rows.as_tuples(report(summary))
+        assert sorted(found, key=str) == sorted(rows.as_tuples(report(pbj)), key=str)
 
 
 def test_rows_without_a_work_day_are_left_out_of_months(spark):
