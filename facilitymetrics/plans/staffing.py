@@ -13,7 +13,6 @@ from facilitymetrics.functions.rowwise import (
     share_or_zero,
 )
 from facilitymetrics.functions.textfmt import (
-    fixed,
     grouped,
     or_not_available,
     percent,
