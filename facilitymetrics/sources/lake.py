@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -108,15 +107,12 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh directory in the folder shared by the executors.
+# Used where the cluster names no shared folder.  Without a scheme, Hadoop resolves it on the
+# default file system, which every executor reaches.
+DEFAULT_SCRATCH = "/tmp/facilitymetrics-scratch"
 
-    The folder is the cluster's ``spark.checkpoint.dir``.  Only a local session without
-    that setting falls back to the machine's temporary folder.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return _join(shared, f"{name}-{uuid.uuid4()}")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix=f"run-{name}-")
-    raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh directory name in the folder shared by the executors (``spark.checkpoint.dir``)."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_SCRATCH
+    return _join(shared, f"{name}-{uuid.uuid4()}")
