@@ -2,28 +2,34 @@
 
 Method
   1. A document is the set of its distinct shingles.  Equal sets form one class, so copies
-     cost one row from here on.  The sketch of a class is the ``sketch`` smallest shingle
+     cost one row from here on.  The sketch of a class is its ``SKETCH`` smallest shingle
      names, all under one hash function.
-  2. Inverted lists: two sets whose Jaccard similarity reaches the threshold share at least
-     ``SHARED`` of their retained values (the expected share is the threshold itself; for
-     0.8 and 48 values the chance of a lower share is below 1e-7).  So they share one of the
-     first ``size - shared + 1`` values, in an order with rare values first.  Only those are
+  2. Inverted lists: of the values that two sketches retain, two similar sets share at least
+     ``least_shared`` with a chance of failure below 1e-7.  So they share one of the first
+     ``size - least_shared + 1`` values, in an order with rare values first.  Only those are
      listed, which keeps passages common to many documents out of the lists.
-  3. The union of two sketches estimates the similarity and drops most unrelated pairs.
+  3. The union of two sketches estimates the similarity and drops unrelated pairs.
   4. The exact Jaccard similarity of the full sets confirms every link.
 
-A list may hold a third of all classes.  It is therefore compared in rounds: all members with
-one member of the list, then with 4, 16 ... of them chosen by hash.  After each round,
-members that are already connected need no further comparison.  When the pairs left are
-few against the lists, or none of 64 such members helps, all pairs of members not yet connected
-are compared.  No list or pair is skipped, and no list is gathered in one task.
+A list may hold a third of all classes, so members are not paired freely.  In rounds, a class
+that precedes (by hash) all classes it shares lists with becomes a pivot.  The listed classes
+within distance ``CORE`` of it are its core.  Jaccard distance is a metric, so whatever is
+linked to a core member lies within ``CORE`` and the link distance from the pivot: the lists of
+the core name it, and its exact distance to the pivot admits it.  What is not linked to the
+pivot itself is compared with the core in blocks of bounded size, by matrix products, which
+return a spanning forest and not the pairs.  Then the core is done and leaves the lists.  Once
+few pairs are left against the length of the lists, they are compared one by one.  No list and
+no pair is skipped, and no list is gathered in one task.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,9 +40,32 @@ from facilitymetrics.llm.components import components
 from facilitymetrics.llm.scratch import written
 
 SKETCH = 48
-# Part of the smaller sketch that two similar sets share at least.
-SHARED = 0.45
-MOST_PIVOTS = 64
+MISSED = 1e-7
+# Largest Jaccard distance of a core member from its pivot.
+CORE = 0.5
+# Rounds after which the pairs left are compared one by one, however many they are.
+MOST_ROUNDS = 4
+# Classes, and shingles, on either side of a block of comparisons.
+BLOCK_ROWS = 512
+BLOCK_SHINGLES = 1 << 20
+_COLUMNS = 4096
+
+
+@lru_cache(None)
+def least_shared(size: int, similarity: float) -> int:
+    """How many of ``size`` retained values two sets of this similarity share at least."""
+    tail = 0.0
+    for n in range(size + 1):
+        tail += math.comb(size, n) * similarity**n * (1 - similarity) ** (size - n)
+        if tail > MISSED:
+            return max(1, n)
+    return size
+
+
+def _least_shared(size, similarity: float):
+    """The same for a column of sketch sizes."""
+    table = [0, *(least_shared(n, similarity) for n in range(1, SKETCH + 1))]
+    return F.element_at(F.array(*map(F.lit, table)), size + 1)
 
 
 def _digest(names: np.ndarray) -> bytes:
@@ -73,12 +102,14 @@ def with_sets(docs: DataFrame, text: str, width: int, lower: bool, sketch: int =
     return docs.mapInArrow(run, schema)
 
 
-def _confirmed(pairs: DataFrame, width: int, lower: bool, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of ``(a, b, text_a, text_b)`` whose full sets are similar enough."""
+def _measured(pairs: DataFrame, width: int, lower: bool) -> DataFrame:
+    """Shared shingles and union of the full sets of ``(a, b, text_a, text_b)``."""
+    schema = "a binary, b binary, shared long, total long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
+            shared = np.zeros(batch.num_rows, np.int64)
+            total = np.zeros(batch.num_rows, np.int64)
             # Sets of one side, a group of bounded size at a time, against the other side's.
             for begin, end, words in W.groups(batch.column(2), lower):
                 left = list(W.shingle_sets(words, width))
@@ -86,16 +117,97 @@ def _confirmed(pairs: DataFrame, width: int, lower: bool, percent: int) -> DataF
                 for _, _, other in W.groups(batch.column(3).slice(begin, end - begin), lower):
                     for right in W.shingle_sets(other, width):
                         own = left[row - begin]
-                        shared = len(np.intersect1d(own, right, assume_unique=True))
-                        union = len(own) + len(right) - shared
-                        keep[row] = 100 * shared >= percent * union
+                        shared[row] = len(np.intersect1d(own, right, assume_unique=True))
+                        total[row] = len(own) + len(right) - shared[row]
                         row += 1
-            yield batch.select([0, 1]).filter(pa.array(keep))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(shared), pa.array(total)],
+                names=["a", "b", "shared", "total"],
+            )
+
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, schema)
+
+
+def _shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many values each pair of sets shares, by products of bounded 0/1 matrices."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    values = np.unique(np.concatenate(right))
+    a = np.concatenate(left)
+    at = np.minimum(np.searchsorted(values, a), len(values) - 1)
+    hit = values[at] == a
+    rows_a = np.repeat(np.arange(len(left)), [len(x) for x in left])[hit]
+    columns_a = at[hit]
+    # Only values that both sides hold.
+    used, columns_a = np.unique(columns_a, return_inverse=True)
+    b = np.concatenate(right)
+    if not len(used):
+        return out
+    at = np.minimum(np.searchsorted(values[used], b), len(used) - 1)
+    hit = values[used][at] == b
+    rows_b = np.repeat(np.arange(len(right)), [len(x) for x in right])[hit]
+    columns_b = at[hit]
+    for start in range(0, len(used), _COLUMNS):
+        m_a = np.zeros((len(left), _COLUMNS), np.float32)
+        m_b = np.zeros((len(right), _COLUMNS), np.float32)
+        own = (columns_a >= start) & (columns_a < start + _COLUMNS)
+        m_a[rows_a[own], columns_a[own] - start] = 1
+        own = (columns_b >= start) & (columns_b < start + _COLUMNS)
+        m_b[rows_b[own], columns_b[own] - start] = 1
+        out += m_a @ m_b.T
+    return out
 
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
 
+def _forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For rows and columns of a 0/1 matrix, a column that each is connected with (or -1)."""
+    none = linked.shape[1]
+    columns = np.arange(none)
+    while True:
+        rows = np.where(linked, columns, none).min(axis=1, initial=none)
+        least = np.where(linked, rows[:, None], none).min(axis=0, initial=none)
+        new = np.minimum(columns, least)
+        if (new == columns).all():
+            return np.where(rows == none, -1, rows), columns
+        columns = new
+
+
+def _block_links(rest: DataFrame, core: DataFrame, texts: DataFrame, width: int, lower: bool, percent: int) -> DataFrame:
+    """Links ``(u, v)`` that connect the ``rest`` of each pivot with its ``core`` as similar pairs do."""
+    sides = [x.select("pivot", "cls", "size", F.lit(k).alias("side")) for k, x in enumerate((rest, core))]
+    blocks = F.ceil(F.greatest(F.sum("size") / BLOCK_SHINGLES, F.count("*") / BLOCK_ROWS)).cast("int")
+    counts = [
+        x.groupBy("pivot").agg(blocks.alias(f"blocks_{k}")) for k, x in enumerate(sides)
+    ]
+    counts = counts[0].join(counts[1], "pivot")
+    own = lambda k: F.pmod(F.xxhash64("cls"), F.col(f"blocks_{k}")).cast("int")
+    every = lambda k: F.explode(F.expr(f"sequence(0, blocks_{k} - 1)"))
+    rows = sides[0].join(counts, "pivot").withColumn("i", own(0)).withColumn("j", every(1)).union(
+        sides[1].join(counts, "pivot").withColumn("i", every(0)).withColumn("j", own(1))
+    )
+    rows = rows.join(texts, "cls").select("pivot", "i", "j", "side", "cls", "text")
 
-def _lists(classes: DataFrame) -> DataFrame:
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        sets, names = [], []
+        for side in (0, 1):
+            part = rows[rows["side"] == side]
+            names.append(part["cls"].to_numpy())
+            found = W.groups(pa.array(part["text"], pa.large_string()), lower)
+            sets.append([x for _, _, words in found for x in W.shingle_sets(words, width)])
+        if not sets[0] or not sets[1]:
+            return pd.DataFrame({"u": [], "v": []}, dtype=object)
+        shared = _shared_counts(*sets)
+        sizes = [np.array([len(x) for x in own]) for own in sets]
+        union = sizes[0][:, None] + sizes[1][None, :] - shared
+        above, across = _forest(100 * shared >= percent * union)
+        with_link, moved = above >= 0, across != np.arange(len(across))
+        return pd.DataFrame({
+            "u": np.concatenate([names[0][with_link], names[1][moved]]),
+            "v": np.concatenate([names[1][above[with_link]], names[1][across[moved]]]),
+        })
+
+    return rows.groupBy("pivot", "i", "j").applyInPandas(run, "u binary, v binary")
+
+
+def _lists(classes: DataFrame, similarity: float) -> DataFrame:
     """Inverted lists ``(h, cls, size)`` of the values that similar classes must share."""
     values = classes.select("cls", F.explode("sketch").alias("h"))
     common = values.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
@@ -104,84 +216,93 @@ def _lists(classes: DataFrame) -> DataFrame:
     )
     # The values that no other class has come first in the order; they fill places of the prefix.
     total = F.size("sketch")
-    places = total - F.ceil(total * SHARED) + 1 - (total - F.size("found"))
+    places = total - _least_shared(total, similarity) + 1 - (total - F.size("found"))
     listed = classes.join(found, "cls").withColumn("places", places.cast("int")).where("places > 0")
-    return listed.select("cls", "size", F.explode(F.expr("slice(found, 1, places)")).alias("x")).select(
-        F.col("x.h").alias("h"), "cls", "size"
-    )
+    listed = listed.select("cls", "size", F.explode(F.expr("slice(found, 1, places)")).alias("x"))
+    return listed.select(F.col("x.h").alias("h"), "cls", "size")
 
 
-def links(
-    classes: DataFrame, bodies, width: int, lower: bool, percent: int
-) -> DataFrame:
+def _shared_lists(entries: DataFrame) -> DataFrame:
+    """The lists that still have more than one member."""
+    several = entries.groupBy("h").agg(F.count("*").alias("m")).where("m > 1")
+    return entries.join(several.select("h"), "h")
+
+
+def links(classes: DataFrame, bodies, width: int, lower: bool, percent: int) -> DataFrame | None:
     """Links ``(u, v)`` that connect exactly the classes connected by similar pairs.
 
     ``classes`` is a written table ``(cls, size, sketch)``; ``bodies`` gives, for a frame of
-    ``cls`` values, a text of each.
+    ``cls`` values, a text of each.  None if no two classes share a list.
     """
-    entries = written(_lists(classes), "lists")
-    several = entries.groupBy("h").agg(F.count("*").alias("m")).where("m > 1")
-    entries = written(entries.join(several.select("h"), "h"), "lists")
-    texts = written(bodies(entries.select("cls").distinct()), "texts")
+    least = percent / 100
+    active = written(_shared_lists(_lists(classes, least)), "lists")
     sketches = classes.select("cls", "sketch")
-    labels, edges, pivots = None, None, 1
-    while True:
-        if labels is None:
-            marked = entries.withColumn("root", F.col("cls"))
-        else:
-            marked = entries.join(
-                labels.select(F.col("node").alias("cls"), "root"), "cls", "left"
-            ).withColumn("root", F.coalesce("root", "cls"))
-        by_root = marked.groupBy("h", "root").agg(F.count("*").alias("m"))
-        open_lists = by_root.groupBy("h").agg(
-            F.count("*").alias("roots"),
-            F.sum("m").alias("all"),
-            F.sum(F.col("m").cast("double") * F.col("m")).alias("own"),
-        ).where("roots > 1")
-        open_lists = written(open_lists, "open")
-        size = open_lists.agg(
-            F.sum("all"), F.sum(F.col("all").cast("double") * F.col("all") - F.col("own")) / 2
-        ).first()
-        if not size[0]:
-            break
-        marked = marked.join(open_lists.select("h"), "h")
-        last = size[1] <= 4 * size[0] or pivots > MOST_PIVOTS
-        if last:
-            chosen = marked.select("h", F.col("cls").alias("other"), F.col("size").alias("n"), F.col("root").alias("r"))
-        else:
-            row = F.struct("cls", "size", "root")
-            picks = [F.min_by(row, F.xxhash64("cls", F.lit(pivots), F.lit(k))) for k in range(pivots)]
-            chosen = marked.groupBy("h").agg(F.array(*picks).alias("x"))
-            chosen = chosen.select("h", F.explode(F.array_distinct("x")).alias("x")).select(
-                "h", F.col("x.cls").alias("other"), F.col("x.size").alias("n"), F.col("x.root").alias("r")
-            )
-        near = F.least("size", "n") * 100 >= F.greatest("size", "n") * percent
-        pairs = marked.join(chosen, "h").where((F.col("root") != F.col("r")) & near)
-        if last:
-            pairs = pairs.where("cls < other")
-        pairs = pairs.select(
-            F.greatest("cls", "other").alias("a"), F.least("cls", "other").alias("b")
-        ).distinct()
-        sketched = pairs.join(sketches.withColumnsRenamed({"cls": "a", "sketch": "sa"}), "a").join(
+    texts, edges = None, None
+
+    def compared(pairs: DataFrame, similarity: float) -> DataFrame:
+        """``(a, b, near)`` for the pairs whose sketches may have this similarity."""
+        both = pairs.join(sketches.withColumnsRenamed({"cls": "a", "sketch": "sa"}), "a").join(
             sketches.withColumnsRenamed({"cls": "b", "sketch": "sb"}), "b"
         )
-        # Of the smallest values of the union, as many as either sketch retains, those in both.
-        shared = F.size(F.array_intersect("sa", "sb"))
-        enough = F.ceil(F.greatest(F.size("sa"), F.size("sb")) * SHARED)
-        pairs = sketched.where(shared >= enough).select("a", "b")
-        full = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a").join(
+        needed = _least_shared(F.greatest(F.size("sa"), F.size("sb")), similarity)
+        both = both.where(F.size(F.array_intersect("sa", "sb")) >= needed).select("a", "b")
+        both = both.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a").join(
             texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b"
         )
-        found = written(
-            _confirmed(full, width, lower, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "links"
+        return _measured(both, width, lower).select(
+            "a", "b", (F.col("shared") / F.col("total")).alias("similarity"),
+            (100 * F.col("shared") >= percent * F.col("total")).alias("linked"),
         )
+
+    def add(found: DataFrame) -> None:
+        nonlocal edges
         edges = found if edges is None else edges.union(found)
-        if last:
+
+    for turn in range(MOST_ROUNDS + 1):
+        mass = active.groupBy("h").agg(F.count("*").cast("double").alias("m")).agg(
+            F.sum("m"), F.sum(F.col("m") * (F.col("m") - 1) / 2)
+        ).first()
+        if not mass[0]:
+            break
+        texts = texts or written(bodies(active.select("cls").distinct()), "texts")
+        if mass[1] <= 8 * mass[0] or turn == MOST_ROUNDS:
+            other = active.select("h", F.col("cls").alias("other"), F.col("size").alias("n"))
+            sizes = F.least("size", "n") * 100 >= F.greatest("size", "n") * percent
+            pairs = active.join(other, "h").where((F.col("cls") < F.col("other")) & sizes)
+            pairs = pairs.select(F.col("cls").alias("a"), F.col("other").alias("b")).distinct()
+            add(written(compared(pairs, least).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")), "links"))
             break
-        labels = components(edges)
-        labels = written(labels, "labels")
-        pivots *= 4
-    return entries.select(F.col("cls").alias("u"), F.col("cls").alias("v")).limit(0) if edges is None else edges
+        ranked = active.withColumn("rank", F.xxhash64("cls"))
+        first = ranked.groupBy("h").agg(F.min("rank").alias("first"))
+        pivots = ranked.join(first, "h").groupBy("cls").agg(F.max(F.col("rank") != F.col("first")).alias("later"))
+        pivots = written(
+            pivots.where("not later").select(F.col("cls").alias("pivot")), "pivots"
+        )
+        heads = active.join(pivots, active.cls == pivots.pivot).select("h", "pivot")
+        pairs = heads.join(active.select("h", "cls"), "h").where("cls <> pivot")
+        pairs = pairs.select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct()
+        near = compared(pairs, 1 - CORE).where(F.col("similarity") >= 1 - CORE)
+        core = near.groupBy(F.col("a").alias("cls")).agg(
+            F.max(F.struct("similarity", "b", "linked")).alias("x")
+        ).select("cls", F.col("x.b").alias("pivot"), F.col("x.linked").alias("linked"))
+        core = core.join(pivots, F.col("cls") == pivots.pivot, "left_anti").union(
+            pivots.select(F.col("pivot").alias("cls"), "pivot", F.lit(True).alias("linked"))
+        )
+        core = written(core, "core")
+        add(core.where("linked and cls <> pivot").select(F.col("cls").alias("u"), F.col("pivot").alias("v")))
+        reached = active.join(core.select("cls", "pivot"), "cls").select("h", "pivot").distinct()
+        reached = reached.join(active.select("h", "cls"), "h").select("cls", "pivot").distinct()
+        reached = reached.join(core.select("cls", "pivot"), ["cls", "pivot"], "left_anti")
+        reached = reached.select(F.col("cls").alias("a"), F.col("pivot").alias("b"))
+        within = least - CORE
+        reached = compared(reached, max(within, 0.0)).where(F.col("similarity") >= within - 1e-9)
+        reached = written(reached.select(F.col("a").alias("cls"), F.col("b").alias("pivot"), "linked"), "reached")
+        add(reached.where("linked").select(F.col("cls").alias("u"), F.col("pivot").alias("v")))
+        sizes = classes.select("cls", "size")
+        rest = reached.union(core).where("not linked").select("cls", "pivot").join(sizes, "cls")
+        add(written(_block_links(rest, core.join(sizes, "cls"), texts, width, lower, percent), "links"))
+        active = written(_shared_lists(active.join(core.select("cls"), "cls", "left_anti")), "lists")
+    return edges
 
 
 def near_duplicates(
@@ -222,9 +343,12 @@ def near_duplicates(
         # Any text of the class serves, since all have the same set.
         return keyed.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text"))
 
-    labels = components(links(classes, bodies, width, lower, percent))
-    rooted = classes.select("cls", "id").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "cls"))
+    found = links(classes, bodies, width, lower, percent)
+    rooted = classes.select("cls", "id", F.col("cls").alias("root"))
+    if found is not None:
+        labels = components(found).withColumnRenamed("node", "cls")
+        rooted = classes.select("cls", "id").join(labels, "cls", "left")
+        rooted = rooted.withColumn("root", F.coalesce("root", "cls"))
     least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
     by_class = written(
         rooted.join(least, "root").select(F.col("cls").alias("set_key"), "component_id"), "by_class"

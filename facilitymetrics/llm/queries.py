@@ -7,7 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from facilitymetrics.llm import warc
+from facilitymetrics.llm.decontam import contained_items
 from facilitymetrics.llm.near_dup import near_duplicates
+from facilitymetrics.llm.packing import packed
+from facilitymetrics.llm.scratch import scratch_dir, written
+from facilitymetrics.llm.secrets import scan_documents
+from facilitymetrics.llm.vector_dup import near_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,15 +22,64 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan_documents(docs).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
 def op5_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = near_duplicates(docs, width=3, percent=85)
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(_table(spark, sf_dir, "documents"), tokenizer_path(), 2048)
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "warc")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    page = r"<urn:page:(-?\d*)>"
+    found = warc.read_archives(spark, path).where("kind <> 'gap'").select(
+        F.regexp_extract("record_id", page, 1).try_cast("long").alias("page_id"),
+        F.octet_length("payload").cast("long").alias("bytes"),
+        "payload_digest",
+        F.col("kind").alias("record_type"),
+        F.regexp_extract("refers_to", page, 1).try_cast("long").alias("refers_to"),
+    )
+    found = written(found, "records")
+    # A revisit has the payload of the response with its digest.
+    responses = found.where("record_type = 'response'").groupBy("payload_digest").agg(F.max("bytes").alias("full"))
+    revisits = found.where("record_type = 'revisit'").join(responses, "payload_digest", "left")
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return found.where("record_type <> 'revisit'").withColumnRenamed("bytes", "payload_bytes").select(columns).union(
+        revisits.withColumnRenamed("full", "payload_bytes").select(columns)
+    )
+
+
+def op10_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_decontamination": op1_decontamination,
+        "op2_secret_scan": op2_secret_scan,
         "op5_minhash_near_dup": op5_minhash_near_dup,
+        "op7_best_fit_packing": op7_best_fit_packing,
+        "op9_warc": op9_warc,
+        "op10_embedding_near_dup": op10_embedding_near_dup,
     }
 
 
