@@ -11,8 +11,10 @@ from facilitymetrics.llm import warc
 from facilitymetrics.llm.decontam import contained_items
 from facilitymetrics.llm.near_dup import near_duplicates
 from facilitymetrics.llm.packing import packed
+from facilitymetrics.llm.repeats import without_repeats
 from facilitymetrics.llm.scratch import scratch_dir, written
 from facilitymetrics.llm.secrets import scan_documents
+from facilitymetrics.llm.toxicity import toxicity_scores
 from facilitymetrics.llm.vector_dup import near_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +39,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_documents(docs).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op5_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = near_duplicates(docs, width=3, percent=85)
@@ -47,6 +53,12 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_table(spark, sf_dir, "documents"), tokenizer_path(), 2048)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity_scores(docs, _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", "evidence")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "warc")
     warc.write_archives(_table(spark, sf_dir, "pages"), path)
@@ -76,8 +88,10 @@ def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
         "op2_secret_scan": op2_secret_scan,
+        "op3_substring_dedup": op3_substring_dedup,
         "op5_minhash_near_dup": op5_minhash_near_dup,
         "op7_best_fit_packing": op7_best_fit_packing,
+        "op8_toxicity": op8_toxicity,
         "op9_warc": op9_warc,
         "op10_embedding_near_dup": op10_embedding_near_dup,
     }
