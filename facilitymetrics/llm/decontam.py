@@ -92,6 +92,27 @@ def _item_sets(items: DataFrame, width: int) -> DataFrame:
     return items.mapInArrow(run, schema).where("width > 0")
 
 
+def _indexes(
+    items: DataFrame, item_id: str, item_text: str, width: int, threshold: float, block_shingles: int
+) -> Iterator:
+    """Broadcast ``(ids, index)`` of each block of items; at least one."""
+    context = items.sparkSession.sparkContext
+    items = items.select(F.col(item_id).alias("id"), F.col(item_text).alias("text"))
+    sets = written(_item_sets(items, width), "items")
+    shingles = sets.agg(F.sum(F.size("names"))).first()[0] or 0
+    # Twice as many blocks as needed on average, as hashing fills them unevenly.
+    blocks = 1 if shingles <= block_shingles else 2 * math.ceil(shingles / block_shingles)
+    for block in range(blocks):
+        rows = sets.where(F.pmod(F.xxhash64("names"), F.lit(blocks)) == block).toArrow()
+        widths = rows.column("width").to_pylist()
+        names = rows.column("names").combine_chunks() if rows.num_rows else []
+        made = [
+            (at, widths[at], np.sort(names[at].values.to_numpy().view(np.uint64)))
+            for at in range(rows.num_rows)
+        ]
+        yield context.broadcast((rows.column("id"), ItemIndex(made, threshold)))
+
+
 def contained_items(
     docs: DataFrame,
     items: DataFrame,
@@ -110,40 +131,22 @@ def contained_items(
     is one shingle, its word sequence.  Null or wordless texts on either side match nothing.
     Rows that repeat an id, or have none, are searched like others; each gives its own rows.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
-    items = items.select(F.col(item_id).alias("id"), F.col(item_text).alias("text"))
-    sets = _item_sets(items, width)
-    # Blocks of items; one more than needed on average, as hashing fills them unevenly.
-    total = written(sets, "items")
-    shingles = total.agg(F.sum(F.size("names"))).first()[0] or 0
-    blocks = 1 if shingles <= block_shingles else 2 * math.ceil(shingles / block_shingles)
     schema = T.StructType([
         T.StructField("doc_id", docs.schema["doc"].dataType),
-        T.StructField("item_id", items.schema["id"].dataType),
+        T.StructField("item_id", items.schema[item_id].dataType),
         T.StructField("item_shingles", T.LongType()),
         T.StructField("shared_shingles", T.LongType()),
         T.StructField("containment", T.DoubleType()),
     ])
     out = None
-    for block in range(blocks):
-        rows = total.where(F.pmod(F.xxhash64("names"), F.lit(blocks)) == block).toArrow()
-        ids = rows.column("id").to_pylist()
-        names = rows.column("names").combine_chunks() if rows.num_rows else None
-        widths = rows.column("width").to_pylist()
-        made = [
-            (at, widths[at], np.sort(names[at].values.to_numpy().view(np.uint64)))
-            for at in range(rows.num_rows)
-        ]
-        shared = spark.sparkContext.broadcast((ids, ItemIndex(made, threshold)))
-        found = docs.mapInArrow(_searcher(shared, schema), schema)
+    for shared in _indexes(items, item_id, item_text, width, threshold, block_shingles):
+        found = docs.mapInArrow(_searcher(shared, schema.names), schema)
         out = found if out is None else out.union(found)
     return out
 
 
-def _searcher(shared, schema: T.StructType):
-    names = schema.names
-
+def _searcher(shared, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, index = shared.value
         for batch in batches:
@@ -153,21 +156,46 @@ def _searcher(shared, schema: T.StructType):
                 for k, (a, b) in enumerate(zip(words.first[:-1], words.first[1:])):
                     for at, count in index.matches(every[a:b]):
                         rows.append(begin + k)
-                        items.append(ids[at])
+                        items.append(at)
                         n.append(count)
                         size.append(len(index.sets[at]))
             if rows:
                 n, size = np.array(n, np.int64), np.array(size, np.int64)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).take(pa.array(rows, pa.int64())),
-                    pa.array(items, pa.int64()) if isinstance(items[0], int) else pa.array(items),
+                    ids.take(pa.array(items, pa.int64())).combine_chunks(),
                     pa.array(size), pa.array(n), pa.array(n / size),
                 ], names=names)
 
     return run
 
 
-def leaking(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The distinct texts of ``docs`` that hold an item, as ``(text)``."""
-    keyed = docs.select(F.col(text).alias("text"), F.col(text).alias("key"))
-    return contained_items(keyed, items, "key", **options).select(F.col("doc_id").alias("text")).distinct()
+def without_leaks(
+    docs: DataFrame,
+    items: DataFrame,
+    item_id: str = "item_id",
+    text: str = "text",
+    item_text: str = "text",
+    width: int = 5,
+    threshold: float = 0.8,
+    block_shingles: int = BLOCK_SHINGLES,
+) -> DataFrame:
+    """The rows of ``docs`` that hold no item, by the rules of ``contained_items``."""
+    at = docs.columns.index(text)
+
+    def clean(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            _, index = shared.value
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                for begin, _, words in W.groups(batch.column(at), lower=True):
+                    every = words.names()
+                    for k, (a, b) in enumerate(zip(words.first[:-1], words.first[1:])):
+                        keep[begin + k] = not index.matches(every[a:b])
+                yield batch.filter(pa.array(keep))
+
+        return run
+
+    for shared in _indexes(items, item_id, item_text, width, threshold, block_shingles):
+        docs = docs.mapInArrow(clean(shared), docs.schema)
+    return docs

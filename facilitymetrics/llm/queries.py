@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from facilitymetrics.llm import warc
 from facilitymetrics.llm.decontam import contained_items
+from facilitymetrics.llm.html_text import extracted
+from facilitymetrics.llm.lm_score import scored
 from facilitymetrics.llm.near_dup import near_duplicates
 from facilitymetrics.llm.packing import packed
 from facilitymetrics.llm.repeats import without_repeats
@@ -43,12 +45,22 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(_table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op5_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = near_duplicates(docs, width=3, percent=85)
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target set is the documents labelled as good."""
+    good = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return scored(_table(spark, sf_dir, "documents").select("doc_id", "text"), good)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_table(spark, sf_dir, "documents"), tokenizer_path(), 2048)
 
@@ -89,7 +101,9 @@ def queries() -> dict[str, Query]:
         "op1_decontamination": op1_decontamination,
         "op2_secret_scan": op2_secret_scan,
         "op3_substring_dedup": op3_substring_dedup,
+        "op4_html_extraction": op4_html_extraction,
         "op5_minhash_near_dup": op5_minhash_near_dup,
+        "op6_lm_scoring": op6_lm_scoring,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_toxicity": op8_toxicity,
         "op9_warc": op9_warc,

@@ -1,7 +1,8 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
 
-Features of a text are its words (letters, lower case) and their beginnings of 3 to 6 letters, so
-that inflected forms meet.  Spark counts features of the training examples by label; those
+Features of a text are its words (letters, lower case) and their beginnings of 3 to 8 letters, so
+that inflected forms meet, each once, twice or four times and more, since a chance word occurs
+rarely.  Spark counts features of the training examples by label; those
 significantly more frequent among toxic examples form the vocabulary (the bound of a
 G-test grows with the number of features tested).  Inverse document frequencies come from all
 documents.
@@ -41,8 +42,19 @@ _CACHED = 400_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+# A feature counts anew when it occurs this often in a text.
+LEVELS = (1, 2, 4)
+
+
 def features(word: str) -> list[str]:
-    return [f"={word}", *(word[:n] for n in range(3, 7) if len(word) >= n)]
+    return [f"={word}", *(word[:n] for n in range(3, 9) if len(word) >= n)]
+
+
+def levelled(counts: Counter) -> Iterator[str]:
+    for feature, n in counts.items():
+        for level in LEVELS:
+            if n >= level:
+                yield f"{level} {feature}"
 
 
 def text_words(text: str | None) -> Counter:
@@ -53,7 +65,11 @@ def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         seen: tuple[Counter, Counter] = (Counter(), Counter())
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            seen[toxic].update({f for w in text_words(text) for f in features(w)})
+            own: Counter = Counter()
+            for word, n in text_words(text).items():
+                for f in features(word):
+                    own[f] += n
+            seen[toxic].update(levelled(own))
         names = list(seen[0].keys() | seen[1].keys())
         yield pa.RecordBatch.from_arrays([
             pa.array(names, pa.string()),
@@ -84,31 +100,34 @@ def _vocabulary(examples: DataFrame) -> list[str]:
 
 
 class Lookup:
-    """Vocabulary features of texts, as ``{feature number: count}``."""
+    """Vocabulary features of texts, as sorted feature numbers."""
 
     def __init__(self, vocabulary: list[str]):
-        self.number = {f: k for k, f in enumerate(vocabulary)}
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.levels: dict[str, list[tuple[int, int]]] = {}
+        for number, name in enumerate(vocabulary):
+            level, _, feature = name.partition(" ")
+            self.levels.setdefault(feature, []).append((int(level), number))
+        self.known: dict[str, tuple[str, ...]] = {}
 
-    def vector(self, text: str | None) -> dict[int, int]:
+    def vector(self, text: str | None) -> tuple[int, ...]:
         if len(self.known) > _CACHED:
             self.known.clear()
-        out: dict[int, int] = {}
+        counts: dict[str, int] = {}
         known = self.known
         for word, n in text_words(text).items():
             own = known.get(word)
             if own is None:
-                own = known[word] = tuple(self.number[f] for f in features(word) if f in self.number)
-            for k in own:
-                out[k] = out.get(k, 0) + n
-        return out
+                own = known[word] = tuple(f for f in features(word) if f in self.levels)
+            for f in own:
+                counts[f] = counts.get(f, 0) + n
+        return tuple(sorted(k for f, n in counts.items() for level, k in self.levels[f] if n >= level))
 
 
 class BlockMaxIndex:
     """Nearest entries by cosine; entries are distinct example vectors with counts by label."""
 
     def __init__(self, entries: dict[tuple, list], idf: np.ndarray):
-        """``entries``: vector items -> [toxic, clean, an example id]."""
+        """``entries``: feature numbers -> [toxic, clean, an example id]."""
         keys = sorted(entries)
         self.idf = idf
         self.toxic = np.array([entries[k][0] for k in keys], float)
@@ -119,10 +138,9 @@ class BlockMaxIndex:
         # Largest weight of each feature in each block.
         self.most = np.stack([self.weights[a : a + BLOCK].max(axis=0) for a in edges]) if keys else np.zeros((0, len(idf)))
 
-    def unit(self, items: tuple) -> np.ndarray:
+    def unit(self, numbers: tuple[int, ...]) -> np.ndarray:
         out = np.zeros(len(self.idf))
-        for k, n in items:
-            out[k] = (1 + math.log(n)) * self.idf[k]
+        out[list(numbers)] = self.idf[list(numbers)]
         return out / np.linalg.norm(out)
 
     def nearest(self, query: tuple) -> tuple[np.ndarray, np.ndarray]:
@@ -198,23 +216,21 @@ def toxicity_scores(
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = Lookup(shared.value)
         for batch in batches:
-            items = [sorted(find.vector(x).items()) for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([
-                pa.array([[k for k, _ in x] for x in items], pa.list_(pa.int64())),
-                pa.array([[n for _, n in x] for x in items], pa.list_(pa.int64())),
+                pa.array([find.vector(x) for x in batch.column(0).to_pylist()], pa.list_(pa.int64())),
                 batch.column(1).cast(pa.int64()),
                 batch.column(2).cast(pa.string()),
-            ], names=["k", "n", "toxic", "id"])
+            ], names=["k", "toxic", "id"])
 
     # Counts by distinct vector: at most as many rows as examples.
-    grouped = examples.mapInArrow(vectors, "k array<long>, n array<long>, toxic long, id string")
-    grouped = grouped.groupBy("k", "n").agg(
+    grouped = examples.mapInArrow(vectors, "k array<long>, toxic long, id string")
+    grouped = grouped.groupBy("k").agg(
         F.sum("toxic").alias("toxic"), F.count("*").alias("all"), F.min("id").alias("id")
     ).collect()
     entries, plain = {}, [0, 0]
     for row in grouped:
         if row["k"]:
-            entries[tuple(zip(row["k"], row["n"]))] = [row["toxic"], row["all"] - row["toxic"], row["id"]]
+            entries[tuple(row["k"])] = [row["toxic"], row["all"] - row["toxic"], row["id"]]
         else:
             plain = [row["toxic"], row["all"]]
     total = sum(r["all"] for r in grouped)
@@ -232,7 +248,7 @@ def toxicity_scores(
         for batch in batches:
             found = []
             for text in batch.column(at).to_pylist():
-                query = tuple(sorted(find.vector(text).items()))
+                query = find.vector(text)
                 if query not in cache:
                     if len(cache) > 50_000:
                         cache.clear()
