@@ -50,6 +50,13 @@ from facilitymetrics.sources.lake import (  # noqa: E402
 )
 from standins import curated, raw_state_averages, refined, table  # noqa: E402
 
+# The operators on training text are a part that can be left out.
+try:
+    import corpus_pipeline
+    from facilitymetrics.llm import queries as llm_queries
+except ModuleNotFoundError:
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # The choices of the filtered queries, which exercise the three scopes.
@@ -218,6 +225,13 @@ ANY = FacilityFilter()
 
 
 def queries() -> dict[str, Query]:
+    more = {}
+    if llm_queries is not None:
+        more = {**llm_queries.queries(), "pipeline": corpus_pipeline.run}
+    return {**_facility_queries(), **more}
+
+
+def _facility_queries() -> dict[str, Query]:
     return {
         # sources, sinks, audits
         "csv_roundtrip": _csv_roundtrip,
@@ -348,4 +362,5 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements(STATE, OWNER, PROVIDER)
+    more = llm_queries.oracle_sql() if llm_queries is not None else {}
+    return {**oracle.statements(STATE, OWNER, PROVIDER), **more}

@@ -59,7 +59,7 @@ def main() -> int:
     spark.sparkContext.setLogLevel("ERROR")
     db, sql, bad = connect(sf_dir), entry.oracle_sql(), 0
     for name, query in entry.queries().items():
-        if sys.argv[2:] and name not in sys.argv[2:]:
+        if name not in sql or (sys.argv[2:] and name not in sys.argv[2:]):
             continue
         start = time.time()
         problem = difference(query(spark, sf_dir), db, sql[name])
