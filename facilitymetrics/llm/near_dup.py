@@ -44,7 +44,7 @@ MISSED = 1e-7
 # Largest Jaccard distance of a core member from its pivot.
 CORE = 0.5
 # Rounds after which the pairs left are compared one by one, however many they are.
-MOST_ROUNDS = 4
+MOST_ROUNDS = 3
 # Classes, and shingles, on either side of a block of comparisons.
 BLOCK_ROWS = 512
 BLOCK_SHINGLES = 1 << 20
