@@ -45,6 +45,8 @@ MISSED = 1e-7
 CORE = 0.5
 # Rounds after which the pairs left are compared one by one, however many they are.
 MOST_ROUNDS = 3
+# Pairs left for each entry of the lists that are compared one by one at once.
+FEW_PAIRS = 8
 # Classes, and shingles, on either side of a block of comparisons.
 BLOCK_ROWS = 512
 BLOCK_SHINGLES = 1 << 20
@@ -265,7 +267,7 @@ def links(classes: DataFrame, bodies, width: int, lower: bool, percent: int) ->
         if not mass[0]:
             break
         texts = texts or written(bodies(active.select("cls").distinct()), "texts")
-        if mass[1] <= 8 * mass[0] or turn == MOST_ROUNDS:
+        if mass[1] <= FEW_PAIRS * mass[0] or turn == MOST_ROUNDS:
             other = active.select("h", F.col("cls").alias("other"), F.col("size").alias("n"))
             sizes = F.least("size", "n") * 100 >= F.greatest("size", "n") * percent
             pairs = active.join(other, "h").where((F.col("cls") < F.col("other")) & sizes)

@@ -138,10 +138,11 @@ def vector_links(classes: DataFrame, least: float) -> tuple[DataFrame, DataFrame
         involved, place = np.unique(np.concatenate([a[left], b[right]]), return_inverse=True)
         codes = buckets(x[involved]) * 65_536 + x.shape[1]
         codes = codes.reshape(len(involved), -1)
+        at_left, at_right = place[: len(left)], place[len(left) :]
         first = np.empty(len(left), bool)
         mine = np.arange(codes.shape[1]) % PROBES == 0
         for start in range(0, len(left), 4096):
-            p, q = codes[place[start : start + 4096]], codes[place[len(left) + start : len(left) + start + 4096]]
+            p, q = codes[at_left[start : start + 4096]], codes[at_right[start : start + 4096]]
             meet = (p[:, :, None] == q[:, None, :]) & (mine[:, None] | mine[None, :])
             smaller = (p < bucket)[:, :, None] & meet
             first[start : start + 4096] = ~smaller.any(axis=(1, 2))

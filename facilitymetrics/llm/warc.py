@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 FILE_BYTES = 8 << 20
 END = b"\r\n\r\n"
 MEMBER = b"\x1f\x8b\x08"
-_VERSION = re.compile(rb"(?:^|(?<=\n))WARC/1\.[01]\r\n")
+_VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # Records carry no wall-clock time, so that equal pages give equal archives.
 _DATE = "2000-01-01T00:00:00Z"
