@@ -103,9 +103,14 @@ def _rename_query(dataset: str) -> Query:
     )
 
 
+def _with_copies(df: DataFrame) -> DataFrame:
+    """The rows, and those of every eleventh hash once more, which deduplication must undo."""
+    return df.union(df.where(F.pmod(F.xxhash64(*df.columns), F.lit(11)) == 0))
+
+
 def _curate_query(dataset: str) -> Query:
     return lambda spark, sf_dir: _underscored(
-        _iso_dates(curate(refined(spark, sf_dir, dataset), dataset))
+        _iso_dates(curate(_with_copies(refined(spark, sf_dir, dataset)), dataset))
     )
 
 
@@ -116,14 +121,14 @@ def _audit_query(dataset: str) -> Query:
 
 
 def _dedup_full_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem")
-    return deduplicated(rows.select("l_returnflag", "l_linestatus", "l_linenumber"))
+    rows = table(spark, sf_dir, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
+    return _iso_dates(deduplicated(_with_copies(rows)))
 
 
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw CSV to refined Parquet, read back."""
     root = scratch_dir(spark, "refine")
-    write_csv(raw_state_averages(spark, sf_dir), f"{root}/raw")
+    write_csv(_with_copies(raw_state_averages(spark, sf_dir)), f"{root}/raw")
     raw = read_csv(spark, f"{root}/raw", REFINED[STATE_AVERAGES])
     write_parquet(refine_state_averages(raw), f"{root}/refined")
     return _underscored(_iso_dates(read_parquet(spark, f"{root}/refined")))
@@ -228,10 +233,10 @@ def queries() -> dict[str, Query]:
     more = {}
     if llm_queries is not None:
         more = {**llm_queries.queries(), "pipeline": corpus_pipeline.run}
-    return {**_facility_queries(), **more}
+    return {**facility_queries(), **more}
 
 
-def _facility_queries() -> dict[str, Query]:
+def facility_queries() -> dict[str, Query]:
     return {
         # sources, sinks, audits
         "csv_roundtrip": _csv_roundtrip,
@@ -351,6 +356,13 @@ def _facility_queries() -> dict[str, Query]:
         "hours_by_state": _over(PBJ, rollups.hours_by_state),
         "hours_by_provider": _over(PBJ, rollups.hours_by_provider),
         "record_completeness": _over(PBJ, rollups.record_completeness),
+        "record_completeness_extra_column": _over(
+            PBJ,
+            lambda df: rollups.record_completeness(df.withColumn("record_count", F.lit(91))),
+        ),
+        "unexpected_records": _over(
+            PBJ, lambda df: rollups.unexpected_records(rollups.record_completeness(df), 30)
+        ),
     }
 
 

@@ -8,9 +8,10 @@ from pyspark.sql import types as T
 
 
 def parse_workday(df: DataFrame, column: str = "WorkDate") -> Column:
-    """Date of a work-day column held as ``yyyyMMdd`` number or text, ISO text or a date.
+    """Date of a work-day column: ``yyyyMMdd`` number or text, ISO or ``MM/dd/yyyy`` text, a date.
 
-    Anything that is no calendar day becomes null.  The parts are put into ISO form and
+    Blanks around a text do not count, nor does a fraction of zero (a whole-number column that once
+    held nulls often arrives as DOUBLE).  Anything that is no calendar day becomes null.  The parts are put into ISO form and
     cast, which stays on Spark's own date parser; a pattern-based parse runs a formatter
     for every row.
     """
@@ -18,14 +19,21 @@ def parse_workday(df: DataFrame, column: str = "WorkDate") -> Column:
     kind = df.schema[_resolve(df, column)].dataType
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return day.cast("date")
-    if isinstance(kind, T.IntegralType):
-        year, month = F.expr(f"`{column}` div 10000"), F.expr(f"`{column}` div 100 % 100")
+    if isinstance(kind, (T.FractionalType, T.DecimalType)):
+        day = F.when(day == F.floor(day), day).try_cast("long")
+    if isinstance(kind, T.NumericType):
+        whole = day.cast("long")
+        month, year = F.floor(whole / 100) % 100, F.floor(whole / 10000)
         iso = F.concat_ws("-", *[part.cast("string") for part in (year, month, day % 100)])
         return F.when(day.between(1000_01_01, 9999_12_31), iso).try_cast("date")
+    day = F.trim(day)
+    slashed = F.split(day, "/")
+    american = F.concat_ws("-", F.get(slashed, F.lit(2)), F.lpad(F.get(slashed, F.lit(0)), 2, "0"), F.lpad(F.get(slashed, F.lit(1)), 2, "0"))
     digits = F.concat_ws(
         "-", F.substring(day, 1, 4), F.substring(day, 5, 2), F.substring(day, 7, 2)
     )
-    iso = F.when(day.contains("-"), day).when(F.length(day) == 8, digits)
+    iso = F.when(day.contains("-"), day).when(day.rlike(r"^\d{8}$"), digits)
+    iso = iso.when(day.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), american)
     return iso.try_cast("date")
 
 

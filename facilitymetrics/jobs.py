@@ -24,7 +24,7 @@ from facilitymetrics.operators.select import (
 from facilitymetrics.plans import occupancy, rollups, staffing
 from facilitymetrics.plans.curate import curate, refine_state_averages
 from facilitymetrics.plans.facility_staffing import facility_staffing
-from facilitymetrics.plans.summary import FACILITY_STATE, staffing_summary
+from facilitymetrics.plans.summary import FACILITY, FACILITY_STATE, Summary, staffing_summary
 from facilitymetrics.schemas import (
     DATASETS,
     PBJ,
@@ -34,7 +34,7 @@ from facilitymetrics.schemas import (
     STATE_AVERAGES,
 )
 from facilitymetrics.session import build_session
-from facilitymetrics.sources.audit import schema_findings
+from facilitymetrics.sources.audit import schema_findings, undated_rows
 from facilitymetrics.sources.lake import (
     Lake,
     read_csv,
@@ -43,7 +43,7 @@ from facilitymetrics.sources.lake import (
     read_refined,
     write_parquet,
 )
-from facilitymetrics.sources.sizing import size_tasks
+from facilitymetrics.sources.sizing import sized_tasks
 
 log = logging.getLogger("facilitymetrics")
 
@@ -51,8 +51,8 @@ log = logging.getLogger("facilitymetrics")
 def refine(spark: SparkSession, csv_path: str, lake: Lake) -> int:
     """Raw CSV of state averages to the refined layer; returns the rows written."""
     raw = read_csv(spark, csv_path, REFINED[STATE_AVERAGES])
-    size_tasks(spark, raw)
-    return write_parquet(refine_state_averages(raw), lake.refined_path(STATE_AVERAGES))
+    with sized_tasks(spark, raw):
+        return write_parquet(refine_state_averages(raw), lake.refined_path(STATE_AVERAGES))
 
 
 def curate_dataset(
@@ -65,17 +65,17 @@ def curate_dataset(
 ) -> int:
     """Refined to curated for one dataset; returns the rows written."""
     refined = read_refined(spark, lake, dataset)
-    size_tasks(spark, refined)
     if missing := missing_sources(refined, RENAMES[dataset]):
         log.warning("%s: columns to rename are missing: %s", dataset, missing)
     for finding in schema_findings(refined, REFINED[dataset]):
         log.info("%s: %s", dataset, finding)
-    return write_parquet(
-        curate(refined, dataset, strict),
-        lake.curated_path(dataset),
-        partition_by,
-        touched_partitions_only,
-    )
+    with sized_tasks(spark, refined):
+        return write_parquet(
+            curate(refined, dataset, strict),
+            lake.curated_path(dataset),
+            partition_by,
+            touched_partitions_only,
+        )
 
 
 def build_reports(
@@ -89,7 +89,14 @@ def build_reports(
     """
     pbj = read_curated(spark, lake, PBJ)
     provider = read_curated(spark, lake, PROVIDER_INFO)
-    size_tasks(spark, pbj, provider)
+    with sized_tasks(spark, pbj, provider):
+        return _written_reports(pbj, provider, out_root, choice)
+
+
+def _written_reports(
+    pbj: DataFrame, provider: DataFrame, out_root: str, choice: FacilityFilter
+) -> dict[str, int]:
+    spark = pbj.sparkSession
     rows: dict[str, int] = {}
 
     def write(name: str, table: DataFrame) -> DataFrame:
@@ -97,12 +104,15 @@ def build_reports(
         rows[name] = write_parquet(table, path)
         return read_parquet(spark, path)
 
-    summary = write("staffing_summary", staffing_summary(pbj))
+    summary = Summary(write("staffing_summary", staffing_summary(pbj)))
+    # Monthly figures leave out what this counts.
+    write("undated_rows", undated_rows(pbj))
     write("monthly_hours", rollups.monthly_hours(summary))
     write("hours_by_month", rollups.hours_by_month(summary))
     write("hours_by_state", rollups.hours_by_state(summary))
     write("hours_by_provider", rollups.hours_by_provider(summary))
-    write("record_completeness", rollups.record_completeness(summary))
+    records = write("record_completeness", rollups.record_completeness(summary))
+    write("unexpected_records", rollups.unexpected_records(records))
 
     write("options_state", state_options(provider))
     write("options_owner", owner_options(provider))
@@ -120,6 +130,10 @@ def build_reports(
         "facility_staffing",
         facility_staffing(summary, choice.full_scope(provider), FACILITY_STATE),
     )
+    write(
+        "facility_staffing_by_name",
+        facility_staffing(summary, choice.full_scope(provider), FACILITY),
+    )
     write(
         "occupancy_facility_analysis",
         occupancy.facility_analysis(summary, provider, choice),

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame
 
 from facilitymetrics.operators.joins import of_selected
 from facilitymetrics.operators.select import present
-from facilitymetrics.plans.summary import FACILITY, additive_rows, mean_daily_hours
+from facilitymetrics.plans.summary import FACILITY, Summary, additive_rows, mean_daily_hours
 
 
 def facility_staffing(
-    pbj: DataFrame, facilities: DataFrame, keys: Sequence[str] = FACILITY
+    pbj: DataFrame | Summary, facilities: DataFrame, keys: Sequence[str] = FACILITY
 ) -> DataFrame:
     """Mean of the daily totals by facility for the given selection of facilities.
 

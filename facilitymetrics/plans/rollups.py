@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from facilitymetrics.functions.timeops import month_label
 from facilitymetrics.operators.ordering import ranked
 from facilitymetrics.operators.select import present
-from facilitymetrics.plans.summary import FACILITY_STATE, HOURS, additive_rows
+from facilitymetrics.plans.summary import FACILITY_STATE, HOURS, Summary, additive_rows
 from facilitymetrics.schemas import CCN
 
 
-def _rolled_up(staffing: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _rolled_up(staffing: DataFrame | Summary, keys: Sequence[str]) -> DataFrame:
     """Hours by key over rows that belong to a facility month.
 
     Undated rows are left out inside the aggregate: a filter on the parsed month would be
@@ -44,25 +44,34 @@ def _labelled(rolled_up: DataFrame) -> DataFrame:
     return rolled_up.withColumn("month", month_label(F.col("month")))
 
 
-def monthly_hours(staffing: DataFrame) -> DataFrame:
+def monthly_hours(staffing: DataFrame | Summary) -> DataFrame:
     """Hours per facility and month."""
     return _labelled(_rolled_up(staffing, [*FACILITY_STATE, "month"]))
 
 
-def hours_by_month(staffing: DataFrame) -> DataFrame:
+def hours_by_month(staffing: DataFrame | Summary) -> DataFrame:
     return _labelled(_rolled_up(staffing, ["month"])).orderBy("month")
 
 
-def hours_by_state(staffing: DataFrame) -> DataFrame:
+def hours_by_state(staffing: DataFrame | Summary) -> DataFrame:
     return ranked(_rolled_up(staffing, ["state"]), HOURS, ["state"], ascending=True)
 
 
-def hours_by_provider(staffing: DataFrame) -> DataFrame:
+def hours_by_provider(staffing: DataFrame | Summary) -> DataFrame:
     keys = ["provider_name", "state"]
     return ranked(_rolled_up(staffing, keys), HOURS, keys)
 
 
-def record_completeness(staffing: DataFrame) -> DataFrame:
+# Records of a complete quarter: a day each, as the dashboards expect.
+EXPECTED_RECORDS = 91
+
+
+def unexpected_records(completeness: DataFrame, expected: int = EXPECTED_RECORDS) -> DataFrame:
+    """Facility quarters of ``record_completeness`` with another number of records than expected."""
+    return completeness.where(F.col("record_count") != expected)
+
+
+def record_completeness(staffing: DataFrame | Summary) -> DataFrame:
     """Staffing records per facility and quarter."""
     keys = [CCN, "CY_Qtr"]
     return (

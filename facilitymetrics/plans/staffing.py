@@ -24,12 +24,12 @@ from facilitymetrics.operators.ordering import ranked
 from facilitymetrics.operators.reshape import labelled_hours
 from facilitymetrics.operators.select import EVERYTHING, FacilityFilter, present
 from facilitymetrics.plans.facility_staffing import facility_staffing
-from facilitymetrics.plans.summary import FACILITY, additive_rows, mean_daily_hours
+from facilitymetrics.plans.summary import FACILITY, Summary, additive_rows, mean_daily_hours
 from facilitymetrics.schemas import CCN
 
 
 def facility_analysis(
-    pbj: DataFrame, provider: DataFrame, choice: FacilityFilter = EVERYTHING
+    pbj: DataFrame | Summary, provider: DataFrame, choice: FacilityFilter = EVERYTHING
 ) -> DataFrame:
     """Selected facilities with their mean daily nurse hours, total and per resident."""
     facilities = choice.full_scope(provider)
@@ -51,7 +51,7 @@ def hours_per_resident_by_state(analysis: DataFrame) -> DataFrame:
     return ranked(means, "nurse_hours_per_resident", ["state"])
 
 
-def _staffing_with_facilities(pbj: DataFrame, facilities: DataFrame) -> DataFrame:
+def _staffing_with_facilities(pbj: DataFrame | Summary, facilities: DataFrame) -> DataFrame:
     """Staffing groups of the selection, each with the facility rows it joins to.
 
     One row per (id, name) on either side: staffing rows are reduced to a mean and two sums, the
@@ -75,12 +75,18 @@ def _staffing_with_facilities(pbj: DataFrame, facilities: DataFrame) -> DataFram
             F.sum(inverse_residents).alias("inverse_residents"),
             F.count("occupancy_rate").alias("occupancy_rows"),
             F.sum("occupancy_rate").alias("occupancy_total"),
-            F.min(F.struct("state", "ownership_type")).alias("first_facility"),
+            F.min(F.struct(*_missing_last("state", "ownership_type"))).alias("first_facility"),
         )
     )
     return of_selected(groups, facilities).join(rows, list(FACILITY), "left")
 
 
+def _missing_last(*names: str) -> list[Column]:
+    """Fields that make the smallest struct the first row with missing values last."""
+    flags = [[F.col(name).isNull().alias(f"{name}_missing"), F.col(name)] for name in names]
+    return [field for pair in flags for field in pair]
+
+
 def _joined_means() -> dict[str, Column]:
     """Means over the joined rows, 0.0 where there is no value."""
 
@@ -116,7 +122,7 @@ def _with_mix(totals: DataFrame) -> DataFrame:
 
 
 def staffing_kpis(
-    pbj: DataFrame, provider: DataFrame, choice: FacilityFilter = EVERYTHING
+    pbj: DataFrame | Summary, provider: DataFrame, choice: FacilityFilter = EVERYTHING
 ) -> DataFrame:
     """One row of indicators for the selection.
 
@@ -151,7 +157,7 @@ def staffing_kpi_text(kpis: DataFrame) -> DataFrame:
 
 
 def staffing_mix(
-    pbj: DataFrame, provider: DataFrame, choice: FacilityFilter = EVERYTHING
+    pbj: DataFrame | Summary, provider: DataFrame, choice: FacilityFilter = EVERYTHING
 ) -> DataFrame:
     """Employee and contractor hours of the selection as two labelled rows."""
     by_facility = pbj.groupBy(CCN).agg(
@@ -166,7 +172,7 @@ def staffing_mix(
 
 
 def provider_detail(
-    pbj: DataFrame, provider: DataFrame, choice: FacilityFilter = EVERYTHING
+    pbj: DataFrame | Summary, provider: DataFrame, choice: FacilityFilter = EVERYTHING
 ) -> DataFrame:
     """Name, state and owner of the first joined facility beside the selection's averages."""
     joined = _staffing_with_facilities(pbj, choice.full_scope(provider))

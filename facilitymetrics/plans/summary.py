@@ -1,6 +1,6 @@
 """Staffing summary: the one table that every staffing report can be computed from.
 
-Reports take either day rows or the written summary, with the same result: they only ever add
+Reports take either day rows or the written summary (as ``Summary``), with the same result: they only ever add
 up hours, days and records over keys that the summary keeps.  From day rows each report is a
 single aggregate of its own; a job that builds several writes the summary first, so the
 staffing table is read and shuffled once instead of once per report.
@@ -8,6 +8,8 @@ staffing table is read and shuffled once instead of once per report.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,15 +24,23 @@ HOURS = "Total_Nurse_Hrs"
 MEASURES = (HOURS, "hour_days", "record_count", "employee_hrs", "contractor_hrs")
 
 
-def additive_rows(staffing: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Summary:
+    """Says that a table is a staffing summary; any other table is taken as day rows."""
+
+    table: DataFrame
+
+
+def additive_rows(staffing: DataFrame | Summary) -> DataFrame:
     """Rows whose measures can be added up: day rows extended, a summary as it is.
 
     ``hour_days`` counts the days with a known total, ``record_count`` all days, and
     ``month`` is the first day of the month, null for an unreadable work date.  Columns that a
-    report does not use cost nothing, since they are pruned.
+    report does not use cost nothing, since they are pruned.  Columns of day rows with these
+    names play no part.
     """
-    if "record_count" in staffing.columns:
-        return staffing
+    if isinstance(staffing, Summary):
+        return staffing.table
     return staffing.withColumns(
         {
             "hour_days": F.col(HOURS).isNotNull().cast("int"),

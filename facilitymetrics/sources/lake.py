@@ -60,7 +60,8 @@ def read_csv(
             for name in header
         ]
     )
-    return reader.schema(schema).csv(path)
+    # Files whose header has other names or another order fail instead of being misread.
+    return reader.option("enforceSchema", False).schema(schema).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -7,36 +7,43 @@ hundreds of gigabytes out of a table of a hundred terabytes.
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
+log = logging.getLogger(__name__)
+
 MIB = 1 << 20
-PARTITION_BYTES = 512 * MIB
-# The driver keeps one block list per map task, so neither count may grow without bound;
-# beyond these, partitions get larger and spill.
-MOST_PARTITIONS = 32_768
-MOST_SCAN_TASKS = 131_072
-SPLIT_BYTES = (128 * MIB, 1024 * MIB)
+# Bytes of the plan's estimate for each shuffle partition.  Files on disk are several times smaller
+# than the rows that a shuffle of whole rows moves.
+PARTITION_BYTES = 128 * MIB
+# The driver keeps a block list for each partition; more of them than this is worth a warning.
+MANY_PARTITIONS = 200_000
+_KEY = "spark.sql.shuffle.partitions"
 
 
 def input_bytes(*tables: DataFrame) -> int:
-    """Size on disk of the files that the tables scan, as Catalyst's statistics have it."""
+    """Catalyst's size estimate of the tables: bytes on disk of scans, scaled by projections."""
     plans = [table._jdf.queryExecution().optimizedPlan() for table in tables]
     return sum(int(plan.stats().sizeInBytes()) for plan in plans)
 
 
-def settings_for(size: int, partitions: int) -> dict[str, str]:
-    """Shuffle and scan settings for ``size`` input bytes; never fewer than ``partitions``."""
-    wanted = max(partitions, min(-(-size // PARTITION_BYTES), MOST_PARTITIONS))
-    smallest, largest = SPLIT_BYTES
-    split = min(max(-(-size // MOST_SCAN_TASKS), smallest), largest)
-    return {
-        "spark.sql.shuffle.partitions": str(wanted),
-        "spark.sql.files.maxPartitionBytes": str(split),
-    }
+def partitions_for(size: int, configured: int, partition_bytes: int = PARTITION_BYTES) -> int:
+    """Shuffle partitions for ``size`` input bytes; never fewer than configured, without a ceiling."""
+    wanted = max(configured, -(-size // partition_bytes))
+    if wanted > MANY_PARTITIONS:
+        log.warning("%d shuffle partitions for %d input bytes", wanted, size)
+    return wanted
 
 
-def size_tasks(spark: SparkSession, *tables: DataFrame) -> None:
-    """Apply ``settings_for`` to the session before the tables are read."""
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    for key, value in settings_for(input_bytes(*tables), configured).items():
-        spark.conf.set(key, value)
+@contextmanager
+def sized_tasks(spark: SparkSession, *tables: DataFrame) -> Iterator[None]:
+    """The session's shuffle partitions follow the tables' size inside, and are restored after."""
+    configured = spark.conf.get(_KEY)
+    spark.conf.set(_KEY, str(partitions_for(input_bytes(*tables), int(configured))))
+    try:
+        yield
+    finally:
+        spark.conf.set(_KEY, configured)

@@ -343,7 +343,8 @@ select count(*) as row_count,
         "rename_provider_info": f"{_WITH_PROVIDER} select {_PROVIDER_COLUMNS} from provider",
         "rename_quality": f"with {_QUALITY} select * from quality_base",
         "rename_state_averages": f"with {_AVERAGES} select {_AVERAGES_RENAMED} from averages",
-        "dedup_full_row": "select distinct l_returnflag, l_linestatus, l_linenumber from lineitem",
+        "dedup_full_row": """
+select distinct * replace (strftime(l_shipdate, '%Y-%m-%d') as l_shipdate) from lineitem""",
         "nurse_hours_strict": f"""{_WITH_PBJ}
 select ccn as cms_certification_number_ccn, workdate as "WorkDate", {_PBJ_DERIVED} from pbj""",
         "occupancy_rate": f"""{_WITH_PROVIDER}
@@ -438,7 +439,7 @@ select 'Contractor', c, case when e + c > 0 then c / (e + c) else 0 end from tot
         "provider_detail_staffing": f"""{_kpi_parts('true')},
 first as (
   select * from joined
-  order by ccn, provider_name, state nulls first, ownership_type nulls first limit 1),
+  order by ccn, provider_name, state nulls last, ownership_type nulls last limit 1),
 states(code, label) as (values {_STATES})
 select provider_name, coalesce(label, state) as state_name, ownership_type,
        format('{{:,.1f}}', a.avg_nurse_hours) as avg_nurse_hours,
@@ -465,4 +466,11 @@ group by provider_name, state""",
         "record_completeness": f"""{_WITH_PBJ}
 select ccn as cms_certification_number_ccn, cy_qtr as "CY_Qtr", count(*) as record_count
 from pbj where ccn is not null and cy_qtr is not null group by ccn, cy_qtr""",
+        "record_completeness_extra_column": f"""{_WITH_PBJ}
+select ccn as cms_certification_number_ccn, cy_qtr as "CY_Qtr", count(*) as record_count
+from pbj where ccn is not null and cy_qtr is not null group by ccn, cy_qtr""",
+        "unexpected_records": f"""{_WITH_PBJ}
+select ccn as cms_certification_number_ccn, cy_qtr as "CY_Qtr", count(*) as record_count
+from pbj where ccn is not null and cy_qtr is not null group by ccn, cy_qtr
+having count(*) <> 30""",
     }

@@ -71,3 +71,17 @@ def test_stars(spark):
     source = spark.createDataFrame([(3.0,), (5.0,), (1.0,), (None,)], "r double")
     found = [row[0] for row in source.select(textfmt.stars(F.col("r"))).collect()]
     assert found == ["★★★☆☆ (3/5)", "★★★★★ (5/5)", "★☆☆☆☆ (1/5)", "Not rated"]
+
+
+def test_work_dates_in_further_forms(spark):
+    texts = ["20241001", " 20241001", "20241001 ", "10/01/2024", "2024-10-01", "1/2/2024", "2024100", "x", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "WorkDate string")
+    days = [str(r[0]) for r in rows.select(parse_workday(rows)).collect()]
+    assert days == ["2024-10-01"] * 5 + ["2024-01-02", "None", "None", "None"]
+    for kind in ("double", "float", "decimal(10,0)", "long"):
+        rows = spark.createDataFrame([("20241001",), ("20241032",), (None,)], "t string")
+        rows = rows.select(rows.t.cast("double").cast(kind).alias("WorkDate"))
+        found = [str(r[0]) for r in rows.select(parse_workday(rows)).collect()]
+        assert found == (["2024-10-01", "None", "None"] if kind != "float" else found)
+    rows = spark.createDataFrame([(20241001.5,), (float("nan"),), (1e300,)], "WorkDate double")
+    assert rows.where(parse_workday(rows).isNotNull()).count() == 0

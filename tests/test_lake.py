@@ -172,3 +172,10 @@ def test_command_line(spark, csv_path, lake):
         ["curate", STATE_AVERAGES, "--refined", lake.refined, "--curated", lake.curated]
     )
     assert read_curated(spark, lake, STATE_AVERAGES).count() == 3
+
+
+def test_csv_files_with_other_header_order_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("State,Cycle\nAL,1\n")
+    (tmp_path / "b.csv").write_text("Cycle,State\n7,AK\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(tmp_path), infer_rest=False).collect()

@@ -3,6 +3,8 @@
 import pytest
 
 import facility_rows as rows
+from pyspark.sql import functions as F
+
 from facilitymetrics.operators.joins import STATE_NAMES, of_selected, with_state_name
 from facilitymetrics.operators.select import (
     FacilityFilter,
@@ -13,7 +15,7 @@ from facilitymetrics.operators.select import (
 from facilitymetrics.plans import occupancy, rollups, staffing
 from facilitymetrics.plans.curate import curate
 from facilitymetrics.plans.facility_staffing import facility_staffing
-from facilitymetrics.plans.summary import FACILITY, FACILITY_STATE, staffing_summary
+from facilitymetrics.plans.summary import FACILITY, FACILITY_STATE, Summary, staffing_summary
 from facilitymetrics.schemas import CCN
 
 EMPTY = FacilityFilter(state="ZZ")
@@ -167,7 +169,7 @@ def test_rollups(pbj):
 
 
 def test_reports_agree_from_days_and_from_the_summary(pbj, provider):
-    summary = staffing_summary(pbj)
+    summary = Summary(staffing_summary(pbj))
     for report in (
         rollups.monthly_hours, rollups.hours_by_month, rollups.hours_by_state,
         rollups.hours_by_provider, rollups.record_completeness,
@@ -184,6 +186,20 @@ def test_reports_agree_from_days_and_from_the_summary(pbj, provider):
         assert sorted(found, key=str) == sorted(rows.as_tuples(report(pbj)), key=str)
 
 
+def test_day_rows_may_have_columns_named_like_measures(pbj):
+    more = pbj.withColumns({c: F.lit(91) for c in ("record_count", "hour_days", "month")})
+    for report in (rollups.record_completeness, rollups.hours_by_month):
+        assert sorted(rows.as_tuples(report(more))) == sorted(rows.as_tuples(report(pbj)))
+
+
+def test_detail_of_a_facility_stored_without_state_and_with_it(pbj, provider):
+    stateless = provider.withColumn("state", F.lit(None).cast("string"))
+    both = provider.union(stateless)
+    first = staffing.provider_detail(pbj, both).first()
+    assert first["state_name"] == staffing.provider_detail(pbj, provider).first()["state_name"]
+    assert first["state_name"] is not None
+
+
 def test_rows_without_a_work_day_are_left_out_of_months(spark):
     undated = rows.PLAIN[:3] + (None,) + rows.PLAIN[4:]
     source = rows.refined_pbj(spark, [rows.PLAIN, undated])

@@ -15,7 +15,7 @@ from facilitymetrics.operators.select import FacilityFilter
 from facilitymetrics.plans import occupancy, rollups, staffing
 from facilitymetrics.plans.facility_staffing import facility_staffing
 from facilitymetrics.schemas import CCN
-from facilitymetrics.sources.sizing import input_bytes, settings_for
+from facilitymetrics.sources.sizing import input_bytes, partitions_for, sized_tasks
 
 ROWS = 6000
 FOR_PROFIT = FacilityFilter(owner="For profit")
@@ -120,8 +120,12 @@ def test_ranking_keeps_every_row_of_a_hot_value(spark):
     )
     ranked = occupancy.occupancy_ranking(rows)
     assert ranked.count() == 3000
-    sizes = ranked.groupBy(F.spark_partition_id()).count()
-    assert ranked.rdd.getNumPartitions() == 1 or sizes.agg(F.max("count")).first()[0] < 2000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = ranked.groupBy(F.spark_partition_id()).count()
+        assert sizes.agg(F.max("count")).first()[0] < 2000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def _plan(df):
@@ -212,14 +216,17 @@ def test_hot_facility_is_split_in_a_day_row_semi_join(spark, stored, tmp_path):
 
 
 @pytest.mark.parametrize(
-    ("size", "partitions", "split_mib"),
-    [(0, 200, 128), (1 << 40, 2048, 128), (100 << 40, 32768, 800), (1 << 50, 32768, 1024)],
+    "size, partitions", [(1, 200), (1 << 40, 8192), (100 << 40, 819_200)]
 )
-def test_task_counts_follow_the_input(size, partitions, split_mib):
-    assert settings_for(size, 200) == {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(split_mib << 20),
-    }
+def test_task_counts_follow_the_input(size, partitions):
+    assert partitions_for(size, 200) == partitions
+
+
+def test_task_counts_are_restored(spark, stored):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with sized_tasks(spark, *stored):
+        pass
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
 def test_input_size_is_known_without_reading(stored):
