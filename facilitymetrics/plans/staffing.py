@@ -160,7 +160,7 @@ def staffing_mix(
     pbj: DataFrame | Summary, provider: DataFrame, choice: FacilityFilter = EVERYTHING
 ) -> DataFrame:
     """Employee and contractor hours of the selection as two labelled rows."""
-    by_facility = pbj.groupBy(CCN).agg(
+    by_facility = additive_rows(pbj).groupBy(CCN).agg(
         F.sum("employee_hrs").alias("employee_hours"),
         F.sum("contractor_hrs").alias("contractor_hours"),
     )
