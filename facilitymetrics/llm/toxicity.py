@@ -86,7 +86,7 @@ def _vocabulary(examples: DataFrame) -> list[str]:
     counts = examples.mapInArrow(_feature_counts, "feature string, toxic long, clean long")
     counts = counts.groupBy("feature").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b")).where("a + b >= 3")
     counts = written(counts, "features")
-    bound = 2 * math.log(max(counts.count(), 2))
+    bound = 2 * math.log(max(counts.count(), 2)) + 2
     p = n1 / (n1 + n0)
     a, b = F.col("a"), F.col("b")
     part = lambda x, mean: F.when(x > 0, x * F.log(x / mean)).otherwise(0.0)
@@ -94,7 +94,7 @@ def _vocabulary(examples: DataFrame) -> list[str]:
     inside = part(a, all_ * p) + part(b, all_ * (1 - p))
     outside = part(n1 - a, (n1 + n0 - all_) * p) + part(n0 - b, (n1 + n0 - all_) * (1 - p))
     chosen = counts.withColumn("g", 2 * (inside + outside)).where(
-        (F.col("g") >= bound) & (a / n1 > 3 * b / n0)
+        (F.col("g") >= bound) & (a / n1 > 5 * b / n0)
     ).orderBy(F.desc("g"), "feature").limit(FEATURES)
     return [r["feature"] for r in chosen.select("feature").collect()]
 
@@ -133,29 +133,43 @@ class BlockMaxIndex:
         self.toxic = np.array([entries[k][0] for k in keys], float)
         self.count = np.array([entries[k][0] + entries[k][1] for k in keys], float)
         self.example = [entries[k][2] for k in keys]
-        self.weights = np.stack([self.unit(k) for k in keys]) if keys else np.zeros((0, len(idf)))
-        edges = range(0, len(keys), BLOCK)
-        # Largest weight of each feature in each block.
-        self.most = np.stack([self.weights[a : a + BLOCK].max(axis=0) for a in edges]) if keys else np.zeros((0, len(idf)))
+        # Postings of each feature: entries in order and their weights, and its blocks with where
+        # their postings begin and their largest weight.
+        found: dict[int, list[tuple[int, float]]] = {}
+        for at, key in enumerate(keys):
+            for feature, weight in zip(key, self.unit(key)):
+                found.setdefault(feature, []).append((at, weight))
+        self.postings = {}
+        for feature, own in found.items():
+            at = np.array([x[0] for x in own], np.int32)
+            weights = np.array([x[1] for x in own])
+            blocks, begin = np.unique(at // BLOCK, return_index=True)
+            self.postings[feature] = at, weights, blocks, np.append(begin, len(at)), np.maximum.reduceat(weights, begin)
 
     def unit(self, numbers: tuple[int, ...]) -> np.ndarray:
-        out = np.zeros(len(self.idf))
-        out[list(numbers)] = self.idf[list(numbers)]
-        return out / np.linalg.norm(out)
+        """Weights of these features in a vector of length one."""
+        own = self.idf[list(numbers)]
+        return own / np.linalg.norm(own)
 
     def nearest(self, query: tuple) -> tuple[np.ndarray, np.ndarray]:
         """Entries and cosines, nearest first: the fewest that hold ``NEAREST`` examples, and ties."""
-        unit = self.unit(query)
-        used = np.flatnonzero(unit)
-        q = unit[used]
-        bounds = self.most[:, used] @ q
+        lists = [(q, self.postings[f]) for f, q in zip(query, self.unit(query)) if f in self.postings]
+        bounds = np.zeros(-(-len(self.count) // BLOCK))
+        for q, (_, _, blocks, _, most) in lists:
+            bounds[blocks] += q * most
         at, cosines, reach = np.zeros(0, int), np.zeros(0), -1.0
         for block in np.argsort(-bounds, kind="stable"):
             if bounds[block] < reach - 1e-12 or bounds[block] <= 0:
                 break
-            rows = np.arange(block * BLOCK, min((block + 1) * BLOCK, len(self.count)))
-            at = np.concatenate([at, rows])
-            cosines = np.concatenate([cosines, self.weights[rows][:, used] @ q])
+            here = np.zeros(BLOCK)
+            for q, (members, weights, blocks, begin, _) in lists:
+                k = np.searchsorted(blocks, block)
+                if k < len(blocks) and blocks[k] == block:
+                    part = slice(begin[k], begin[k + 1])
+                    here[members[part] - block * BLOCK] += q * weights[part]
+            rows = np.flatnonzero(here)
+            at = np.concatenate([at, rows + block * BLOCK])
+            cosines = np.concatenate([cosines, here[rows]])
             order = np.lexsort((at, -cosines))
             at, cosines = at[order], cosines[order]
             held = np.searchsorted(np.cumsum(self.count[at]), NEAREST)

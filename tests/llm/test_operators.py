@@ -348,7 +348,10 @@ def test_block_max_is_exact():
     for _ in range(50):
         query = tuple(sorted(rng.choice(40, rng.integers(1, 6), replace=False).tolist()))
         at, cosines = index.nearest(query)
-        every = index.weights @ index.unit(query)
+        every = np.zeros(len(entries))
+        for k, key in enumerate(sorted(entries)):
+            own = dict(zip(key, index.unit(key)))
+            every[k] = sum(own.get(f, 0) * q for f, q in zip(query, index.unit(query)))
         order = np.lexsort((np.arange(len(every)), -every))
         held = int(np.searchsorted(np.cumsum(index.count[order]), toxicity.NEAREST))
         reach = every[order][min(held, len(order) - 1)]
