@@ -69,7 +69,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, packed into sequences of 2048 tokens."""
-    return packed(docs, tokenizer_path(), 2048)
+    return packed(docs, tokenizer_path(), 2048, tokenizer_path("byte_bpe_50k.tiktoken"))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -13,6 +13,7 @@ number picks pattern, sequence and offset.  Texts are tokenized once; only piece
 
 from __future__ import annotations
 
+import base64
 import re
 import zlib
 from collections.abc import Iterator
@@ -26,54 +27,50 @@ from pyspark.sql.window import Window
 
 from facilitymetrics.llm.scratch import written
 
-_CACHED = 200_000
-_JOINED = re.compile(r"\s ")
-_EDGE = re.compile(r"(?<=\S)(?= )")
+# Fixed value: how the byte-level vocabulary cuts text before merging.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Beyond these characters, libraries may differ in the Unicode version of their tables.
+_UNCOMMON = re.compile("[^\x00-\u024f]")
 
 
 class Encoder:
-    """Token ids of texts, the same as of the tokenizer, from a cache of parts between spaces.
+    """Token ids of texts, as the tokenizer file defines them.
 
-    The tokenizer never forms a token across the place between a character that is no white space and
-    a following space, so the parts between such places are encoded on their own.
+    ``ranks`` names the same vocabulary as merge ranks.  With it, texts of common letters without a
+    special token's string are encoded from the ranks, which is several times faster and gives
+    the same ids; all others go to the tokenizer.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranks: str | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        self.fast = None
+        if ranks:
+            import tiktoken
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+            with open(ranks, "rb") as lines:
+                merges = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+            self.fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=merges, special_tokens={})
 
-    def _parts(self, text: str) -> list[str]:
-        if any(x in text for x in self.special):
-            return [text]
-        if _JOINED.search(text):
-            return _EDGE.split(text)
-        first, *others = text.split(" ")
-        parts = [" " + x for x in others]
-        return [first, *parts] if first else parts
+    def _slow(self, text: str) -> bool:
+        return self.fast is None or bool(_UNCOMMON.search(text)) or any(x in text for x in self.special)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [self._parts(text) if text else [] for text in texts]
-        if len(self.known) > _CACHED:
-            self.known.clear()
-        new = list({x for own in parts for x in own} - self.known.keys())
-        for start in range(0, len(new), 10_000):
-            some = new[start : start + 10_000]
-            self.known.update(zip(some, self._encode(some)))
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, own)), "<u4") for own in parts]
+        rest = [k for k, text in enumerate(texts) if self._slow(text)]
+        found = self.tokenizer.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False)
+        slow = dict(zip(rest, (x.ids for x in found)))
+        return [
+            np.array(slow[k] if k in slow else self.fast.encode_ordinary(text), "<u4")
+            for k, text in enumerate(texts)
+        ]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int, ranks: str | None = None, end_id: int = 0) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32)`` of ``docs (doc_id, text)``.
 
     A document is its ids followed by ``end_id``.  A longer one than ``capacity`` is cut from
@@ -86,9 +83,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0) -> D
     )])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer not in _ENCODERS:
-            _ENCODERS[tokenizer] = Encoder(tokenizer)
-        encoder = _ENCODERS[tokenizer]
+        if (tokenizer, ranks) not in _ENCODERS:
+            _ENCODERS[tokenizer, ranks] = Encoder(tokenizer, ranks)
+        encoder = _ENCODERS[tokenizer, ranks]
         tail = np.array([end_id], "<u4")
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
@@ -174,7 +171,14 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
     return out
 
 
-def packed(docs: DataFrame, tokenizer: str, capacity: int = 2048, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def packed(
+    docs: DataFrame,
+    tokenizer: str,
+    capacity: int = 2048,
+    ranks: str | None = None,
+    doc_id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
     """Every piece of every document, with its ``sequence_id`` and ``offset`` there.
 
     A null or empty text is the end token alone.  Rows without an id, or that repeat one, are
@@ -183,7 +187,7 @@ def packed(docs: DataFrame, tokenizer: str, capacity: int = 2048, doc_id: str =
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     # Row numbers are written with the rows, so they cannot change any more.
-    found = written(pieces(docs, tokenizer, capacity).withColumn("row", F.monotonically_increasing_id()), "pieces")
+    found = written(pieces(docs, tokenizer, capacity, ranks).withColumn("row", F.monotonically_increasing_id()), "pieces")
     counts = {r["length"]: r["n"] for r in found.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots, sequence, used = [], 0, {}
     for lengths, n in plan(counts, capacity):

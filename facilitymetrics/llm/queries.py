@@ -62,7 +62,7 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(_table(spark, sf_dir, "documents"), tokenizer_path(), 2048)
+    return packed(_table(spark, sf_dir, "documents"), tokenizer_path(), 2048, tokenizer_path("byte_bpe_50k.tiktoken"))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -269,10 +269,11 @@ def test_cross_entropy_difference(spark):
 
 
 def test_token_ids_equal_the_tokenizer():
-    encoder = packing.Encoder(tokenizer_path())
+    encoder = packing.Encoder(tokenizer_path(), tokenizer_path("byte_bpe_50k.tiktoken"))
     rng = random.Random(7)
     texts = ["", " ", "a", "a  b", " a", "a ", "a \n b", "x\n \ny", "it's  don't 're", "  b", "a  c", "<|endoftext|> a", "é 12ab"]
     texts += ["".join(rng.choices(list("ab 'sé\n\t1. 　"), k=30)) for _ in range(400)]
+    texts += ["".join(chr(rng.randrange(0x250)) for _ in range(40)) for _ in range(2000)] + [chr(k) * 3 for k in range(0x250)]
     plain = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert [x.tolist() for x in encoder.ids(texts)] == plain
 
@@ -280,7 +281,7 @@ def test_token_ids_equal_the_tokenizer():
 def test_packing(spark, texts):
     rows = list(enumerate(texts)) + [(None, None), (3, "one"), (None, "more words")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    out = packing.packed(docs, tokenizer_path(), 64).collect()
+    out = packing.packed(docs, tokenizer_path(), 64, tokenizer_path("byte_bpe_50k.tiktoken")).collect()
     encoder = packing.Encoder(tokenizer_path())
     expected = Counter()
     for (i, text), ids in zip(rows, encoder.ids([t or "" for _, t in rows])):
