@@ -19,7 +19,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +26,8 @@ from pyspark.sql import functions as F
 from facilitymetrics.llm.components import components
 from facilitymetrics.llm.scratch import written
 
-TABLES, PARTS, PROBES = 8, 2, 4
+# Three rotations give two million buckets at 64 dimensions, so chance meetings stay few.
+TABLES, PARTS, PROBES = 8, 3, 4
 BLOCK = 1024
 _SEED = 20_061
 
@@ -62,8 +62,10 @@ def buckets(x: np.ndarray) -> np.ndarray:
             for turn in range(3):
                 y = hadamard(y * signs[t, part, turn])
             both = np.concatenate([y, -y], axis=1)
-            best = np.argsort(-both, axis=1, kind="stable")[:, :PROBES]
+            best = np.argpartition(-both, PROBES - 1, axis=1)[:, :PROBES]
             value = both[rows, best]
+            order = np.argsort(-value, axis=1, kind="stable")
+            best, value = best[rows, order], value[rows, order]
             axes.append(best)
             losses.append(value[:, :1] - value)
         # Combinations of one axis for each part, by total loss; the first is the own bucket.
@@ -85,31 +87,102 @@ def _usable(vectors: DataFrame) -> DataFrame:
     return vectors.where(fine).groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("weight"))
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows cut anew, so that no ``(bucket, i, j)`` is divided; one group is bounded by two blocks."""
+    held = None
+    for batch in batches:
+        held = batch if held is None else pa.concat_batches([held, batch])
+        keys = np.stack([held.column(k).to_numpy() for k in range(3)])
+        changes = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0))
+        if len(changes):
+            cut = int(changes[-1]) + 1
+            yield held.slice(0, cut)
+            held = held.slice(cut)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _meet_first(p: np.ndarray, q: np.ndarray, bucket: int) -> np.ndarray:
+    """Pairs of visited buckets ``(pair, table, probe)`` that meet in none before ``bucket``."""
+    own_p, own_q = p[:, :, :1], q[:, :, :1]
+    before = ((own_p == q) & (q < bucket)) | ((own_q == p) & (p < bucket))
+    return ~before.any(axis=(1, 2))
+
+
+def _group_links(bucket: int, square: bool, k_is_i: np.ndarray, cls: np.ndarray, own: np.ndarray,
+                 weight: np.ndarray, x: np.ndarray, codes: np.ndarray, least: float) -> tuple[np.ndarray, ...] | None:
+    """Counts ``(class, links)`` and a spanning forest ``(class, class)`` of a block pair's new links."""
+    a = np.flatnonzero(k_is_i)
+    b = a if square else np.flatnonzero(~k_is_i)
+    if not len(a) or not len(b):
+        return None
+    near = (x[a] @ x[b].T >= least) & (own[a][:, None] | own[b][None, :])
+    if square:
+        near = np.triu(near, 1)
+    left, right = np.nonzero(near)
+    if not len(left):
+        return None
+    left, right = a[left], b[right]
+    # Only where the pair meets first: no smaller bucket has both, one of them as its own.
+    first = np.concatenate([
+        _meet_first(codes[left[s : s + 16_384]], codes[right[s : s + 16_384]], bucket)
+        for s in range(0, len(left), 16_384)
+    ])
+    left, right = left[first], right[first]
+    if not len(left):
+        return None
+    links = np.zeros(len(cls), np.int64)
+    np.add.at(links, left, weight[right])
+    np.add.at(links, right, weight[left])
+    counted = np.flatnonzero(links)
+    label = np.arange(len(cls))
+    while True:
+        new = label.copy()
+        low = np.minimum(label[left], label[right])
+        np.minimum.at(new, left, low)
+        np.minimum.at(new, right, low)
+        if (new == label).all():
+            break
+        label = new
+    moved = np.flatnonzero(label != np.arange(len(cls)))
+    return cls[counted], links[counted], cls[moved], cls[label[moved]]
+
+
 def vector_links(classes: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     """``(cls, links)`` counts by weight, and edges ``(u, v)``, of ``classes (cls, weight, v)``."""
 
-    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def visited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin in range(0, batch.num_rows, 4096):
                 part = batch.slice(begin, 4096)
-                vectors = part.column(1).to_pylist()
-                widths = np.array([len(v) for v in vectors])
+                vectors = part.column(2)
+                flat, ends = vectors.flatten().to_numpy(), np.cumsum(vectors.value_lengths().to_numpy())
+                widths = np.diff(ends, prepend=0)
                 found = np.zeros((len(vectors), TABLES, PROBES), np.int64)
                 for width in np.unique(widths):
-                    own = np.flatnonzero(widths == width)
-                    x = np.array([vectors[k] for k in own], np.float64)
-                    x /= np.abs(x).max(axis=1, keepdims=True)
-                    x /= np.linalg.norm(x, axis=1, keepdims=True)
+                    rows = np.flatnonzero(widths == width)
+                    x = _unit(flat[(ends[rows] - width)[:, None] + np.arange(width)])
                     # Vectors of different lengths never share a bucket.
-                    found[own] = buckets(x) * 65_536 + width
-                flat = found.reshape(len(found), -1)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.repeat(part.column(0).to_numpy(zero_copy_only=False), flat.shape[1])),
-                    pa.array(flat.ravel()),
-                    pa.array(np.tile(np.arange(flat.shape[1]) % PROBES == 0, len(flat))),
-                ], names=["cls", "bucket", "own"])
-
-    listed = written(classes.select("cls", "v").mapInArrow(entries, "cls long, bucket long, own boolean"), "buckets")
+                    found[rows] = buckets(x) * 65_536 + width
+                codes = list(found.reshape(len(found), -1))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(codes, pa.list_(pa.int64()))], names=["cls", "weight", "v", "codes"]
+                )
+
+    coded = written(
+        classes.select("cls", "weight", "v").mapInArrow(
+            visited, "cls long, weight long, v array<double>, codes array<long>"
+        ),
+        "buckets",
+    )
+    listed = coded.select("cls", F.posexplode("codes").alias("at", "bucket")).select(
+        "bucket", "cls", (F.col("at") % PROBES == 0).alias("own")
+    )
     sizes = listed.groupBy("bucket").agg(F.count("*").alias("n"), F.max("own").alias("any")).where("n > 1 and any")
     sizes = sizes.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
     marked = listed.join(sizes, "bucket").withColumn("k", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
@@ -117,58 +190,38 @@ def vector_links(classes: DataFrame, least: float) -> tuple[DataFrame, DataFrame
     placed = marked.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)"))).select(
         "bucket", F.least("k", "other").alias("i"), F.greatest("k", "other").alias("j"), "k", "cls", "own"
     )
-    rows = placed.join(classes, "cls").select("bucket", "i", "j", "k", "cls", "own", "weight", "v")
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("cls")
-        x = np.array(rows["v"].tolist(), np.float64)
-        x /= np.abs(x).max(axis=1, keepdims=True)
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
-        bucket, i, j = key
-        part, cls = rows["k"].to_numpy(), rows["cls"].to_numpy()
-        own, weight = rows["own"].to_numpy(), rows["weight"].to_numpy()
-        a, b = np.flatnonzero(part == i), np.flatnonzero(part == j)
-        cosine = np.clip(x[a] @ x[b].T, -1, 1)
-        near = (cosine >= least) & (own[a][:, None] | own[b][None, :])
-        near &= (cls[a][:, None] < cls[b][None, :]) if i == j else (cls[a][:, None] != cls[b][None, :])
-        left, right = (y for y in np.nonzero(near))
-        if not len(left):
-            return pd.DataFrame({"kind": [], "u": [], "v": []}).astype({"kind": "int8", "u": "int64", "v": "int64"})
-        # Only where the pair meets first: no smaller bucket has both, one of them as its own.
-        involved, place = np.unique(np.concatenate([a[left], b[right]]), return_inverse=True)
-        codes = buckets(x[involved]) * 65_536 + x.shape[1]
-        codes = codes.reshape(len(involved), -1)
-        at_left, at_right = place[: len(left)], place[len(left) :]
-        first = np.empty(len(left), bool)
-        mine = np.arange(codes.shape[1]) % PROBES == 0
-        for start in range(0, len(left), 4096):
-            p, q = codes[at_left[start : start + 4096]], codes[at_right[start : start + 4096]]
-            meet = (p[:, :, None] == q[:, None, :]) & (mine[:, None] | mine[None, :])
-            smaller = (p < bucket)[:, :, None] & meet
-            first[start : start + 4096] = ~smaller.any(axis=(1, 2))
-        left, right = left[first], right[first]
-        links = np.zeros(len(cls), np.int64)
-        np.add.at(links, a[left], weight[b[right]])
-        np.add.at(links, b[right], weight[a[left]])
-        counted = np.flatnonzero(links)
-        # A spanning forest of the links: their smallest class by repeated minima.
-        label = np.arange(len(cls))
-        while True:
-            new = label.copy()
-            low = np.minimum(label[a[left]], label[b[right]])
-            np.minimum.at(new, a[left], low)
-            np.minimum.at(new, b[right], low)
-            if (new == label).all():
-                break
-            label = new
-        moved = np.flatnonzero(label != np.arange(len(cls)))
-        return pd.DataFrame({
-            "kind": np.concatenate([np.zeros(len(counted), "int8"), np.ones(len(moved), "int8")]),
-            "u": np.concatenate([cls[counted], cls[moved]]),
-            "v": np.concatenate([links[counted], cls[label[moved]]]),
-        })
-
-    found = written(rows.groupBy("bucket", "i", "j").applyInPandas(run, "kind byte, u long, v long"), "links")
+    rows = placed.join(coded, "cls").select("bucket", "i", "j", "k", "cls", "own", "weight", "v", "codes")
+    schema = "kind byte, u long, v long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _by_group(batches):
+            bucket, i, j, k, cls, own, weight = (
+                part.column(c).to_numpy(zero_copy_only=False) for c in range(7)
+            )
+            values = part.column(7).flatten().to_numpy()
+            ends = np.cumsum(part.column(7).value_lengths().to_numpy())
+            codes = part.column(8).flatten().to_numpy().reshape(-1, TABLES, PROBES)
+            new = (bucket[1:] != bucket[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+            begins = np.concatenate([[0], np.flatnonzero(new) + 1, [len(bucket)]])
+            counts, edges = [], []
+            for s, e in zip(begins[:-1], begins[1:]):
+                if e - s < 2:
+                    continue
+                x = _unit(values[ends[s - 1] if s else 0 : ends[e - 1]].reshape(e - s, -1))
+                found = _group_links(
+                    bucket[s], i[s] == j[s], k[s:e] == i[s], cls[s:e], own[s:e], weight[s:e], x, codes[s:e], least
+                )
+                if found is not None:
+                    counts.append(found[:2])
+                    edges.append(found[2:])
+            if counts:
+                u, v = (np.concatenate([x[c] for x in (*counts, *edges)]) for c in (0, 1))
+                kind = np.zeros(len(u), np.int8)
+                kind[sum(len(x[0]) for x in counts) :] = 1
+                yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(u), pa.array(v)], names=["kind", "u", "v"])
+
+    grouped = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    found = written(grouped.mapInArrow(run, schema), "links")
     counts = found.where("kind = 0").groupBy(F.col("u").alias("cls")).agg(F.sum("v").alias("links"))
     return counts, found.where("kind = 1").select("u", "v")
 
