@@ -94,24 +94,23 @@ def _open_starts(n_windows: int, spans: np.ndarray) -> np.ndarray:
 
 def _grouped(spans: DataFrame) -> DataFrame:
     """One list of packed spans for each document; its length is bounded by the document's."""
-    return spans.groupBy("k1", "k2").agg(F.collect_list("span").alias("spans"))
+    return spans.groupBy("k").agg(F.collect_list("span").alias("spans"))
 
 
 def _unique(rows: DataFrame) -> DataFrame:
     """Spans of names that occur once; partial counts are summed before the shuffle."""
     return rows.groupBy("name").agg(
-        F.count("*").alias("n"), F.min("k1").alias("k1"), F.min("k2").alias("k2"), F.min("span").alias("span")
-    ).where("n = 1").select("k1", "k2", "span")
+        F.count("*").alias("n"), F.min("k").alias("k"), F.min("span").alias("span")
+    ).where("n = 1").select("k", "span")
 
 
-_NAMED = "name long, k1 long, k2 long, span long"
+_NAMED = "name long, k long, span long"
 
 
-def _batch(name: np.ndarray, k1, k2, rows: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+def _batch(name: np.ndarray, k, rows: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([
-        pa.array(name.view(np.int64)), k1.take(pa.array(rows)), k2.take(pa.array(rows)),
-        pa.array((a.astype(np.int64) << 32) | b),
-    ], names=["name", "k1", "k2", "span"])
+        pa.array(name.view(np.int64)), k.take(pa.array(rows)), pa.array((a.astype(np.int64) << 32) | b)
+    ], names=["name", "k", "span"])
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 35) -> DataFrame:
@@ -124,8 +123,8 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     each other.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    # Rows that agree in these keys have equal texts, so none of their windows is unique anyway.
-    docs = docs.withColumn("k1", F.xxhash64("doc_id", "text")).withColumn("k2", F.crc32(F.col("text").cast("binary")))
+    # Rows that agree in this key have equal texts, so none of their windows is unique anyway.
+    docs = docs.withColumn("k", F.xxhash64("doc_id", "text"))
 
     def high_symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,7 +136,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 # Window starts whose window holds the whole reach.
                 a, b = np.maximum(high - start - window, 0), np.minimum(low - start, count[doc] - window)
                 use = (a <= b) & (low >= start) & (high <= start + count[doc])
-                yield _batch(sym[use], batch.column(1), batch.column(2), doc[use] + begin, a[use], b[use])
+                yield _batch(sym[use], batch.column(1), doc[use] + begin, a[use], b[use])
 
     def open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,13 +146,13 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 for k, (a, b) in enumerate(zip(words.first[:-1], words.first[1:])):
                     if b - a < window:
                         continue
-                    at = np.flatnonzero(_open_starts(b - a - window + 1, _proved(batch.column(3), begin + k)))
+                    at = np.flatnonzero(_open_starts(b - a - window + 1, _proved(batch.column(2), begin + k)))
                     names.append(every[a + at])
                     rows.append(np.full(len(at), begin + k))
                     starts.append(at)
                 if names:
                     at = np.concatenate(starts)
-                    yield _batch(np.concatenate(names), batch.column(1), batch.column(2), np.concatenate(rows), at, at)
+                    yield _batch(np.concatenate(names), batch.column(1), np.concatenate(rows), at, at)
 
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     kept_columns = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
@@ -166,7 +165,8 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 for k, (a, b) in enumerate(zip(words.first[:-1], words.first[1:])):
                     stay = np.ones(b - a, bool)
                     if b - a >= window:
-                        open_ = _open_starts(b - a - window + 1, _proved(batch.column(2), begin + k))
+                        spans = np.concatenate([_proved(batch.column(c), begin + k) for c in (2, 3)])
+                        open_ = _open_starts(b - a - window + 1, spans)
                         steps = np.zeros(b - a + 1, np.int64)
                         steps[: len(open_)] += open_
                         steps[window : window + len(open_)] -= open_
@@ -183,11 +183,10 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     pa.array([x.decode() for x in texts]),
                 ], names=kept_columns)
 
-    from_symbols = _unique(docs.select("text", "k1", "k2").mapInArrow(high_symbols, _NAMED))
-    first = _grouped(from_symbols)
-    left = docs.select("text", "k1", "k2").join(first, ["k1", "k2"], "left")
-    from_windows = _unique(left.select("text", "k1", "k2", "spans").mapInArrow(open_windows, _NAMED))
-    both = _grouped(from_symbols.union(from_windows))
-    return docs.join(both, ["k1", "k2"], "left").select("text", "doc_id", "spans").mapInArrow(
+    from_symbols = _grouped(_unique(docs.select("text", "k").mapInArrow(high_symbols, _NAMED)))
+    # Both uses of this join read the same shuffled texts, so they have the same columns.
+    left = docs.join(from_symbols, "k", "left").select("text", "k", "spans", "doc_id")
+    from_windows = _grouped(_unique(left.mapInArrow(open_windows, _NAMED))).withColumnRenamed("spans", "more")
+    return left.join(from_windows, "k", "left").select("text", "doc_id", "spans", "more").mapInArrow(
         kept, f"doc_id {doc_type}, n_words long, n_removed long, kept_sha256 string, kept_text string"
     )
