@@ -8,8 +8,10 @@ model; a document's score is the mean over its tokens, so low scores resemble th
 
 A document is scored by models that have not seen it: its own counts are taken off.  Bigrams
 that no other document has then have no bigram counts, and their loss follows from the broadcast
-word counts alone.  Only bigrams of two or more documents are joined back to the documents, by
-key; the bigram table is never collected and grows with the corpus.
+word counts alone.  The counts of the most frequent bigrams, ``FREQUENT`` at most, are broadcast and
+scored where the text is read; all other bigrams of two or more documents are joined back to the
+documents by key.  Both ways give the same losses.  The bigram table is never collected and grows
+with the corpus.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from facilitymetrics.llm import words as W
 from facilitymetrics.llm.scratch import written
 
 VOCABULARY = 16_384
+# Bigrams whose counts are broadcast, 24 bytes each.
+FREQUENT = 1 << 18
 # Strength of the word model within the bigram model, and of the uniform one within the word model.
 BIGRAM_PRIOR = 50.0
 WORD_PRIOR = 1.0
@@ -56,8 +60,49 @@ def _places(words: W.Words, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndar
     return word, before
 
 
+def _losses(model: tuple, key: np.ndarray, n: np.ndarray, aim: np.ndarray, counts: tuple) -> list[np.ndarray]:
+    """Background and target loss of ``n`` tokens of each bigram; ``counts`` are its counts in both models."""
+    context, word, total = model
+    size = word.shape[1]
+    w, c = key % size, key // size
+    out = []
+    for side, seen in enumerate(counts):
+        own = n * aim if side else n
+        seen = np.maximum(seen - own, 0)
+        # The tokens of this bigram in the document are taken off its word and context too.
+        single = (np.maximum(word[side, w] - own, 0) + WORD_PRIOR) / (
+            np.maximum(total[side] - own, 0) + WORD_PRIOR * size
+        )
+        p = (seen + BIGRAM_PRIOR * single) / (np.maximum(context[side, c] - own, seen) + BIGRAM_PRIOR)
+        out.append(-n * np.log(p))
+    return out
+
+
+def _frequent(types: DataFrame, most: int) -> tuple[np.ndarray, ...]:
+    """Sorted keys and both counts of all bigrams from a count on that leaves at most ``most``."""
+    level = F.floor(F.log2("b") * 16).cast("int")
+    levels = sorted(types.groupBy(level.alias("level")).agg(F.count("*").alias("m")).collect(), reverse=True)
+    least, held = None, 0
+    for row in levels:
+        held += row["m"]
+        if held > most:
+            break
+        least = row["level"]
+    if least is None:
+        return (np.zeros(0, np.int64),) * 3
+    found = types.where(level >= least).select("key", "b", "t").toArrow()
+    key, b, t = (found.column(c).to_numpy() for c in range(3))
+    order = np.argsort(key)
+    return key[order], b[order], t[order]
+
+
 def scored(
-    docs: DataFrame, target: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: int = VOCABULARY
+    docs: DataFrame,
+    target: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    vocabulary: int = VOCABULARY,
+    frequent: int = FREQUENT,
 ) -> DataFrame:
     """``(doc_id, n_tokens, target_loss, background_loss, score)`` of every document.
 
@@ -110,29 +155,52 @@ def scored(
             out[0, r["w"]], out[1, r["w"]] = r["b"], r["t"]
     model = spark.sparkContext.broadcast((context, word, word.sum(axis=1)))
 
+    top_bigrams = spark.sparkContext.broadcast(_frequent(types.where("df > 1"), frequent))
+
+    def partly_scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Loss sums of frequent bigrams, one row for each document, and the rows of all others.
+
+        A row of sums has a negative key, which no bigram has.
+        """
+        keys, all_b, all_t = top_bigrams.value
+        for batch in bigrams(batches):
+            doc, key, n, aim = (batch.column(k).to_numpy() for k in range(4))
+            at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+            here = keys[at] == key if len(keys) else np.zeros(len(key), bool)
+            rest = ~here
+            at, size_n = at[here], n[here].astype(np.int64)
+            own = doc[here]
+            found = _losses(model.value, key[here], size_n, aim[here].astype(np.int64), (all_b[at], all_t[at]))
+            ids, place = np.unique(own, return_inverse=True)
+            sums = [np.bincount(place, x, len(ids)) for x in (size_n, *found)]
+            none = pa.nulls(int(rest.sum()), pa.float64())
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([doc[rest], ids])),
+                pa.array(np.concatenate([key[rest], -1 - ids])),
+                pa.array(np.concatenate([n[rest], sums[0].astype(np.int64)]).astype(np.int64)),
+                pa.array(np.concatenate([aim[rest], np.zeros(len(ids), aim.dtype)]).astype(np.int32)),
+                pa.concat_arrays([none, pa.array(sums[1], pa.float64())]),
+                pa.concat_arrays([none, pa.array(sums[2], pa.float64())]),
+            ], names=["doc", "key", "n", "aim", "loss_b", "loss_t"])
+
     def losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Loss sums of rows ``(doc, key, n, aim, b, t)``; b and t are null for a bigram of one document."""
-        context, word, total = model.value
+        """Loss sums of all rows; b and t are null for a bigram of one document."""
         for batch in batches:
-            n, key, aim = (batch.column(k).to_numpy().astype(np.int64) for k in (2, 1, 3))
-            sums = []
-            for side in (0, 1):
-                own = n * aim if side else n
-                seen = batch.column(5 if side else 4).fill_null(0).to_numpy().astype(float)
-                seen = np.maximum(seen - own, 0)
-                w, c = key % size, key // size
-                # The tokens of this bigram in the document are taken off its word and context too.
-                single = (np.maximum(word[side, w] - own, 0) + WORD_PRIOR) / (
-                    np.maximum(total[side] - own, 0) + WORD_PRIOR * size
-                )
-                p = (seen + BIGRAM_PRIOR * single) / (np.maximum(context[side, c] - own, seen) + BIGRAM_PRIOR)
-                sums.append(-n * np.log(p))
+            key, n, aim = (batch.column(k).to_numpy().astype(np.int64) for k in (1, 2, 3))
+            counts = tuple(batch.column(k).fill_null(0).to_numpy().astype(float) for k in (6, 7))
+            summed = key < 0
+            found = _losses(model.value, np.maximum(key, 0), n, aim, counts)
+            done = [batch.column(k).fill_null(0.0).to_numpy() for k in (4, 5)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n), pa.array(sums[0]), pa.array(sums[1])], names=["doc", "n", "b", "t"]
+                [batch.column(0), pa.array(n), *(pa.array(np.where(summed, d, x)) for d, x in zip(done, found))],
+                names=["doc", "n", "b", "t"],
             )
 
     several = types.where("df > 1").select("key", "b", "t")
-    joined = tokens.join(several, "key", "left").select("doc", "key", "n", "aim", "b", "t")
+    parts = keyed.select("doc", "text", "aim").mapInArrow(
+        partly_scored, "doc long, key long, n long, aim int, loss_b double, loss_t double"
+    )
+    joined = parts.join(several, "key", "left").select("doc", "key", "n", "aim", "loss_b", "loss_t", "b", "t")
     sums = joined.mapInArrow(losses, "doc long, n long, b double, t double").groupBy("doc").agg(
         F.sum("n").alias("n_tokens"), F.sum("b").alias("b"), F.sum("t").alias("t")
     )

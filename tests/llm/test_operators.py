@@ -243,6 +243,10 @@ def test_cross_entropy_difference(spark):
     docs = spark.createDataFrame(list(enumerate(texts)) + [(None, texts[1])], "doc_id long, text string")
     target = spark.createDataFrame([(k,) for k in range(1, 41, 2)] + [(None,), (1,)], "doc_id long")
     out = {r["doc_id"]: r for r in scored(docs, target).collect() if r["doc_id"] is not None}
+    # Frequent bigrams scored in place, some of them or none, have the same losses.
+    for frequent in (0, 500):
+        for r in scored(docs, target, frequent=frequent).where("n_tokens > 0 and doc_id is not null").collect():
+            assert r["score"] == pytest.approx(out[r["doc_id"]]["score"], rel=1e-9, abs=1e-12)
     held = [out[k]["score"] for k in range(41, 60, 2)]
     assert max(held) < min(out[k]["score"] for k in range(0, 60, 2))
     assert out[60]["n_tokens"] == 0 and out[61]["score"] is None and out[1]["n_tokens"] == 40
