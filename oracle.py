@@ -54,10 +54,12 @@ pbj_base as (
   select case when l_quantity <> 50 then cast(l_partkey as varchar) end as ccn,
          case when l_linenumber <> 7 then {_name('l_partkey')} end as provider_name,
          case when l_discount <> 0.01 then {_state('l_partkey')} end as state,
-         cast(strftime(l_shipdate, '%Y%m%d') as integer) as workdate,
+         case when l_linenumber = 6 then null when l_tax = 0.08 then 20241399
+              else cast(strftime(l_shipdate, '%Y%m%d') as integer) end as workdate,
          {_QUARTER} as cy_qtr,
-         strftime(l_shipdate, '%Y-%m') as month,
-         cast(l_shipdate as date) as work_day,
+         case when l_linenumber <> 6 and l_tax <> 0.08
+              then strftime(l_shipdate, '%Y-%m') end as month,
+         case when l_linenumber <> 6 and l_tax <> 0.08 then cast(l_shipdate as date) end as work_day,
          (l_quantity - 1) / 4 as rn,
          case when l_linenumber <> 3 then round(l_discount * 100) / 4 end as lpn,
          round(l_tax * 100) / 4 as cna,
@@ -338,7 +340,7 @@ from (values {audit}) as findings(column_name, declared_type, actual_type, statu
      (select count(*) as row_count from part) as counted""",
         "undated_rows": """
 select count(*) as row_count,
-       count(*) filter (where l_shipdate is null) as undated_rows from lineitem""",
+       count(*) filter (where l_linenumber = 6 or l_tax = 0.08) as undated_rows from lineitem""",
         "rename_pbj": f"{_WITH_PBJ} select {_PBJ_COLUMNS} from pbj",
         "rename_provider_info": f"{_WITH_PROVIDER} select {_PROVIDER_COLUMNS} from provider",
         "rename_quality": f"with {_QUALITY} select * from quality_base",

@@ -83,8 +83,10 @@ def refined_pbj(spark: SparkSession, sf_dir: str) -> DataFrame:
             "PROVNUM": "if(l_quantity = 50, null, string(l_partkey))",
             "PROVNAME": f"if(l_linenumber = 7, null, {_name('l_partkey')})",
             "STATE": f"if(l_discount = 0.01D, null, {_state('l_partkey')})",
+            # Some days are missing, others are no day of the calendar.
             "WorkDate":
-                "year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate)",
+                "case when l_linenumber = 6 then null when l_tax = 0.08D then 20241399 else "
+                "year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) end",
             "CY_Qtr": _QUARTER,
             "Hrs_RN": nurse,
             "Hrs_LPN": practical,
