@@ -3,9 +3,11 @@
 The standard library's parser streams events; lines are the runs of text between block tags.
 Each line has a ratio of its characters to the tags inside and before it.  The ratios are
 smoothed along the page with a Gaussian and divided into two clusters by a threshold; lines of
-the upper one mark content.  The element that holds nearly all marked text (the article) is the content region, and all its lines belong to
-the text, also short ones, except those inside parts that pages declare as something else: menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments.
+the upper one mark content.  The content region is the smallest element that holds all marked lines, or
+the article around it; on a page without one, the outermost element around it that has text of its
+own.  All lines of the region belong to the text, also short ones, except those inside parts that
+pages declare as something else: menus, headers, footers, sidebars, notices, adverts, forms, scripts,
+styles and reader comments.
 """
 
 from __future__ import annotations
@@ -21,8 +23,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 SIGMA = 2.0
-# Part of the marked text that the content region must hold.
-HELD = 0.9
 # Element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
@@ -36,6 +36,8 @@ UNSEEN = frozenset(
 )
 OUTSIDE = frozenset("nav footer aside form dialog menu header".split())
 ARTICLE = frozenset("article main".split())
+# Elements that divide a page; all others belong to the flow of a text.
+DIVISIONS = frozenset("html body div section center details dialog fieldset article main".split()) | OUTSIDE
 # Words of class, id and role that declare a part as not belonging to the article.
 DECLARED = frozenset(
     "ad ads advert adverts advertisement advertising adbox banner sponsor sponsored promo promotion nav navbar navigation "
@@ -68,6 +70,7 @@ class PageParser(HTMLParser):
         self.lines: list[Line] = []
         self.open: list[tuple[str, int, bool, bool]] = []  # name, number, unseen, outside
         self.count = 0
+        self.names: dict[int, str] = {}  # of the blocks
         self.line: Line | None = None
 
     def _close(self, at: int) -> None:
@@ -109,6 +112,8 @@ class PageParser(HTMLParser):
                     self._close(k)
                     break
         self.count += 1
+        if tag in BLOCKS:
+            self.names[self.count] = tag
         self.open.append((tag, self.count, unseen, outside))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -168,6 +173,33 @@ def threshold(values: np.ndarray) -> float:
         low, high = new
 
 
+def _region(lines: list[Line], marked: np.ndarray, names: dict[int, str]) -> int | None:
+    """The element whose lines are the text; none for the whole page."""
+    around = [x.path for x, mark in zip(lines, marked) if mark]
+    common = around[0]
+    for path in around[1:]:
+        same = 0
+        while same < min(len(common), len(path)) and common[same] == path[same]:
+            same += 1
+        common = common[:same]
+    for element in common:
+        if names[element] in ARTICLE:
+            return element
+    # Without an article: a list or table is part of the text around it, and so is a division
+    # beside which its parent has text that is not mostly links.
+    region = common[-1] if common and names[common[-1]] in DIVISIONS else None
+    own = set()
+    for x in lines:
+        if not x.outside and 2 * x.link < len(x.text):
+            own.add(next((e for e in reversed(x.path) if names[e] in DIVISIONS), None))
+    if None in own:
+        return None
+    for element in common:
+        if element in own:
+            return element
+    return region
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
@@ -185,21 +217,7 @@ def main_text(html: str | None) -> str:
     marked = inside & (ratios > threshold(ratios))
     if not marked.any():
         marked = inside
-    # The deepest element that holds nearly all marked text.
-    held: dict[int, float] = {}
-    depth: dict[int, int] = {}
-    for line, length, mark in zip(lines, lengths, marked):
-        for d, element in enumerate(line.path):
-            held[element] = held.get(element, 0.0) + length * mark
-            depth[element] = d
-    total = float(lengths[marked].sum())
-    fitting = [x for x, n in held.items() if n >= HELD * total]
-    region = max(fitting, key=lambda x: depth[x], default=None)
-    if region is not None and len({x.path for x in lines if region in x.path}) == 1:
-        # A single paragraph: its parent is the region.
-        path = next(x.path for x in lines if region in x.path)
-        at = path.index(region)
-        region = path[at - 1] if at else region
+    region = _region(lines, marked, parser.names)
     chosen = [x for x in lines if not x.outside and (region is None or region in x.path)]
     return "\n".join(x.text for x in chosen)
 

@@ -230,6 +230,17 @@ def test_main_text():
     assert html_text.main_text("<p>" + "long " * 200_000).startswith("long long")
 
 
+@pytest.mark.parametrize("part", ["<section>{}</section>", "<div><div>{}</div></div>", "<blockquote>{}</blockquote>", "<ul>{}</ul>", "<table>{}</table>"])
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<main><div>{}</div></main>", "<div id=text>{}</div>", "{}"])
+def test_main_text_keeps_lines_around_a_long_part(part, around):
+    item = {"<ul>": "<li>{}", "<table>": "<tr><td>{}"}.get(part[: part.index(">") + 1], "<p>{}</p>")
+    body = [f"Paragraph {k} of the body " + "with many words in it " * 20 + "." for k in range(30)]
+    inner = "<h1>Title</h1><p>lead</p>" + part.format("".join(map(item.format, body))) + "<p>tail</p><p>end</p>"
+    menu = "<div><a href=a>One link</a> <a href=b>two</a></div>"
+    page = f"<html><body><nav>Menu</nav>{menu if around != '{}' else ''}{around.format(inner)}<footer>Foot</footer></body></html>"
+    assert html_text.main_text(page).split("\n") == ["Title", "lead", *(" ".join(x.split()) for x in body), "tail", "end"]
+
+
 def test_extracted_table(spark):
     pages = spark.createDataFrame([(1, "<p>Some text", "x"), (1, None, "y"), (None, "&#xD800;", None)], "page_id long, html string, text string")
     out = html_text.extracted(pages)
