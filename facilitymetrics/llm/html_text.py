@@ -7,7 +7,8 @@ the upper one mark content.  The content region is the smallest element that hol
 the article around it; on a page without one, the outermost element around it that has text of its
 own.  All lines of the region belong to the text, also short ones, except those inside parts that
 pages declare as something else: menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles and reader comments.
+styles and reader comments.  A class or id that may as well be a topic ("discussion") declares
+nothing about a part that is clearly content.
 """
 
 from __future__ import annotations
@@ -38,24 +39,51 @@ OUTSIDE = frozenset("nav footer aside form dialog menu header".split())
 ARTICLE = frozenset("article main".split())
 # Elements that divide a page; all others belong to the flow of a text.
 DIVISIONS = frozenset("html body div section center details dialog fieldset article main".split()) | OUTSIDE
-# Words of class, id and role that declare a part as not belonging to the article.
+# Words of class, id and role that declare a part as not belonging to the article.  A name declares
+# if it is made of such words and words of PLACES alone, so "with-sidebar" or "header-files" does not.
 DECLARED = frozenset(
     "ad ads advert adverts advertisement advertising adbox banner sponsor sponsored promo promotion nav navbar navigation "
     "menu breadcrumb breadcrumbs header masthead footer sidebar aside widget widgets notice notices cookie cookies "
     "consent gdpr popup modal overlay alert comment comments commentlist disqus reply replies discussion respond "
     "share sharing social related recommended newsletter subscribe subscription signup login search toolbar "
-    "pagination pager skip complementary contentinfo banner-ad".split()
+    "pagination pager skip complementary contentinfo".split()
 )
+PLACES = frozenset(
+    "site page main top bottom left right list box container wrapper wrap area bar block link links button buttons "
+    "icon icons item items section form inner outer primary secondary global post posts article articles content "
+    "body text title slot unit thread meta div col column row".split()
+)
+# Words that may as well be what a text is about: alone they declare no part that is clearly content.
+TOPICS = frozenset(
+    "header banner promotion navigation menu notice notices cookie cookies consent gdpr alert discussion respond "
+    "share sharing social related recommended newsletter subscription login search skip".split()
+)
+# Characters of a part that is clearly content.
+CLEAR = 200
 _HEADINGS = frozenset("h1 h2 h3".split())
-_TOKEN = re.compile(r"[A-Za-z]+")
+_HEADING = re.compile("h[1-6]")
+_TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+# How an element stands to the text.
+TEXT, TOPIC, APART, NEVER = range(4)
+
+
+def declared(names: str) -> set[str]:
+    """The names of a class or id that declare a part as something else."""
+    out = set()
+    for name in names.split():
+        words = {w.lower() for w in _TOKEN.findall(name)} if name.lower() not in DECLARED else {name.lower()}
+        if words & DECLARED and words <= DECLARED | PLACES:
+            out.add(" ".join(sorted(words & DECLARED)))
+    return out
 
 
 class Line:
-    __slots__ = ("parts", "tags", "link", "path", "outside", "heading")
+    __slots__ = ("parts", "tags", "link", "path", "apart", "heading", "outside")
 
-    def __init__(self, path: tuple[int, ...], outside: bool, heading: bool):
+    def __init__(self, path: tuple[int, ...], apart: tuple[tuple[int, int], ...], heading: bool):
         self.parts: list[str] = []
-        self.tags, self.link, self.path, self.outside, self.heading = 1, 0, path, outside, heading
+        self.tags, self.link, self.path, self.apart, self.heading = 1, 0, path, apart, heading
+        self.outside = bool(apart)
 
     @property
     def text(self) -> str:
@@ -68,7 +96,7 @@ class PageParser(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, int, bool, bool]] = []  # name, number, unseen, outside
+        self.open: list[tuple[str, int, bool, int]] = []  # name, number, unseen, how it stands to the text
         self.count = 0
         self.names: dict[int, str] = {}  # of the blocks
         self.line: Line | None = None
@@ -100,11 +128,18 @@ class PageParser(HTMLParser):
         elif self.line is not None:
             self.line.tags += 1
         own = {name: value or "" for name, value in attrs}
-        words = {w.lower() for name in ("class", "id", "role") for w in _TOKEN.findall(own.get(name, ""))}
+        names = set().union(*(declared(own.get(name, "")) for name in ("class", "id")))
+        roles = declared(own.get("role", ""))
         hidden = "hidden" in own or own.get("aria-hidden") == "true" or "display:none" in own.get("style", "").replace(" ", "")
         unseen = tag in UNSEEN or hidden
-        root = tag in ("html", "body") or (tag in ARTICLE and not words & {"comment", "comments", "reply", "related"})
-        outside = not root and (tag in OUTSIDE or bool(words & DECLARED))
+        root = tag in ("html", "body") or (
+            tag in ARTICLE and not {w for x in names | roles for w in x.split()} & {"comment", "comments", "reply", "related"}
+        )
+        outside = TEXT
+        if not root and tag in OUTSIDE:
+            outside = NEVER
+        elif not root and not _HEADING.fullmatch(tag) and names | roles:
+            outside = TOPIC if names <= TOPICS and not roles else APART
         if tag in ARTICLE and root:
             # What stays open before an article was never closed.
             for k, (name, _, _, other) in enumerate(self.open):
@@ -137,15 +172,15 @@ class PageParser(HTMLParser):
             if not data.strip():
                 return
             names = [name for name, *_ in self.open]
-            outside = any(x[3] for x in self.open)
+            apart = tuple((n, kind) for _, n, _, kind in self.open if kind)
             in_article = bool(ARTICLE & set(names))
             only_header = all(x[0] == "header" for x in self.open if x[3])
             # An article's own heading may stand in its header.
             heading = bool(_HEADINGS & set(names))
-            if outside and only_header and in_article and heading:
-                outside = False
+            if only_header and in_article and heading:
+                apart = ()
             path = tuple(n for name, n, *_ in self.open if name in BLOCKS)
-            self.line = Line(path, outside, heading)
+            self.line = Line(path, apart, heading)
             self.lines.append(self.line)
         self.line.parts.append(data)
         if any(name == "a" for name, *_ in self.open):
@@ -173,6 +208,33 @@ def threshold(values: np.ndarray) -> float:
         low, high = new
 
 
+def _overrule(lines: list[Line], lengths: np.ndarray, links: np.ndarray, above: np.ndarray) -> None:
+    """Declared parts that are clearly content belong to the text.
+
+    A part is clearly content if it is long, has few links and most of it is marked.  A topic
+    word gives way to that always, other words only where the page would have no text without.
+    """
+
+    def content(kind: int) -> set[int]:
+        held: dict[int, list[float]] = {}
+        for x, length, link, mark in zip(lines, lengths, links, above):
+            for element, own in x.apart:
+                if own == kind and all(k <= kind for _, k in x.apart):
+                    sums = held.setdefault(element, [0.0, 0.0, 0.0])
+                    sums[0] += length
+                    sums[1] += link
+                    sums[2] += length * mark
+        return {e for e, (n, link, mark) in held.items() if n - link >= CLEAR and 3 * link <= n and 2 * mark >= n}
+
+    free: set[int] = set()
+    for kind in (TOPIC, APART):
+        if kind == APART and any(not x.outside and not x.heading for x in lines):
+            return
+        free |= content(kind)
+        for x in lines:
+            x.outside = any(e not in free for e, _ in x.apart)
+
+
 def _region(lines: list[Line], marked: np.ndarray, names: dict[int, str]) -> int | None:
     """The element whose lines are the text; none for the whole page."""
     around = [x.path for x, mark in zip(lines, marked) if mark]
@@ -210,11 +272,14 @@ def main_text(html: str | None) -> str:
     if not lines:
         return ""
     lengths = np.array([len(x.text) for x in lines], float)
-    ratios = smoothed((lengths - np.array([min(x.link, len(x.text)) for x in lines])) / np.array([x.tags for x in lines]))
+    links = np.array([min(x.link, len(x.text)) for x in lines])
+    ratios = smoothed((lengths - links) / np.array([x.tags for x in lines]))
+    above = ratios > threshold(ratios)
+    _overrule(lines, lengths, links, above if above.any() else np.ones(len(lines), bool))
     inside = np.array([not x.outside for x in lines])
     if not inside.any():
         return ""
-    marked = inside & (ratios > threshold(ratios))
+    marked = inside & above
     if not marked.any():
         marked = inside
     region = _region(lines, marked, parser.names)

@@ -241,6 +241,27 @@ def test_main_text_keeps_lines_around_a_long_part(part, around):
     assert html_text.main_text(page).split("\n") == ["Title", "lead", *(" ".join(x.split()) for x in body), "tail", "end"]
 
 
+_PROSE = "".join(f"<p>Paragraph {k} of the body {'with many words in it ' * 10}.</p>" for k in range(8))
+
+
+@pytest.mark.parametrize("part", [
+    "<section id=discussion>", "<section id='social-impact'>", "<div class='content with-sidebar'>", "<div class='post no-comments'>",
+    "<article class=no-comments>", "<section id=menu>", "<div class=modal>", "<div class='has-sidebar'><div id=header-files>",
+])
+def test_words_of_a_class_do_not_take_the_text(part):
+    page = f"<body><nav>Menu</nav><div class=ad>Buy this now, it is cheap.</div>{part}{_PROSE}"
+    found = html_text.main_text(page)
+    assert found.startswith("Paragraph 0") and found.count("\n") == 7
+    both = html_text.main_text(f"<body><article><h2 id=header-files>Header files</h2>{_PROSE}<section id=discussion><h3>Discussion</h3>{_PROSE}")
+    assert both.startswith("Header files\nPar") and "\nDiscussion\n" in both and both.count("\n") == 17
+
+
+@pytest.mark.parametrize("part", ["id=comments", "class=comment-list", "class='box sidebar-right'", "class=site-footer", "class=cookieNotice", "role=search"])
+def test_declared_parts_stay_outside(part):
+    found = html_text.main_text(f"<body><article>{_PROSE}</article><div {part}>{_PROSE.replace('Paragraph', 'Other')}</div>")
+    assert found.startswith("Paragraph 0") and found.count("\n") == 7
+
+
 def test_extracted_table(spark):
     pages = spark.createDataFrame([(1, "<p>Some text", "x"), (1, None, "y"), (None, "&#xD800;", None)], "page_id long, html string, text string")
     out = html_text.extracted(pages)
