@@ -177,27 +177,57 @@ def _member(data: bytes, at: int) -> tuple[bytes, int, str]:
     return b"".join(out), len(data), "truncated member"
 
 
+def _key(x: Found) -> tuple:
+    return x.kind, tuple(x.header.items()), digest(x.payload)
+
+
+def _next_member(data: bytes, at: int) -> int:
+    """The next gzip member from ``at`` on that gives a valid record."""
+    while (at := data.find(MEMBER, at)) >= 0:
+        if any(x.kind != "gap" for x in plain_records(_member(data, at)[0])):
+            return at
+        at += 1
+    return len(data)
+
+
+def _next_plain(data: bytes, at: int, to: int, given: set, end: int) -> int:
+    """The next valid version line of ``at:to``, without records before ``end`` that are ``given``."""
+    while (found := _VERSION.search(data, at)) and found.start() < to:
+        here = _record_at(data, found.start())
+        if isinstance(here, Found):
+            if here.start >= end or _key(here) not in given:
+                return here.start
+            at = here.end
+        else:
+            at = found.start() + 1
+    return to
+
+
 def records(data: bytes) -> Iterator[Found]:
-    """Records and gaps of an archive, gzip members (of one or more records) or plain."""
-    if not data.startswith(MEMBER) and MEMBER not in data[:4096]:
-        yield from plain_records(data)
-        return
-    at = 0
+    """Records and gaps of an archive of gzip members (of one or more records), plain records, or both."""
+    at, member = 0, -1
     while at < len(data):
+        # Records of a damaged member; one that stores its bytes shows them plainly as well.
+        given, end = set(), at
         if data.startswith(MEMBER, at):
             decoded, end, wrong = _member(data, at)
-            yield from plain_records(decoded)
+            for x in plain_records(decoded):
+                if wrong and x.kind != "gap":
+                    given.add(_key(x))
+                yield x
             if not wrong:
                 at = end
                 continue
         else:
-            wrong = "no member"
-        after = at + 1
-        while (after := data.find(MEMBER, after)) >= 0:
-            if _member(data[: after + (1 << 20)], after)[0].startswith(b"WARC/1."):
-                break
-            after += 1
-        after = len(data) if after < 0 else after
+            here = _record_at(data, at)
+            if isinstance(here, Found):
+                yield here
+                at = here.end
+                continue
+            wrong = here
+        if member <= at:
+            member = _next_member(data, at + 1)
+        after = _next_plain(data, at + 1, member, given, end)
         yield Found("gap", at, after, {}, reason=wrong)
         at = after
 

@@ -435,6 +435,34 @@ def test_salvage():
     assert list(warc.records(b"")) == [] and [x.kind for x in warc.records(b"no archive")] == ["gap"]
 
 
+def _ids(data):
+    return [x.header["warc-record-id"][10:-1] for x in warc.records(data) if x.kind != "gap"]
+
+
+def test_salvage_of_damaged_heads_and_mixed_archives():
+    import gzip
+
+    rng = random.Random(8)
+    parts = [warc.record(k, "u", rng.randbytes(6_000).hex().encode()) + warc.END for k in range(6)]
+    members = [gzip.compress(x) for x in parts]
+    whole = b"".join(members)
+    assert len(members[0]) < 10_000 < len(members[0]) + len(members[1])
+    assert _ids(rng.randbytes(10_000) + whole[10_000:]) == ["2", "3", "4", "5"]
+    assert _ids(bytes(10_000) + whole[10_000:]) == ["2", "3", "4", "5"]
+    # A plain record with a gzip payload in the first bytes of the archive.
+    packed = warc.record(9, "u", gzip.compress(b"page" * 100)) + warc.END
+    found = list(warc.records(packed + parts[0] + parts[1]))
+    assert [x.kind for x in found] == ["response"] * 3 and gzip.decompress(found[0].payload) == b"page" * 100
+    assert _ids(packed[:300] + packed + parts[0]) == ["9", "0"]
+    # Members and plain records in one archive, one member damaged.
+    cut = members[2][:4_000]
+    assert _ids(members[0] + parts[1] + cut + parts[3] + b"junk" + members[4] + parts[5]) == ["0", "1", "3", "4", "5"]
+    # A member that stores its bytes gives each record once.
+    stored = bytearray(gzip.compress(b"".join(parts[:3]), 0))
+    stored[-5] ^= 1
+    assert sorted(_ids(bytes(stored) + members[0])) == ["0", "0", "1", "2"]
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(2)
     base = rng.normal(size=(60, 48))
