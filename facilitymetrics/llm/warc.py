@@ -13,6 +13,7 @@ valid record, goes on there, and logs the bytes between as a quarantined gap.
 from __future__ import annotations
 
 import base64
+import contextlib
 import hashlib
 import re
 import zlib
@@ -167,11 +168,17 @@ def _member(data: bytes, at: int) -> tuple[bytes, int, str]:
     unpack = zlib.decompressobj(31)
     out, step = [], 1 << 16
     for start in range(at, len(data), step):
+        before = unpack.copy()
         try:
             out.append(unpack.decompress(data[start : start + step]))
         except zlib.error as error:
             # What the damaged member still gives, byte by byte of the last step.
-            return b"".join(out), start, str(error)
+            end = start
+            with contextlib.suppress(zlib.error):
+                while end < len(data):
+                    out.append(before.decompress(data[end : end + 1]))
+                    end += 1
+            return b"".join(out), end, str(error)
         if unpack.eof:
             return b"".join(out), min(start + step, len(data)) - len(unpack.unused_data), ""
     return b"".join(out), len(data), "truncated member"

@@ -463,6 +463,24 @@ def test_salvage_of_damaged_heads_and_mixed_archives():
     assert sorted(_ids(bytes(stored) + members[0])) == ["0", "0", "1", "2"]
 
 
+def test_salvage_within_a_member_of_many_records():
+    import gzip
+
+    rng = random.Random(6)
+    # The stream is 3 KB in the first case, and several steps of the decoder in the second.
+    for size, n in ((20, 40), (6_000, 40)):
+        parts = [warc.record(k, "u", rng.randbytes(size).hex().encode()) + warc.END for k in range(n)]
+        member = gzip.compress(b"".join(parts))
+        trailer = bytearray(member)
+        trailer[-6] ^= 0xFF
+        after = gzip.compress(warc.record(99, "u", b"after") + warc.END)
+        assert _ids(bytes(trailer) + after) == [*map(str, range(n)), "99"]
+        middle = bytearray(member)
+        middle[len(middle) // 2 : len(middle) // 2 + 8] = b"\xff" * 8
+        found = _ids(bytes(middle) + after)
+        assert found[-1] == "99" and found[:-1][: n // 2 - 3] == [str(k) for k in range(n // 2 - 3)]
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(2)
     base = rng.normal(size=(60, 48))
