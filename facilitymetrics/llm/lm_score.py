@@ -1,17 +1,16 @@
 """Cross-entropy difference of two bigram models over one vocabulary.
 
-The vocabulary is the ``VOCABULARY`` most frequent words of all documents (a proven bound on what
-is broadcast); other words are one unknown word.  The background model counts all documents and the
+The vocabulary is every word of the documents.  The background model counts all documents and the
 target model the documents of the target set; both are the same interpolated bigram model.
 The loss difference of a token is its loss under the target model less that under the background
 model; a document's score is the mean over its tokens, so low scores resemble the target.
 
-A document is scored by models that have not seen it: its own counts are taken off.  Bigrams
-that no other document has then have no bigram counts, and their loss follows from the broadcast
-word counts alone.  The counts of the most frequent bigrams, ``FREQUENT`` at most, are broadcast and
-scored where the text is read; all other bigrams of two or more documents are joined back to the
-documents by key.  Both ways give the same losses.  The bigram table is never collected and grows
-with the corpus.
+For each bigram of a document its own uses there are taken off the counts of the bigram, its word
+and its context.  Counts of words and contexts are a table; those of the ``VOCABULARY`` most frequent
+words at most are broadcast, others are joined by key to the bigrams they are in.  The counts
+of the most frequent bigrams, ``FREQUENT`` at most, are broadcast and scored where the text is read; all
+other bigrams of two or more documents are joined back to the documents by key.  All ways
+give the same losses.  No table that grows with the corpus is collected.
 """
 
 from __future__ import annotations
@@ -26,7 +25,10 @@ from pyspark.sql import functions as F
 from facilitymetrics.llm import words as W
 from facilitymetrics.llm.scratch import written
 
-VOCABULARY = 16_384
+# Words whose counts are broadcast, 40 bytes each.
+VOCABULARY = 1 << 17
+# The name of the start of a text.
+START = np.uint64(0)
 # Bigrams whose counts are broadcast, 24 bytes each.
 FREQUENT = 1 << 18
 # Strength of the word model within the bigram model, and of the uniform one within the word model.
@@ -35,18 +37,28 @@ WORD_PRIOR = 1.0
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of words and of contexts, of all documents and of the target set."""
     for batch in batches:
-        names = [words.names() for _, _, words in W.groups(batch.column(0), lower=True)]
-        own, n = np.unique(np.concatenate(names), return_counts=True) if names else (np.zeros(0, np.uint64),) * 2
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(own.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"]
-        )
+        aims = batch.column(1).to_numpy()
+        for begin, end, words in W.groups(batch.column(0), lower=True):
+            count, aim = np.diff(words.first), aims[begin:end]
+            names, weight = words.names(), np.repeat(aim, count)
+            goes_on = np.ones(len(names), np.int64)
+            goes_on[words.first[1:][count > 0] - 1] = 0
+            own, place = np.unique(names, return_inverse=True)
+            sums = [np.bincount(place, x, len(own)) for x in (np.ones(len(names)), weight, goes_on, goes_on * weight)]
+            first = [0, 0, int((count > 0).sum()), int(aim[count > 0].sum())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.append(own, START).view(np.int64))]
+                + [pa.array(np.append(x.astype(np.int64), n)) for x, n in zip(sums, first)],
+                names=["word", "b", "t", "cb", "ct"],
+            )
 
 
 def _places(words: W.Words, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each token its word number and that of the word before it.
 
-    Numbers are places in the vocabulary, then the unknown word and the start of a text.
+    Numbers are places in the vocabulary, then any other word and the start of a text.
     """
     size = len(vocabulary)
     names = words.names()
@@ -60,28 +72,32 @@ def _places(words: W.Words, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndar
     return word, before
 
 
-def _losses(model: tuple, key: np.ndarray, n: np.ndarray, aim: np.ndarray, counts: tuple) -> list[np.ndarray]:
-    """Background and target loss of ``n`` tokens of each bigram; ``counts`` are its counts in both models."""
-    context, word, total = model
-    size = word.shape[1]
-    w, c = key % size, key // size
+def _losses(
+    model: tuple, n: np.ndarray, aim: np.ndarray, counts: tuple, word: np.ndarray, context: np.ndarray
+) -> list[np.ndarray]:
+    """Background and target loss of ``n`` tokens of each bigram.
+
+    ``counts`` are those of the bigram in both models, ``word`` and ``context`` of its parts.
+    """
+    total, size = model
     out = []
     for side, seen in enumerate(counts):
         own = n * aim if side else n
         seen = np.maximum(seen - own, 0)
         # The tokens of this bigram in the document are taken off its word and context too.
-        single = (np.maximum(word[side, w] - own, 0) + WORD_PRIOR) / (
+        single = (np.maximum(word[side] - own, 0) + WORD_PRIOR) / (
             np.maximum(total[side] - own, 0) + WORD_PRIOR * size
         )
-        p = (seen + BIGRAM_PRIOR * single) / (np.maximum(context[side, c] - own, seen) + BIGRAM_PRIOR)
+        p = (seen + BIGRAM_PRIOR * single) / (np.maximum(context[side] - own, seen) + BIGRAM_PRIOR)
         out.append(-n * np.log(p))
     return out
 
 
-def _frequent(types: DataFrame, most: int) -> tuple[np.ndarray, ...]:
-    """Sorted keys and both counts of all bigrams from a count on that leaves at most ``most``."""
+def _frequent(table: DataFrame, most: int, *columns: str) -> tuple[list[np.ndarray], DataFrame]:
+    """``columns`` of all rows from a count ``b`` on that leaves at most ``most``, and the other rows."""
+    table = table.where("b > 0")
     level = F.floor(F.log2("b") * 16).cast("int")
-    levels = sorted(types.groupBy(level.alias("level")).agg(F.count("*").alias("m")).collect(), reverse=True)
+    levels = sorted(table.groupBy(level.alias("level")).agg(F.count("*").alias("m")).collect(), reverse=True)
     least, held = None, 0
     for row in levels:
         held += row["m"]
@@ -89,11 +105,9 @@ def _frequent(types: DataFrame, most: int) -> tuple[np.ndarray, ...]:
             break
         least = row["level"]
     if least is None:
-        return (np.zeros(0, np.int64),) * 3
-    found = types.where(level >= least).select("key", "b", "t").toArrow()
-    key, b, t = (found.column(c).to_numpy() for c in range(3))
-    order = np.argsort(key)
-    return key[order], b[order], t[order]
+        return [np.zeros(0, np.int64) for _ in columns], table
+    found = table.where(level >= least).select(*columns).toArrow()
+    return [found.column(c).to_numpy() for c in range(len(columns))], table.where(level < least)
 
 
 def scored(
@@ -113,49 +127,86 @@ def scored(
     chosen = target.select(F.col(doc_id).alias("id"), F.lit(1).alias("aim")).dropna().distinct()
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
 
-    counts = rows.select("text").mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(vocabulary).select("word").toArrow().column(0).to_numpy()
-    top = np.sort(top.view(np.uint64)) if len(top) else np.zeros(0, np.uint64)
-    size = len(top) + 2
+    keyed = rows.join(chosen, "id", "left").select(
+        "id", "text", F.coalesce("aim", F.lit(0)).alias("aim"), F.monotonically_increasing_id().alias("doc")
+    )
+    # Numbered rows are written, since numbers given anew might differ.
+    keyed = written(keyed, "documents")
+
+    sums = [F.sum(c).alias(c) for c in ("b", "t", "cb", "ct")]
+    every = keyed.select("text", "aim").mapInArrow(_word_counts, "word long, b long, t long, cb long, ct long")
+    every = written(every.groupBy("word").agg(*sums), "words")
+    start = F.col("word") == START
+    all_ = every.agg(
+        F.sum("b").alias("b"), F.sum("t").alias("t"), F.sum((~start).cast("long")).alias("types"),
+        F.sum(F.when(start, F.col("cb"))).alias("cb"), F.sum(F.when(start, F.col("ct"))).alias("ct"),
+    ).first()
+    (top, *held), rare = _frequent(every, vocabulary, "word", "b", "t", "cb", "ct")
+    order = np.argsort(top.view(np.uint64))
+    top = top.view(np.uint64)[order]
+    # Counts of frequent words and contexts, then of any other word (joined) and the start of a text.
+    other = len(top)
+    size = other + 2
+    word, context = (
+        np.array([np.append(held[k][order], [0, last]) for k, last in pair], float)
+        for pair in (((0, 0), (1, 0)), ((2, all_["cb"] or 0), (3, all_["ct"] or 0)))
+    )
     shared = spark.sparkContext.broadcast(top)
+    # All words, an unseen one and the start of a text.
+    totals = np.array([all_["b"] or 0, all_["t"] or 0], float), (all_["types"] or 0) + 2
+    model = spark.sparkContext.broadcast((totals, word, context))
 
-    def bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def distinct(batches: Iterator[pa.RecordBatch], common: bool) -> Iterator[pa.RecordBatch]:
+        """Bigrams of each document: of two frequent words by their numbers, or all others by their names."""
         known = shared.value
         for batch in batches:
             for begin, _, words in W.groups(batch.column(1), lower=True):
                 word, before = _places(words, known)
                 count = np.diff(words.first)
                 row = np.repeat(np.arange(len(count)), count)
-                key = before * size + word
-                order = np.lexsort((key, row))
-                row, key = row[order], key[order]
-                new = np.ones(len(key), bool)
-                new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
+                chosen = ((word != other) & (before != other)) == common
+                row, word, before = row[chosen], word[chosen], before[chosen]
+                if common:
+                    parts = [before * size + word]
+                else:
+                    names = words.names()
+                    ahead = np.empty_like(names)
+                    ahead[1:] = names[:-1]
+                    ahead[words.first[:-1][count > 0]] = START
+                    parts = [ahead[chosen].view(np.int64), names[chosen].view(np.int64)]
+                order = np.lexsort((*parts, row))
+                row, parts = row[order], [x[order] for x in parts]
+                new = np.ones(len(row), bool)
+                new[1:] = row[1:] != row[:-1]
+                for x in parts:
+                    new[1:] |= x[1:] != x[:-1]
                 at = np.flatnonzero(new)
-                n = np.diff(np.append(at, len(key)))
+                n = np.diff(np.append(at, len(row)))
+                more = [] if common else [pa.array(x[order][at].astype(np.int32)) for x in (before, word)]
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).take(pa.array(row[at] + begin)),
-                    pa.array(key[at]), pa.array(n.astype(np.int32)),
-                    batch.column(2).take(pa.array(row[at] + begin)),
-                ], names=["doc", "key", "n", "aim"])
+                    *(pa.array(x[at]) for x in parts), pa.array(n.astype(np.int32)),
+                    batch.column(2).take(pa.array(row[at] + begin)), *more,
+                ], names=["doc", *(["key"] if common else ["before", "word"]), "n", "aim", *([] if common else ["c_at", "w_at"])])
 
-    keyed = rows.join(chosen, "id", "left").select(
-        "id", "text", F.coalesce("aim", F.lit(0)).alias("aim"), F.monotonically_increasing_id().alias("doc")
-    )
-    # Numbered rows are written, since numbers given anew might differ.
-    keyed = written(keyed, "documents")
-    tokens = keyed.select("doc", "text", "aim").mapInArrow(bigrams, "doc long, key long, n int, aim int")
+    def bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return distinct(batches, True)
+
+    def rare_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return distinct(batches, False)
+
+    source = keyed.select("doc", "text", "aim")
+    tokens = source.mapInArrow(bigrams, "doc long, key long, n int, aim int")
     both = [F.sum("n").alias("b"), F.sum(F.col("n") * F.col("aim")).alias("t"), F.count("*").alias("df")]
-    types = written(tokens.groupBy("key").agg(*both), "bigrams")
-    # Counts of single words and of contexts, arrays of the vocabulary's size.
-    context, word = np.zeros((2, size)), np.zeros((2, size))
-    for name, out in (("key div {0}", context), ("key % {0}", word)):
-        sums = types.groupBy(F.expr(name.format(size)).alias("w")).agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
-        for r in sums.collect():
-            out[0, r["w"]], out[1, r["w"]] = r["b"], r["t"]
-    model = spark.sparkContext.broadcast((context, word, word.sum(axis=1)))
+    types = written(tokens.groupBy("key").agg(*both).where("df > 1"), "bigrams")
 
-    top_bigrams = spark.sparkContext.broadcast(_frequent(types.where("df > 1"), frequent))
+    (top_keys, *top_counts), _ = _frequent(types, frequent, "key", "b", "t")
+    order = np.argsort(top_keys)
+    top_bigrams = spark.sparkContext.broadcast((top_keys[order], *(x[order] for x in top_counts)))
+
+    def looked_up(key: np.ndarray, n: np.ndarray, aim: np.ndarray, counts: tuple) -> list[np.ndarray]:
+        totals, word, context = model.value
+        return _losses(totals, n, aim, counts, word[:, key % size], context[:, key // size])
 
     def partly_scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Loss sums of frequent bigrams, one row for each document, and the rows of all others.
@@ -170,7 +221,7 @@ def scored(
             rest = ~here
             at, size_n = at[here], n[here].astype(np.int64)
             own = doc[here]
-            found = _losses(model.value, key[here], size_n, aim[here].astype(np.int64), (all_b[at], all_t[at]))
+            found = looked_up(key[here], size_n, aim[here].astype(np.int64), (all_b[at], all_t[at]))
             ids, place = np.unique(own, return_inverse=True)
             sums = [np.bincount(place, x, len(ids)) for x in (size_n, *found)]
             none = pa.nulls(int(rest.sum()), pa.float64())
@@ -189,21 +240,51 @@ def scored(
             key, n, aim = (batch.column(k).to_numpy().astype(np.int64) for k in (1, 2, 3))
             counts = tuple(batch.column(k).fill_null(0).to_numpy().astype(float) for k in (6, 7))
             summed = key < 0
-            found = _losses(model.value, np.maximum(key, 0), n, aim, counts)
+            found = looked_up(np.maximum(key, 0), n, aim, counts)
             done = [batch.column(k).fill_null(0.0).to_numpy() for k in (4, 5)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n), *(pa.array(np.where(summed, d, x)) for d, x in zip(done, found))],
                 names=["doc", "n", "b", "t"],
             )
 
-    several = types.where("df > 1").select("key", "b", "t")
-    parts = keyed.select("doc", "text", "aim").mapInArrow(
+    def rare_losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Losses of bigrams with a joined word; counts of the other word are looked up."""
+        totals, word, context = model.value
+        for batch in batches:
+            n, aim, c_at, w_at = (batch.column(k).to_numpy().astype(np.int64) for k in range(1, 5))
+            b, t, wb, wt, cb, ct = (batch.column(k).fill_null(0).to_numpy().astype(float) for k in range(5, 11))
+            single = np.where(w_at == other, (wb, wt), word[:, w_at])
+            ahead = np.where(c_at == other, (cb, ct), context[:, c_at])
+            found = _losses(totals, n, aim, (b, t), single, ahead)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n), *map(pa.array, found)], names=["doc", "n", "b", "t"]
+            )
+
+    parts = source.mapInArrow(
         partly_scored, "doc long, key long, n long, aim int, loss_b double, loss_t double"
     )
-    joined = parts.join(several, "key", "left").select("doc", "key", "n", "aim", "loss_b", "loss_t", "b", "t")
-    sums = joined.mapInArrow(losses, "doc long, n long, b double, t double").groupBy("doc").agg(
-        F.sum("n").alias("n_tokens"), F.sum("b").alias("b"), F.sum("t").alias("t")
-    )
+    joined = parts.join(types.drop("df"), "key", "left").select("doc", "key", "n", "aim", "loss_b", "loss_t", "b", "t")
+    losses_ = joined.mapInArrow(losses, "doc long, n long, b double, t double")
+
+    if rare.limit(1).count():
+        kept = source.mapInArrow(
+            rare_bigrams, "doc long, before long, word long, n int, aim int, c_at int, w_at int"
+        )
+        several = kept.groupBy("before", "word").agg(*both).where("df > 1").drop("df")
+        kept = kept.join(several, ["before", "word"], "left")
+        for name, at, counts in (("word", "w_at", ("b", "t")), ("before", "c_at", ("cb", "ct"))):
+            # Rows whose word was looked up match nothing and are spread by their document.
+            joins = F.col(at) == other
+            kept = kept.withColumns({
+                "found": joins, "by": F.when(joins, F.col(name)).otherwise(F.xxhash64("doc", "before", "word")),
+            })
+            part = rare.select(
+                F.col("word").alias("by"), F.lit(True).alias("found"), *(F.col(c).alias(f"{at}_{c}") for c in counts)
+            )
+            kept = kept.join(part, ["by", "found"], "left").drop("by", "found")
+        kept = kept.select("doc", "n", "aim", "c_at", "w_at", "b", "t", "w_at_b", "w_at_t", "c_at_cb", "c_at_ct")
+        losses_ = losses_.union(kept.mapInArrow(rare_losses, "doc long, n long, b double, t double"))
+    sums = losses_.groupBy("doc").agg(F.sum("n").alias("n_tokens"), F.sum("b").alias("b"), F.sum("t").alias("t"))
     out = keyed.select("doc", "id").join(sums, "doc", "left")
     return out.select(
         F.col("id").alias(doc_id),

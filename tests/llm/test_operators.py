@@ -304,6 +304,38 @@ def test_cross_entropy_difference(spark):
     assert scored(docs.where("doc_id < 0"), target).count() == 0
 
 
+def test_cross_entropy_counts_every_word(spark):
+    rng = random.Random(12)
+    names = [f"v{k}" for k in range(300)]
+    texts = [" ".join(rng.choices(names, [1 / (k + 1) for k in range(300)], k=60)) for _ in range(40)] + [None, "once", "once more v1"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    target = spark.createDataFrame([(k,) for k in range(0, 40, 3)], "doc_id long")
+    tokens = [["<s>"] + (t or "").split() for t in texts]
+    aims = set(range(0, 40, 3))
+    size = len({w for t in tokens for w in t[1:]}) + 2
+    expected = {}
+    for side, name in ((0, "background_loss"), (1, "target_loss")):
+        members = [t for k, t in enumerate(tokens) if not side or k in aims]
+        pair = Counter(p for t in members for p in zip(t, t[1:]))
+        context, word = Counter(w for t in members for w in t[:-1]), Counter(w for t in members for w in t[1:])
+        total = sum(word.values())
+        for doc, own in enumerate(tokens):
+            loss = 0.0
+            for (v, w), n in Counter(zip(own, own[1:])).items():
+                take = n if not side or doc in aims else 0
+                seen = max(pair[v, w] - take, 0)
+                single = (max(word[w] - take, 0) + 1) / (max(total - take, 0) + size)
+                loss -= n * math.log((seen + 50 * single) / (max(context[v] - take, seen) + 50))
+            expected[doc, name] = loss / (len(own) - 1) if len(own) > 1 else None
+    # With all words broadcast, some of them or none.
+    for vocabulary in (1 << 17, 40, 0):
+        for frequent in (1 << 18, 20):
+            for r in scored(docs, target, vocabulary=vocabulary, frequent=frequent).collect():
+                for name in ("background_loss", "target_loss"):
+                    want = expected[r["doc_id"], name]
+                    assert r[name] == (None if want is None else pytest.approx(want, rel=1e-9))
+
+
 def test_token_ids_equal_the_tokenizer():
     encoder = packing.Encoder(tokenizer_path(), tokenizer_path("byte_bpe_50k.tiktoken"))
     rng = random.Random(7)
