@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from facilitymetrics.llm.scratch import written
 
-# The labelled rows the index is fitted on at most, chosen by a hash of their id.
+# The labelled rows (different texts of an id) the index is fitted on at most, chosen by a hash.
 EXAMPLES = 20_000
 # Vocabulary features kept at most, by significance.
 FEATURES = 4_096
@@ -64,12 +64,12 @@ def text_words(text: str | None) -> Counter:
 def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         seen: tuple[Counter, Counter] = (Counter(), Counter())
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for text, toxic, copies in zip(*(batch.column(k).to_pylist() for k in range(3))):
             own: Counter = Counter()
             for word, n in text_words(text).items():
                 for f in features(word):
                     own[f] += n
-            seen[toxic].update(levelled(own))
+            seen[toxic].update(dict.fromkeys(levelled(own), copies))
         names = list(seen[0].keys() | seen[1].keys())
         yield pa.RecordBatch.from_arrays([
             pa.array(names, pa.string()),
@@ -79,7 +79,7 @@ def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _vocabulary(examples: DataFrame) -> list[str]:
-    n = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    n = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.sum("copies").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if not n1 or not n0:
         return []
@@ -215,8 +215,17 @@ def toxicity_scores(
     known = known.groupBy(doc_id).agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
     known = known.orderBy(F.xxhash64(doc_id), doc_id).limit(EXAMPLES)
     chosen = docs.select(doc_id, text).join(F.broadcast(known), doc_id)
-    examples = written(chosen.select(text, "toxic", F.col(doc_id).alias("id")), "examples")
-    vocabulary = _vocabulary(examples.select(text, "toxic"))
+    # Rows that repeat an id and its text are one with their number.
+    chosen = chosen.select(F.col(doc_id).alias("id"), F.md5(text).alias("hash"), F.col(text).alias("text"), "toxic")
+    chosen = chosen.groupBy("id", "hash", "toxic").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    examples = written(chosen, "examples")
+    if examples.count() > EXAMPLES:
+        kept = examples.select("id", "hash").orderBy(F.xxhash64("id", "hash"), "id", "hash").limit(EXAMPLES)
+        kept = kept.select(F.col("id").alias("kept"), F.col("hash").alias("kept_hash"))
+        same = (F.col("id") == F.col("kept")) & F.col("hash").eqNullSafe(F.col("kept_hash"))
+        examples = written(examples.join(F.broadcast(kept), same, "left_semi"), "kept_examples")
+    examples = examples.select("text", "toxic", "id", "copies")
+    vocabulary = _vocabulary(examples.select("text", "toxic", "copies"))
     context = spark.sparkContext
     shared = context.broadcast(vocabulary)
 
@@ -234,12 +243,13 @@ def toxicity_scores(
                 pa.array([find.vector(x) for x in batch.column(0).to_pylist()], pa.list_(pa.int64())),
                 batch.column(1).cast(pa.int64()),
                 batch.column(2).cast(pa.string()),
-            ], names=["k", "toxic", "id"])
+                batch.column(3),
+            ], names=["k", "toxic", "id", "copies"])
 
     # Counts by distinct vector: at most as many rows as examples.
-    grouped = examples.mapInArrow(vectors, "k array<long>, toxic long, id string")
+    grouped = examples.mapInArrow(vectors, "k array<long>, toxic long, id string, copies long")
     grouped = grouped.groupBy("k").agg(
-        F.sum("toxic").alias("toxic"), F.count("*").alias("all"), F.min("id").alias("id")
+        F.sum(F.col("toxic") * F.col("copies")).alias("toxic"), F.sum("copies").alias("all"), F.min("id").alias("id")
     ).collect()
     entries, plain = {}, [0, 0]
     for row in grouped:

@@ -407,6 +407,22 @@ def test_toxicity(spark):
     assert toxicity.toxicity_scores(docs.where("doc_id < 0"), marks).count() == 0
 
 
+def test_toxicity_examples_are_bounded_by_rows(spark, monkeypatch):
+    rows = [(k, f"clean{k} words here" + " vilest" * (k % 3 == 0)) for k in range(60)]
+    rows += [(3, "vilest again")] * 30 + [(4, f"vilest{'x' * (k % 9)} {k}") for k in range(400)] + [(4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(k, int(k % 3 == 0 or k == 4)) for k in range(60)], "doc_id long, toxic int")
+    seen = []
+    counted = toxicity._vocabulary
+    monkeypatch.setattr(toxicity, "_vocabulary", lambda examples: seen.append(examples.collect()) or counted(examples))
+    for bound in (10**6, 80):
+        monkeypatch.setattr(toxicity, "EXAMPLES", bound)
+        assert toxicity.toxicity_scores(docs, marks).count() == len(rows)
+    known = Counter(text for k, text in rows if zlib.crc32(str(k).encode()) % 4 != 2)
+    assert Counter({r["text"]: r["copies"] for r in seen[0]}) == known and known["vilest again"] == 30
+    assert len(seen[1]) == 80 and all(known[r["text"]] == r["copies"] for r in seen[1])
+
+
 def test_block_max_is_exact():
     rng = np.random.default_rng(4)
     entries = {}
