@@ -98,7 +98,7 @@ class Words:
         return [raw[s:e] for s, e in zip(self.starts[a:b], self.ends[a:b])]
 
 
-def _plain(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def plain(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts and where each begins; a null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -114,7 +114,7 @@ def _plain(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def groups(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, int, Words]]:
     """Rows ``begin:end`` of a text column and their words, a bounded number of bytes at a time."""
-    data, offsets = _plain(column)
+    data, offsets = plain(column)
     begin, rows = 0, len(offsets) - 1
     while begin < rows:
         end = int(np.searchsorted(offsets, offsets[begin] + GROUP_BYTES, "right")) - 1
