@@ -1,0 +1,176 @@
+"""Conversation repair against a plain search over all edit strings of a conversation."""
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+
+from facilitymetrics.llm import conversations
+from facilitymetrics.llm.conversations import Rope, cheapest, compressed, damaged, grammar, repaired, transfer, undamaged
+from facilitymetrics.llm.queries import op12_conversation_repair
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+SPACES = " \t\n\v\f\r"
+
+
+def brute_edits(rows):
+    """Least (cost, edits, repaired) of rows (role, text, must go, truncated) by dynamic programming over states."""
+    after = {"": "su", "s": "u", "u": "a", "a": "u"}
+    names = {"u": "user", "a": "assistant"}
+    states = {"": (0, "", ())}
+
+    def better(found, state, entry):
+        if state not in found or entry[:2] < found[state][:2]:
+            found[state] = entry
+
+    def inserted(found):
+        for _ in range(3):
+            for state, (cost, edits, out) in list(found.items()):
+                role = after[state][-1]
+                better(found, role, (cost + 5, edits + "I", (*out, (names[role], ""))))
+        return found
+
+    for role, text, must_go, truncated in rows:
+        states, before = {}, inserted(states)
+        for state, (cost, edits, out) in before.items():
+            better(states, state, (cost + 2, edits + "D", out))
+            if must_go:
+                continue
+            more = 5 * truncated
+            if role[:1] and role[:1] in after[state]:
+                better(states, role[:1], (cost + more, edits + "K", (*out, (role, text))))
+            due = after[state][-1]
+            better(states, due, (cost + more + 1, edits + "R", (*out, (names[due], text))))
+    states = inserted(states)
+    return min(states[s] for s in ("", "a") if s in states)
+
+
+def brute(rows, damage=True):
+    kept = {}
+    for conv, turn, role, text in rows:
+        key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        kind = zlib.crc32(key.encode()) % 20 if damage else 19
+        role, text = (" " if x is None else x for x in (role, text))
+        mine = kept.setdefault(conv, [])
+        if kind == 0:
+            continue
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        role = "user" if kind == 4 else role
+        mine += [(turn, role, text)] * (2 if kind == 3 else 1)
+    out = {}
+    for conv, mine in kept.items():
+        mine.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.sha256(r[2].encode()).digest()))
+        turns = {r[0] for r in mine} - {None}
+        seen, faults, marked = set(), {"blank": 0, "duplicate": 0, "truncated": 0}, []
+        for _, role, text in mine:
+            bare = text.strip(SPACES)
+            fault = "blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else ""
+            seen.add((role, text))
+            if fault:
+                faults[fault] += 1
+            marked.append((role, text, fault in ("blank", "duplicate"), fault == "truncated"))
+        illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in itertools.pairwise(mine))
+        cost, edits, fixed = brute_edits(marked)
+        digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in fixed).encode()).hexdigest()
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        out[conv] = (gaps, *faults.values(), illegal, cost, edits, digest)
+    return out
+
+
+def got(frame):
+    rows = frame.collect()
+    found = {row[0]: tuple(row[1:]) for row in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+def hard_rows():
+    rng = random.Random(3)
+    texts = ["Yes.", "No!", "cut off", "", "  \t", "Why?", "é. \n", None, "a.\vb", "ok. "]
+    roles = ["user", "assistant", "system", "tool", "", None, "User"]
+    rows = [(1000, k, "user" if k % 2 == 0 else "assistant", f"text {k}.") for k in range(3000)]
+    for conv in range(250):
+        for turn in range(rng.randrange(1, 14)):
+            role = rng.choice(roles) if rng.random() < 0.3 else ("user", "assistant")[turn % 2]
+            rows.append((conv, turn if rng.random() < 0.9 else None, role, rng.choice(texts) if rng.random() < 0.4 else f"t{turn}."))
+    rows += [(None, k, "user", "same.") for k in range(5)]
+    rows += [(500, 1, "user", "same.")] * 40  # copies of one row
+    rows += [(600, None, None, None)] * 3
+    return rows
+
+
+@pytest.mark.parametrize("damage", [True, False])
+def test_repair(spark, damage):
+    rows = hard_rows()
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    change = damaged if damage else undamaged
+    assert got(repaired(change(frame))) == brute(rows, damage)
+
+
+def test_query_on_the_given_table(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    expected = brute([tuple(r) for r in frame.select("conv_id", "turn", "role", "text").collect()])
+    assert got(op12_conversation_repair(spark, "/root/testdata/sf0.001")) == expected
+
+
+def test_every_short_sequence_against_all_edit_strings():
+    """All edit strings of up to two insertions in each place, without any dynamic programming."""
+    of = transfer([])
+    legal = re.compile("(s?(ua)+)?")
+    for sequence in ["".join(s) for n in range(3) for s in itertools.product("suaoSUAX", repeat=n)]:
+        best = None
+        for gaps in itertools.product(range(3), repeat=len(sequence) + 1):
+            for ops in itertools.product("DKR", repeat=len(sequence)):
+                parts, cost, slots = [], 5 * sum(gaps), []
+                for k, op in enumerate((*ops, "")):
+                    slots += ["ua"] * gaps[k]
+                    parts.append("I" * gaps[k] + op)
+                    if not op:
+                        continue
+                    symbol = sequence[k]
+                    if op == "D":
+                        cost += 2
+                    elif symbol == "X":
+                        cost = 10**6
+                    else:
+                        cost += 5 * symbol.isupper() + (op == "R")
+                        slots.append(symbol.lower() if op == "K" else "ua")
+                entry = (cost, "".join(parts))
+                if cost < 10**6 and (best is None or entry < best):
+                    if any(legal.fullmatch("".join(roles)) for roles in itertools.product(*slots)):
+                        best = entry
+        assert cheapest(sequence, of, []) == best, sequence
+
+
+def test_rules_do_not_change_results(spark):
+    rng = random.Random(8)
+    lines = ["".join(rng.choice("suaoSUAX" if rng.random() < 0.4 else "ua") for _ in range(rng.randrange(0, 40))) for _ in range(200)]
+    rules = grammar(spark.createDataFrame([(x,) for x in lines], "sequence string"), rounds=4, most=5)
+    assert len(rules) == 20 and any(ord(c) >= 0x100 for pair in rules for c in pair)
+    assert any(len(compressed(x, rules)) < len(x) / 2 for x in lines)
+    with_rules, without = transfer(rules), transfer([])
+    for line in lines:
+        assert cheapest(line, with_rules, rules) == cheapest(line, without, [])
+
+
+def test_long_sequences_stay_fast():
+    line = "uaUAXo" * 2_000
+    cost, edits = cheapest(line, transfer([]), [])
+    assert len(edits) >= len(line) and cost > 0
+
+
+def test_ropes():
+    words = ["", "D", "DI", "DK", "KD", "K"]
+    pairs = [(Rope(a) + Rope(b), a + b) for a in words for b in words]
+    for (r, a), (s, b) in itertools.product(pairs, repeat=2):
+        assert (r < s) == (a < b) and str(r + s) == a + b
+
+
+def test_nothing_and_extra_columns(spark):
+    assert repaired(damaged(spark.createDataFrame([], SCHEMA))).count() == 0
+    extra = spark.createDataFrame([(1, 0, "user", "Hi.", "x", 3, "y")], SCHEMA + ", audit string, copies int, digest string")
+    assert got(repaired(damaged(extra))) == brute([(1, 0, "user", "Hi.")])
+    assert conversations.RULES > 0
