@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facilitymetrics.llm import warc
+from facilitymetrics.llm import conversations, oracle, quality, warc
 from facilitymetrics.llm.decontam import contained_items
 from facilitymetrics.llm.html_text import extracted
+from facilitymetrics.llm.importance import resampled
 from facilitymetrics.llm.lm_score import scored
 from facilitymetrics.llm.near_dup import near_duplicates
 from facilitymetrics.llm.packing import packed
@@ -96,6 +97,23 @@ def op10_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), longest=1)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired(conversations.damaged(_table(spark, sf_dir, "conversations")))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.judged(quality.ledger(_table(spark, sf_dir, "documents")), quality.PRODUCTION)
+    base = F.col("failed_bits").bitwiseAND(F.lit(quality.BASE.mask)) != 0
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        base.alias("base_failed"), "kept", "failed_bits",
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -108,8 +126,11 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": op8_toxicity,
         "op9_warc": op9_warc,
         "op10_embedding_near_dup": op10_embedding_near_dup,
+        "op11_importance_resampling": op11_importance_resampling,
+        "op12_conversation_repair": op12_conversation_repair,
+        "op13_quality_rules": op13_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.statements()
