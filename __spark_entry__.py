@@ -23,13 +23,16 @@ from facilitymetrics.operators.select import (  # noqa: E402
     provider_options,
     state_options,
 )
+from facilitymetrics import jobs  # noqa: E402
 from facilitymetrics.plans import occupancy, rollups, staffing  # noqa: E402
-from facilitymetrics.plans.curate import curate, refine_state_averages  # noqa: E402
+from facilitymetrics.plans.curate import curate, curate_clustered, refine_state_averages  # noqa: E402
 from facilitymetrics.plans.facility_staffing import facility_staffing  # noqa: E402
 from facilitymetrics.plans.summary import (  # noqa: E402
     FACILITY,
     FACILITY_STATE,
     staffing_summary,
+    with_quarters_replaced,
+    with_rows_added,
 )
 from facilitymetrics.schemas import (  # noqa: E402
     CCN,
@@ -40,14 +43,17 @@ from facilitymetrics.schemas import (  # noqa: E402
     RENAMES,
     STATE_AVERAGES,
 )
-from facilitymetrics.sources.audit import dataset_audit, row_count, undated_rows  # noqa: E402
+from facilitymetrics.sources.audit import TypeBoundary, dataset_audit, row_count, undated_rows  # noqa: E402
 from facilitymetrics.sources.lake import (  # noqa: E402
+    Lake,
     read_csv,
+    read_curated,
     read_parquet,
     scratch_dir,
     write_csv,
     write_parquet,
 )
+from facilitymetrics.sources.manifest import drop_partition  # noqa: E402
 from standins import curated, raw_state_averages, refined, table  # noqa: E402
 
 # The operators on training text are a part that can be left out.
@@ -146,11 +152,94 @@ def _parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality measures written by measure period, read back."""
     path = f"{scratch_dir(spark, 'curate')}/{QUALITY}"
-    measures = curate(refined(spark, sf_dir, QUALITY), QUALITY)
-    write_parquet(measures, path, partition_by=["measure_period"])
+    periods = ["measure_period"]
+    measures, clustered = curate_clustered(refined(spark, sf_dir, QUALITY), QUALITY, periods)
+    write_parquet(measures, path, partition_by=periods, clustered=clustered)
     return _underscored(_iso_dates(read_parquet(spark, path)))
 
 
+def _incremental_curation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality measures curated twice, the second time from the periods that came, changed or went alone."""
+    root = scratch_dir(spark, "incremental")
+    lake, periods, source = Lake(f"{root}/refined", f"{root}/curated"), ["measure_period"], "Measure Period"
+    path = lake.refined_path(QUALITY)
+    rows = refined(spark, sf_dir, QUALITY)
+    odd = F.col(source).endswith("Q1")
+    before = rows.where(~odd | (F.col("Q2 Measure Score") > 0)).withColumn(
+        source, F.when(F.col(source) == "1995Q2", "1900Q1").otherwise(F.col(source))
+    )
+    write_parquet(before, path, [source])
+    jobs.curate_dataset(spark, lake, QUALITY, periods, changed_only=True)
+    write_parquet(rows.where(odd | (F.col(source) == "1995Q2")), path, [source], touched_partitions_only=True)
+    drop_partition(spark, path, [source], ["1900Q1"])
+    jobs.curate_dataset(spark, lake, QUALITY, periods, changed_only=True)
+    return _underscored(_iso_dates(read_curated(spark, lake, QUALITY)))
+
+
+def _csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw CSV in which some numbers are none: rows refined and rows noted in the quarantine, by state."""
+    root = scratch_dir(spark, "refine")
+    score = "Cycle 1 Total Number of Health Deficiencies"
+    bad = F.when(F.col("s_suppkey") % 11 == 0, F.concat(F.col("s_suppkey").cast("string"), F.lit(" and more")))
+    raw = raw_state_averages(spark, sf_dir, "s_suppkey").withColumn(score, F.coalesce(bad, F.col(score).cast("string")))
+    write_csv(raw.drop("s_suppkey"), f"{root}/raw")
+    lake = Lake(f"{root}/refined", f"{root}/curated")
+    jobs.refine(spark, f"{root}/raw", lake)
+    good = read_parquet(spark, lake.refined_path(STATE_AVERAGES)).select(
+        F.lit("refined").alias("status"), F.col("State or Nation").alias("state")
+    )
+    broken = read_parquet(spark, lake.quarantine_path(STATE_AVERAGES)).select(
+        F.col("reason").alias("status"), F.split("raw_row", ",")[0].alias("state")
+    )
+    return good.union(broken).groupBy("status", "state").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _lost_values_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facilities whose measures are partly unreadable: values that the write turned into nulls, by column."""
+    rows = refined(spark, sf_dir, PROVIDER_INFO)
+    size = F.col("Number of Certified Beds")
+    beds, residents, turnover = size, F.col("Average Number of Residents per Day"), F.col("Registered nurse turnover")
+    rows = rows.withColumns(
+        {
+            "Number of Certified Beds": F.when(size % 9 == 4, "n/a").otherwise(beds.cast("string")),
+            "Average Number of Residents per Day":
+                F.when(size % 7 == 2, "1,234.5").otherwise(residents.cast("string")),
+            "Registered nurse turnover":
+                F.when((size % 5 == 3) & turnover.isNotNull(), float("nan")).otherwise(turnover),
+        }
+    )
+    boundary = TypeBoundary(REFINED[PROVIDER_INFO])
+    facilities = curate(boundary.watched(rows), PROVIDER_INFO)
+    written = write_parquet(facilities, f"{scratch_dir(spark, 'curate')}/{PROVIDER_INFO}")
+    return boundary.table(rows, written).drop("rows_written")
+
+
+def _summary_quarters_replaced(pbj: DataFrame) -> DataFrame:
+    """A summary with a missing, a wrong and an outdated quarter, and the three computed again."""
+    late, wrong, outdated = "1996Q2", "1997Q3", "1900Q1"
+    quarter = F.col("CY_Qtr")
+    stale = staffing_summary(
+        pbj.where((quarter != late) & ((quarter != wrong) | (F.col("Hrs_CNA") > 0))).union(
+            pbj.where(quarter == wrong).withColumn("CY_Qtr", F.lit(outdated))
+        )
+    )
+    fresh = staffing_summary(pbj.where(quarter.isin(late, wrong, outdated)))
+    return _iso_dates(with_quarters_replaced(stale, fresh, [late, wrong, outdated]))
+
+
+def _summary_rows_added(pbj: DataFrame) -> DataFrame:
+    """The summary of a part of the days, and that of the others added to it."""
+    first = F.col("l_linestatus") == "F"
+    return _iso_dates(with_rows_added(staffing_summary(pbj.where(first)), staffing_summary(pbj.where(~first))))
+
+
+def _infinite_ratios(pbj: DataFrame, provider: DataFrame) -> DataFrame:
+    """Hours per resident where some facilities have next to no residents, so that the quotient has no finite value."""
+    residents = F.when(F.col("certified_beds") % 10 == 3, F.lit(1e-320)).otherwise(F.col("average_residents_per_day"))
+    found = staffing.facility_analysis(pbj, provider.withColumn("average_residents_per_day", residents))
+    return found.select(CCN, "provider_name", "avg_total_nurse_hrs", "nurse_hours_per_resident")
+
+
 def _work_months(pbj: DataFrame) -> DataFrame:
     day = parse_workday(pbj)
     return pbj.select(
@@ -242,6 +331,9 @@ def facility_queries() -> dict[str, Query]:
         "csv_roundtrip": _csv_roundtrip,
         "parquet_overwrite_roundtrip": _parquet_roundtrip,
         "parquet_partitioned_roundtrip": _partitioned_roundtrip,
+        "incremental_curation": _incremental_curation,
+        "csv_quarantine": _csv_quarantine,
+        "lost_values_audit": _lost_values_audit,
         "row_count_audit": lambda spark, sf_dir: row_count(table(spark, sf_dir, "lineitem")),
         "schema_audit": _audit_query(PROVIDER_INFO),
         "undated_rows": _over(PBJ, undated_rows),
@@ -336,6 +428,7 @@ def facility_queries() -> dict[str, Query]:
         "facility_analysis_staffing_of_owner": _over_both(
             lambda pbj, provider: staffing.facility_analysis(pbj, provider, OF_OWNER)
         ),
+        "infinite_ratios": _over_both(_infinite_ratios),
         "staffing_kpis": _staffing_kpis(ANY),
         "staffing_kpis_of_owner": _staffing_kpis(OF_OWNER),
         "staffing_kpis_empty": _staffing_kpis(NOTHING),
@@ -351,6 +444,9 @@ def facility_queries() -> dict[str, Query]:
         "hours_per_resident_by_state": _hours_per_resident(ANY),
         # roll-ups of the whole staffing table
         "staffing_summary": _over(PBJ, lambda df: _iso_dates(staffing_summary(df))),
+        "summary_quarters_replaced": _over(PBJ, _summary_quarters_replaced),
+        "summary_rows_added": _over(PBJ, _summary_rows_added),
+        "all_rollups": _over(PBJ, rollups.all_rollups),
         "monthly_hours": _over(PBJ, rollups.monthly_hours),
         "hours_by_month": _over(PBJ, rollups.hours_by_month),
         "hours_by_state": _over(PBJ, rollups.hours_by_state),

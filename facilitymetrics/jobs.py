@@ -1,8 +1,14 @@
 """Command line jobs for spark-submit.
 
     jobs.py refine  --csv PATH --refined ROOT
-    jobs.py curate  DATASET --refined ROOT --curated ROOT [--partition-by COLUMN]
+    jobs.py curate  DATASET --refined ROOT --curated ROOT [--partition-by COLUMN] [--changed-only]
+    jobs.py summary --curated ROOT --out ROOT [--quarter Q ...]
     jobs.py reports --curated ROOT --out ROOT [--state S] [--owner O] [--provider P]
+
+``refine`` keeps the text of rows it cannot read in full below ``_quarantine``; ``curate`` leaves counts of values that are no number below
+``_audit`` and, with ``--partition-by``, the list of its input files below ``_manifest``; ``--changed-only`` then
+reads only partitions whose files are new, changed or gone.  ``summary`` keeps the staffing summary by quarter and
+computes the named quarters again.
 """
 
 from __future__ import annotations
@@ -22,7 +28,7 @@ from facilitymetrics.operators.select import (
     state_options,
 )
 from facilitymetrics.plans import occupancy, rollups, staffing
-from facilitymetrics.plans.curate import curate, refine_state_averages
+from facilitymetrics.plans.curate import curate_clustered, refine_state_averages
 from facilitymetrics.plans.facility_staffing import facility_staffing
 from facilitymetrics.plans.summary import FACILITY, FACILITY_STATE, Summary, staffing_summary
 from facilitymetrics.schemas import (
@@ -34,25 +40,42 @@ from facilitymetrics.schemas import (
     STATE_AVERAGES,
 )
 from facilitymetrics.session import build_session
-from facilitymetrics.sources.audit import schema_findings, undated_rows
+from facilitymetrics.sources import manifest
+from facilitymetrics.sources.audit import TypeBoundary, schema_findings, undated_rows
 from facilitymetrics.sources.lake import (
     Lake,
-    read_csv,
     read_curated,
     read_parquet,
     read_refined,
+    scratch_dir,
     write_parquet,
 )
+from facilitymetrics.sources.quarantine import read_checked
 from facilitymetrics.sources.sizing import sized_tasks
 
 log = logging.getLogger("facilitymetrics")
 
 
 def refine(spark: SparkSession, csv_path: str, lake: Lake) -> int:
-    """Raw CSV of state averages to the refined layer; returns the rows written."""
-    raw = read_csv(spark, csv_path, REFINED[STATE_AVERAGES])
-    with sized_tasks(spark, raw):
-        return write_parquet(refine_state_averages(raw), lake.refined_path(STATE_AVERAGES))
+    """Raw CSV of state averages to the refined layer; returns the rows written.
+
+    The CSV is parsed once.  Rows that cannot be read in full go to ``_quarantine`` below the refined root.
+    """
+    staging = scratch_dir(spark, "staging")
+    try:
+        checked = read_checked(spark, csv_path, staging, REFINED[STATE_AVERAGES])
+        if checked.n_broken:
+            log.warning("%s: %d rows could not be read in full", csv_path, checked.n_broken)
+        write_parquet(checked.broken, lake.quarantine_path(STATE_AVERAGES))
+        with sized_tasks(spark, checked.good):
+            return write_parquet(refine_state_averages(checked.good), lake.refined_path(STATE_AVERAGES))
+    finally:
+        drop_folder(spark, staging)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    files, where = manifest.file_system(spark, path)
+    files.delete(where, True)
 
 
 def curate_dataset(
@@ -62,20 +85,62 @@ def curate_dataset(
     partition_by: Sequence[str] = (),
     touched_partitions_only: bool = False,
     strict: bool = False,
+    changed_only: bool = False,
 ) -> int:
-    """Refined to curated for one dataset; returns the rows written."""
+    """Refined to curated for one dataset; returns the rows written.
+
+    With ``changed_only`` and a refined table in directories by ``partition_by`` only the partitions are read whose files
+    changed since the last run, and only their curated partitions are replaced or dropped.  ``partition_by`` names
+    are the curated ones; the refined directories may have the name from before the rename.
+    """
     refined = read_refined(spark, lake, dataset)
     if missing := missing_sources(refined, RENAMES[dataset]):
         log.warning("%s: columns to rename are missing: %s", dataset, missing)
     for finding in schema_findings(refined, REFINED[dataset]):
         log.info("%s: %s", dataset, finding)
-    with sized_tasks(spark, refined):
-        return write_parquet(
-            curate(refined, dataset, strict),
-            lake.curated_path(dataset),
-            partition_by,
-            touched_partitions_only,
+    source = {new: old for old, new in RENAMES[dataset].items()}
+    columns = [c if c in refined.columns else source.get(c, c) for c in partition_by]
+    found = None
+    if columns:
+        found = manifest.changes(
+            spark, lake.refined_path(dataset), lake.manifest_path(dataset), columns, changed_only
         )
+        refined = read_refined(spark, lake, dataset)  # files that came after the list was made are read twice, not missed
+    out = lake.curated_path(dataset)
+    if found is not None and not found.everything:
+        for values in found.gone:
+            manifest.drop_partition(spark, out, partition_by, values)
+        if not found.touched:
+            manifest.record(found, lake.manifest_path(dataset))
+            return 0
+        refined = refined.where(manifest.in_partitions(refined, columns, found.touched))
+        touched_partitions_only = True
+    boundary = TypeBoundary(REFINED[dataset])
+    with sized_tasks(spark, refined):
+        curated, clustered = curate_clustered(refined, dataset, partition_by, strict, boundary.watched)
+        rows = write_parquet(curated, out, partition_by, touched_partitions_only, clustered)
+    write_parquet(boundary.table(refined, rows), lake.audit_path(dataset))
+    if found is not None:
+        manifest.record(found, lake.manifest_path(dataset))
+    return rows
+
+
+def update_summary(
+    spark: SparkSession, lake: Lake, out_root: str, quarters: Sequence[str | None] | None = None
+) -> int:
+    """The staffing summary in directories by quarter; with ``quarters`` only those are read and replaced.
+
+    A named quarter without staffing rows is dropped.  Returns the rows written.
+    """
+    pbj = read_curated(spark, lake, PBJ)
+    path = f"{out_root.rstrip('/')}/staffing_summary_by_quarter"
+    if quarters is not None:
+        pbj = pbj.where(manifest.in_partitions(pbj, ["CY_Qtr"], [(q,) for q in quarters]))
+        here = {row[0] for row in pbj.select("CY_Qtr").distinct().collect()}  # at most the named ones
+        for quarter in set(quarters) - here:
+            manifest.drop_partition(spark, path, ["CY_Qtr"], [quarter])
+    with sized_tasks(spark, pbj):
+        return write_parquet(staffing_summary(pbj), path, ["CY_Qtr"], quarters is not None)
 
 
 def build_reports(
@@ -107,10 +172,11 @@ def _written_reports(
     summary = Summary(write("staffing_summary", staffing_summary(pbj)))
     # Monthly figures leave out what this counts.
     write("undated_rows", undated_rows(pbj))
-    write("monthly_hours", rollups.monthly_hours(summary))
-    write("hours_by_month", rollups.hours_by_month(summary))
-    write("hours_by_state", rollups.hours_by_state(summary))
-    write("hours_by_provider", rollups.hours_by_provider(summary))
+    # One scan of the summary for the four roll-ups.
+    rolled = write("rollups", rollups.all_rollups(summary))
+    write("monthly_hours", rollups.rollup_of(rolled, "facility"))
+    for level in ("month", "state", "provider"):
+        write(f"hours_by_{level}", rollups.rollup_of(rolled, level))
     records = write("record_completeness", rollups.record_completeness(summary))
     write("unexpected_records", rollups.unexpected_records(records))
 
@@ -168,6 +234,12 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     job.add_argument("--partition-by", action="append", default=[])
     job.add_argument("--touched-partitions-only", action="store_true")
     job.add_argument("--strict", action="store_true")
+    job.add_argument("--changed-only", action="store_true")
+
+    job = jobs.add_parser("summary")
+    job.add_argument("--curated", required=True)
+    job.add_argument("--out", required=True)
+    job.add_argument("--quarter", action="append")
 
     job = jobs.add_parser("reports")
     job.add_argument("--curated", required=True)
@@ -188,9 +260,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif args.job == "curate":
         written = curate_dataset(
             spark, lake, args.dataset, args.partition_by, args.touched_partitions_only,
-            args.strict,
+            args.strict, args.changed_only,
         )
         log.info("rows written: %d", written)
+    elif args.job == "summary":
+        log.info("rows written: %d", update_summary(spark, lake, args.out, args.quarter))
     else:
         choice = FacilityFilter(args.state, args.owner, args.provider)
         for name, written in build_reports(spark, lake, args.out, choice).items():

@@ -101,8 +101,11 @@ def of_selected(
     leaves it above otherwise (grouped rows, not day rows, are shuffled for the join, and a
     hot facility is down to its groups).  ``missing_ids=False`` makes it a plain equi-join
     for rows known to have an id.
+
+    The ids are not made distinct, which a semi-join does not need: Spark then builds a Bloom filter of the ids of a narrow
+    selection (a missing id has its place in it) and drops the other rows of a large table at its scan, before the shuffle.
     """
-    ids = selected_ids(facilities)
+    ids = facilities.select(F.col(CCN).alias("selected_ccn"))
     have, wanted = staffing[CCN], ids["selected_ccn"]
     same = have.eqNullSafe(wanted) if missing_ids else have == wanted
     return staffing.join(ids, same, "left_semi")

@@ -5,7 +5,7 @@ Derived columns are computed after the dedup, so its shuffle carries input colum
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -34,6 +34,7 @@ from facilitymetrics.schemas import (
     RENAMES,
     STATE_AVERAGES,
 )
+from facilitymetrics.sources.clustering import clustered_distinct
 from facilitymetrics.sources.conform import conform
 
 
@@ -88,11 +89,40 @@ DERIVE: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+def _named(refined: DataFrame, dataset: str, strict: bool) -> DataFrame:
+    return renamed(conform(refined, REFINED[dataset]), RENAMES[dataset], strict)
+
+
 def curate(refined: DataFrame, dataset: str, strict: bool = False) -> DataFrame:
-    """Curated form of a refined table."""
-    typed = conform(refined, REFINED[dataset])
-    named = renamed(typed, RENAMES[dataset], strict)
-    return DERIVE[dataset](deduplicated(named))
+    """Curated form of a refined table.
+
+    Rows are compared after the type boundary, so rows that differ only by NaN and null, or by texts that are
+    no number, are one.
+    """
+    return DERIVE[dataset](deduplicated(_named(refined, dataset, strict)))
+
+
+def curate_clustered(
+    refined: DataFrame,
+    dataset: str,
+    partition_by: Sequence[str],
+    strict: bool = False,
+    observed: Callable[[DataFrame], DataFrame] | None = None,
+) -> tuple[DataFrame, bool]:
+    """Curated form whose rows lie together by ``partition_by``, and whether they do.
+
+    The one exchange of whole rows serves deduplication and the write.  Curated names count.  ``observed`` is put
+    around the refined table where it is read in full.
+    """
+
+    def named(table: DataFrame) -> DataFrame:
+        return _named(table, dataset, strict)
+
+    whole = (lambda _: named(observed(refined))) if observed else None
+    distinct = clustered_distinct(named(refined), partition_by, whole) if partition_by else None
+    if distinct is not None:
+        return DERIVE[dataset](distinct), True
+    return DERIVE[dataset](deduplicated(whole(refined) if whole else named(refined))), False
 
 
 def refine_state_averages(raw: DataFrame) -> DataFrame:

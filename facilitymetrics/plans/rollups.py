@@ -62,6 +62,50 @@ def hours_by_provider(staffing: DataFrame | Summary) -> DataFrame:
     return ranked(_rolled_up(staffing, keys), HOURS, keys)
 
 
+# Levels of the table of all roll-ups, with the columns that each is kept by.
+LEVELS: dict[str, tuple[str, ...]] = {
+    "facility": (*FACILITY_STATE, "month"),
+    "month": ("month",),
+    "state": ("state",),
+    "provider": ("provider_name", "state"),
+}
+
+
+def all_rollups(staffing: DataFrame | Summary) -> DataFrame:
+    """Hours of all four roll-ups in one table, from one scan: grouping sets over the facility months.
+
+    ``level`` says which roll-up a row belongs to; the columns that it is not kept by are null.  Facility months are added up
+    first, so what is repeated for each grouping set is a row for each of them and not each day.
+    """
+    keys = LEVELS["facility"]
+    months = _rolled_up(staffing, keys)
+    sets = [[F.col(name) for name in names] for names in LEVELS.values()]
+    # One bit for each key, set where the grouping set lacks it.
+    bits = {sum(1 << (len(keys) - 1 - k) for k, name in enumerate(keys) if name not in names): level
+            for level, names in LEVELS.items()}
+    level = F.grouping_id(*[F.col(name) for name in keys])
+    named = F.lit(None).cast("string")
+    for value, name in bits.items():
+        named = F.when(F.col("grouped_by") == value, name).otherwise(named)
+    grouped = months.groupingSets(sets, *[F.col(name) for name in keys]).agg(
+        level.alias("grouped_by"), F.sum(HOURS).alias(HOURS)
+    )
+    return _labelled(grouped.withColumn("level", named).drop("grouped_by")).select("level", *keys, HOURS)
+
+
+def rollup_of(rollups: DataFrame, level: str) -> DataFrame:
+    """One roll-up out of ``all_rollups``, as the function of that roll-up gives it."""
+    names = LEVELS[level]
+    rows = rollups.where(F.col("level") == level).select(*names, HOURS)
+    if level == "month":
+        return rows.orderBy("month")
+    if level == "state":
+        return ranked(rows, HOURS, ["state"], ascending=True)
+    if level == "provider":
+        return ranked(rows, HOURS, list(names))
+    return rows
+
+
 # Records of a complete quarter: a day each, as the dashboards expect.
 EXPECTED_RECORDS = 91
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from facilitymetrics.functions.rowwise import (
@@ -22,9 +22,9 @@ from facilitymetrics.operators.aggs import group_mean, sum_or_zero
 from facilitymetrics.operators.joins import of_selected, with_state_name
 from facilitymetrics.operators.ordering import ranked
 from facilitymetrics.operators.reshape import labelled_hours
-from facilitymetrics.operators.select import EVERYTHING, FacilityFilter, present
+from facilitymetrics.operators.select import EVERYTHING, FacilityFilter
 from facilitymetrics.plans.facility_staffing import facility_staffing
-from facilitymetrics.plans.summary import FACILITY, Summary, additive_rows, mean_daily_hours
+from facilitymetrics.plans.summary import FACILITY, HOURS, Summary, additive_rows, mean_daily_hours
 from facilitymetrics.schemas import CCN
 
 
@@ -51,34 +51,53 @@ def hours_per_resident_by_state(analysis: DataFrame) -> DataFrame:
     return ranked(means, "nurse_hours_per_resident", ["state"])
 
 
-def _staffing_with_facilities(pbj: DataFrame | Summary, facilities: DataFrame) -> DataFrame:
-    """Staffing groups of the selection, each with the facility rows it joins to.
+def _pairs(
+    pbj: DataFrame | Summary,
+    provider: DataFrame,
+    choice: FacilityFilter,
+    further: tuple[Column, ...] = (),
+) -> DataFrame:
+    """One row per (id, name) of staffing or facility rows, with sums of both, for the ids of the selection.
+
+    Staffing and facility rows are stacked and grouped together, so both tables are read once, no join is
+    needed and nothing is fanned out by repeated facility rows.  A mean over the joined rows is
+    a sum of products of such sums.  A group counts as joined when it has rows of both tables and both keys; groups
+    without a key are kept, since their hours count in the totals of a selected id.
 
-    One row per (id, name) on either side: staffing rows are reduced to a mean and two sums, the
-    facility rows of a key to counts and sums.  A mean over the joined rows is then a sum of
-    products, so the staffing table is read once for all indicators, nothing is fanned out
-    by repeated facility rows, and a hot key is a single row in the join.  Groups without a
-    key are kept here: their hours count in the totals, though they join to no facility.
+    For a narrower selection day rows are matched to its ids beforehand, which costs a second look at the
+    facilities and saves grouping the rest.
     """
-    groups = additive_rows(pbj).groupBy(*FACILITY).agg(
+    facilities = choice.full_scope(provider)
+    days = additive_rows(pbj)
+    if choice != EVERYTHING and not isinstance(pbj, Summary):
+        days = of_selected(days, facilities)
+    inverse_residents = finite_or_null(safe_ratio(F.lit(1.0), "average_residents_per_day"))
+    stacked = days.select(
+        *FACILITY, HOURS, "hour_days", "employee_hrs", "contractor_hrs", F.lit(1).alias("staffing_row")
+    ).unionByName(
+        facilities.select(
+            *FACILITY, "state", "ownership_type", "occupancy_rate", F.lit(1).alias("facility_row"),
+            inverse_residents.alias("inverse"),
+        ),
+        allowMissingColumns=True,
+    )
+    groups = stacked.groupBy(*FACILITY).agg(
         mean_daily_hours().alias("mean_hours"),
         F.sum("employee_hrs").alias("employee_hours"),
         F.sum("contractor_hrs").alias("contractor_hours"),
+        F.count("staffing_row").alias("staffing_rows"),
+        F.count("facility_row").alias("facility_rows"),
+        F.count("inverse").alias("resident_rows"),
+        F.sum("inverse").alias("inverse_residents"),
+        F.count("occupancy_rate").alias("occupancy_rows"),
+        F.sum("occupancy_rate").alias("occupancy_total"),
+        *further,
     )
-    inverse_residents = finite_or_null(safe_ratio(F.lit(1.0), "average_residents_per_day"))
-    rows = (
-        present(facilities, *FACILITY)
-        .groupBy(*FACILITY)
-        .agg(
-            F.count(F.lit(1)).alias("facility_rows"),
-            F.count(inverse_residents).alias("resident_rows"),
-            F.sum(inverse_residents).alias("inverse_residents"),
-            F.count("occupancy_rate").alias("occupancy_rows"),
-            F.sum("occupancy_rate").alias("occupancy_total"),
-            F.min(F.struct(*_missing_last("state", "ownership_type"))).alias("first_facility"),
-        )
-    )
-    return of_selected(groups, facilities).join(rows, list(FACILITY), "left")
+    chosen = F.max("facility_rows").over(Window.partitionBy(CCN)) > 0
+    joined = (F.col("staffing_rows") > 0) & (F.col("facility_rows") > 0)
+    for key in FACILITY:
+        joined = joined & F.col(key).isNotNull()
+    return groups.withColumns({"chosen": chosen, "joined": joined}).where("chosen")
 
 
 def _missing_last(*names: str) -> list[Column]:
@@ -91,7 +110,8 @@ def _joined_means() -> dict[str, Column]:
     """Means over the joined rows, 0.0 where there is no value."""
 
     def mean(total: Column, rows: Column) -> Column:
-        return F.coalesce(safe_ratio(F.sum(total), F.sum(rows)), F.lit(0.0))
+        both = [F.sum(F.when(F.col("joined"), value)) for value in (total, rows)]
+        return F.coalesce(safe_ratio(*both), F.lit(0.0))
 
     hours = F.col("mean_hours")
     return {
@@ -124,21 +144,16 @@ def _with_mix(totals: DataFrame) -> DataFrame:
 def staffing_kpis(
     pbj: DataFrame | Summary, provider: DataFrame, choice: FacilityFilter = EVERYTHING
 ) -> DataFrame:
-    """One row of indicators for the selection.
-
-    The provider count comes from the facility rows, everything else from the staffing
-    side; the two one-row results are stacked and folded into one.
-    """
-    facilities = choice.full_scope(provider)
+    """One row of indicators for the selection; providers are counted by name over all its facilities."""
     means = _joined_means()
-    counted = facilities.agg(F.count_distinct("provider_name").alias("providers"))
-    measured = _staffing_with_facilities(pbj, facilities).agg(
-        *[mean.alias(name) for name, mean in means.items()],
+    name = F.when(F.col("facility_rows") > 0, F.col("provider_name"))
+    measured = _pairs(pbj, provider, choice).agg(
+        F.count_distinct(name).alias("providers"),
+        *[mean.alias(title) for title, mean in means.items()],
         sum_or_zero("employee_hours").alias("total_employee_hrs"),
         sum_or_zero("contractor_hours").alias("total_contractor_hrs"),
     )
-    both = counted.unionByName(measured, allowMissingColumns=True)
-    return _with_mix(both.agg(*[F.max(name).alias(name) for name in both.columns]))
+    return _with_mix(measured)
 
 
 def staffing_kpi_text(kpis: DataFrame) -> DataFrame:
@@ -175,13 +190,13 @@ def provider_detail(
     pbj: DataFrame | Summary, provider: DataFrame, choice: FacilityFilter = EVERYTHING
 ) -> DataFrame:
     """Name, state and owner of the first joined facility beside the selection's averages."""
-    joined = _staffing_with_facilities(pbj, choice.full_scope(provider))
+    # Few distinct pairs of state and owner for each facility; a minimum of structs would sort the stacked rows.
+    owners = F.collect_set(F.when(F.col("facility_row") == 1, F.struct(*_missing_last("state", "ownership_type"))))
+    pairs = _pairs(pbj, provider, choice, (F.array_min(owners).alias("first_facility"),))
     means = _joined_means()
-    first = F.min(
-        F.when(F.col("facility_rows").isNotNull(), F.struct(*FACILITY, "first_facility"))
-    )
+    first = F.min(F.when(F.col("joined"), F.struct(*FACILITY, "first_facility")))
     one = (
-        joined.agg(first.alias("first"), *[mean.alias(name) for name, mean in means.items()])
+        pairs.agg(first.alias("first"), *[mean.alias(name) for name, mean in means.items()])
         .filter(F.col("first").isNotNull())
         .select("first.provider_name", "first.first_facility.*", *means)
     )

@@ -8,6 +8,7 @@ staffing table is read and shuffled once instead of once per report.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -65,3 +66,27 @@ def staffing_summary(pbj: DataFrame) -> DataFrame:
         .groupBy(*SUMMARY_KEYS)
         .agg(*[F.sum(measure).alias(measure) for measure in MEASURES])
     )
+
+
+def with_quarters_replaced(
+    summary: DataFrame, fresh: DataFrame, quarters: Sequence[str | None], quarter: str = "CY_Qtr"
+) -> DataFrame:
+    """The summary with the rows of the touched quarters exchanged for ``fresh``, which may have none of a quarter.
+
+    Every group belongs to one quarter, so a corrected quarter is replaced and a removed one left out without
+    reading the staffing rows of the others.
+    """
+    named = [q for q in quarters if q is not None]
+    touched = F.coalesce(F.col(quarter).isin(named), F.lit(False)) if named else F.lit(False)
+    if None in quarters:
+        touched = touched | F.col(quarter).isNull()
+    return summary.where(~touched).unionByName(fresh)
+
+
+def with_rows_added(summary: DataFrame, added: DataFrame) -> DataFrame:
+    """The summary after further staffing rows, given by their own summary: measures add up group by group."""
+    return (
+        summary.unionByName(added)
+        .groupBy(*SUMMARY_KEYS)
+        .agg(*[F.sum(measure).alias(measure) for measure in MEASURES])
+    )

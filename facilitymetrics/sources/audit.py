@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from facilitymetrics.functions.timeops import parse_workday
 from facilitymetrics.schemas import DATE_LIKE
+from facilitymetrics.sources.conform import lost_values
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -56,3 +59,31 @@ def undated_rows(staffing: DataFrame, column: str = "WorkDate") -> DataFrame:
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(parse_workday(staffing, column).isNull()).alias("undated_rows"),
     )
+
+
+@dataclass
+class TypeBoundary:
+    """Counts what the type boundary loses, in the pass that writes the table.
+
+    Put ``watched`` around the table where it is read, and ask for ``table`` after the write.
+    """
+
+    declared: T.StructType
+    _seen: Observation = field(default_factory=Observation)
+    _names: list[str] = field(default_factory=list)
+
+    def watched(self, df: DataFrame) -> DataFrame:
+        losses = lost_values(df, self.declared)
+        self._names = list(losses)
+        counts = [count.alias(f"lost_{k}") for k, count in enumerate(losses.values())]
+        return df.observe(self._seen, F.count(F.lit(1)).alias("rows_read"), *counts)
+
+    def table(self, df: DataFrame, rows_written: int) -> DataFrame:
+        """A row for each checked column: values that became null, rows read and written."""
+        seen = self._seen.get
+        rows = [
+            (name, seen[f"lost_{k}"], seen["rows_read"], rows_written) for k, name in enumerate(self._names)
+        ] or [(None, 0, seen["rows_read"], rows_written)]
+        return df.sparkSession.createDataFrame(
+            rows, "column_name string, lost_values long, rows_read long, rows_written long"
+        )

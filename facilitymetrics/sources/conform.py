@@ -20,17 +20,29 @@ def conform(df: DataFrame, declared: T.StructType) -> DataFrame:
 
     Numeric columns keep their own numeric type.
     """
+    changed = _changed(df, declared)
+    return df.withColumns(changed) if changed else df
+
+
+def lost_values(df: DataFrame, declared: T.StructType) -> dict[str, Column]:
+    """For each declared column that ``conform`` changes, the number of values that it turns into null."""
+    return {
+        name: F.count_if(F.col(f"`{name}`").isNotNull() & fixed.isNull())
+        for name, fixed in _changed(df, declared).items()
+    }
+
+
+def _changed(df: DataFrame, declared: T.StructType) -> dict[str, Column]:
     targets = {field.name.lower(): field.dataType for field in declared.fields}
     changed: dict[str, Column] = {}
     for field in df.schema.fields:
         target = targets.get(field.name.lower())
         if target is None or field.name.lower() in DATE_LIKE:
             continue
-        column = F.col(f"`{field.name}`")
-        fixed = _conformed(column, field.dataType, target)
+        fixed = _conformed(F.col(f"`{field.name}`"), field.dataType, target)
         if fixed is not None:
             changed[field.name] = fixed
-    return df.withColumns(changed) if changed else df
+    return changed
 
 
 def _conformed(column: Column, have: T.DataType, want: T.DataType) -> Column | None:

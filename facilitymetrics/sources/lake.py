@@ -27,6 +27,16 @@ class Lake:
     def curated_path(self, dataset: str) -> str:
         return _join(self.curated, dataset)
 
+    def manifest_path(self, dataset: str) -> str:
+        """Input files the curated table was made from; Spark's readers skip names that begin with _."""
+        return _join(self.curated, f"_manifest/{dataset}")
+
+    def quarantine_path(self, dataset: str) -> str:
+        return _join(self.refined, f"_quarantine/{dataset}")
+
+    def audit_path(self, dataset: str) -> str:
+        return _join(self.curated, f"_audit/{dataset}")
+
 
 def _join(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
@@ -82,19 +92,20 @@ def write_parquet(
     path: str,
     partition_by: Sequence[str] = (),
     touched_partitions_only: bool = False,
+    clustered: bool = False,
 ) -> int:
     """Overwrite ``path`` and return the number of rows written.
 
     The count is collected by the write itself, so the plan runs once.  With
     ``partition_by`` rows are first brought together by partition value in evenly sized
     pieces (a large value is split, small ones share a task), which bounds the number of
-    files.  ``touched_partitions_only`` replaces the partitions present in ``df`` and keeps
-    the others.
+    files; ``clustered`` says that they are so already.  ``touched_partitions_only`` replaces the partitions present
+    in ``df`` and keeps the others.
     """
     counted = Observation()
     out = df
-    if partition_by:
-        out = out.hint("rebalance", *partition_by)
+    if partition_by and not clustered:
+        out = out.hint("rebalance", *[f"`{name}`" for name in partition_by])
     writer = out.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by).option(
@@ -114,6 +125,14 @@ DEFAULT_SCRATCH = "/tmp/facilitymetrics-scratch"
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh directory name in the folder shared by the executors (``spark.checkpoint.dir``)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_SCRATCH
+    """A fresh directory name in the folder shared by the executors (``spark.checkpoint.dir``).
+
+    Without that setting only a session on one machine may fall back on its own disk.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        local = spark.conf.get("spark.hadoop.fs.defaultFS", "file:///").startswith("file:")
+        if local and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = DEFAULT_SCRATCH
     return _join(shared, f"{name}-{uuid.uuid4()}")

@@ -325,6 +325,12 @@ def statements(state: str, owner: str, provider: str) -> dict[str, str]:
     audit = ", ".join(f"('{name}', '{kind}', '{kind}', 'ok')" for name, kind in _AUDIT)
     curated_provider = f"""{_WITH_PROVIDER}
 select distinct {_PROVIDER_COLUMNS}, occupancy_rate from provider"""
+    summary = f"""{_WITH_PBJ}
+select ccn as cms_certification_number_ccn, provider_name, state, cy_qtr as "CY_Qtr",
+       month || '-01' as month, sum(total_hrs) as "Total_Nurse_Hrs",
+       count(total_hrs) as hour_days, count(*) as record_count,
+       sum(employee_hrs) as employee_hrs, sum(contractor_hrs) as contractor_hrs
+from pbj group by ccn, provider_name, state, cy_qtr, month"""
     curated_quality = f"""with {_QUALITY}
 select distinct *, {_QUALITY_DERIVED} from quality_base"""
     return {
@@ -449,12 +455,40 @@ select provider_name, coalesce(label, state) as state_name, ownership_type,
        {_percent('a.avg_occupancy')} as avg_occupancy
 from first cross join averaged a left join states on state = code""",
         "hours_per_resident_by_state": _hours_per_resident("true"),
-        "staffing_summary": f"""{_WITH_PBJ}
-select ccn as cms_certification_number_ccn, provider_name, state, cy_qtr as "CY_Qtr",
-       month || '-01' as month, sum(total_hrs) as "Total_Nurse_Hrs",
-       count(total_hrs) as hour_days, count(*) as record_count,
-       sum(employee_hrs) as employee_hrs, sum(contractor_hrs) as contractor_hrs
-from pbj group by ccn, provider_name, state, cy_qtr, month""",
+        "staffing_summary": summary,
+        "summary_quarters_replaced": summary,
+        "summary_rows_added": summary,
+        "incremental_curation": curated_quality,
+        "all_rollups": f"""{_WITH_PBJ}, {_MONTHS}
+select 'facility' as level, ccn as cms_certification_number_ccn, provider_name, state, month,
+       hours as "Total_Nurse_Hrs" from months
+union all select 'month', null, null, null, month, sum(hours) from months group by month
+union all select 'state', null, null, state, null, sum(hours) from months group by state
+union all select 'provider', null, provider_name, state, null, sum(hours) from months
+group by provider_name, state""",
+        "csv_quarantine": f"""with {_AVERAGES.replace('select n_name', 'select s_suppkey, n_name')}
+select 'refined' as status, state, count(*) as n
+from (select distinct state, case when s_suppkey % 11 <> 0 then c1 end, c2, c3 from averages) group by state
+union all select 'value', state, count(*) from averages where s_suppkey % 11 = 0 group by state""",
+        "lost_values_audit": """
+select 'Number of Certified Beds' as column_name,
+       count(*) filter ((p_size - 1) % 9 = 4) as lost_values, count(*) as rows_read from part
+union all select 'Average Number of Residents per Day', count(*) filter ((p_size - 1) % 7 = 2), count(*) from part
+union all select 'Total nursing staff turnover', 0, count(*) from part
+union all select 'Registered nurse turnover', count(*) filter (p_size % 10 <> 0 and (p_size - 1) % 5 = 3), count(*)
+from part""",
+        "infinite_ratios": f"""{_WITH_PBJ}, {_PROVIDER},
+means as (
+  select ccn, provider_name, avg(total_hrs) as hours from pbj
+  where ccn is not null and provider_name is not null group by ccn, provider_name),
+ratios as (
+  select p.ccn, p.provider_name, hours,
+         hours / case when certified_beds % 10 = 3 then 1e-320
+                      else nullif(average_residents_per_day, 0) end as ratio
+  from provider p join means m on p.ccn = m.ccn and p.provider_name = m.provider_name)
+select ccn as cms_certification_number_ccn, provider_name, hours as avg_total_nurse_hrs,
+       case when not isinf(ratio) and not isnan(ratio) then ratio end as nurse_hours_per_resident
+from ratios""",
         "monthly_hours": f"""{_WITH_PBJ}, {_MONTHS}
 select ccn as cms_certification_number_ccn, provider_name, state, month,
        hours as "Total_Nurse_Hrs" from months""",

@@ -128,7 +128,8 @@ def refined_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_state_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_state_averages(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """State averages, with further columns of the suppliers if named."""
     suppliers = table(spark, sf_dir, "supplier")
     nations = table(spark, sf_dir, "nation")
     return _select(
@@ -142,6 +143,7 @@ def raw_state_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
             "Cycle 3 Total Number of Health Deficiencies":
                 "if(s_suppkey % 5 = 0, null, s_acctbal / 2)",
             "Processing Date": "date'2024-10-01'",
+            **{name: name for name in more},
         },
     )
 
