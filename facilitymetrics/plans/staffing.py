@@ -24,7 +24,7 @@ from facilitymetrics.operators.ordering import ranked
 from facilitymetrics.operators.reshape import labelled_hours
 from facilitymetrics.operators.select import EVERYTHING, FacilityFilter
 from facilitymetrics.plans.facility_staffing import facility_staffing
-from facilitymetrics.plans.summary import FACILITY, HOURS, Summary, additive_rows, mean_daily_hours
+from facilitymetrics.plans.summary import FACILITY, HOURS, Summary, additive_rows
 from facilitymetrics.schemas import CCN
 
 
@@ -55,7 +55,7 @@ def _pairs(
     pbj: DataFrame | Summary,
     provider: DataFrame,
     choice: FacilityFilter,
-    further: tuple[Column, ...] = (),
+    with_owners: bool = False,
 ) -> DataFrame:
     """One row per (id, name) of staffing or facility rows, with sums of both, for the ids of the selection.
 
@@ -81,8 +81,9 @@ def _pairs(
         ),
         allowMissingColumns=True,
     )
-    groups = stacked.groupBy(*FACILITY).agg(
-        mean_daily_hours().alias("mean_hours"),
+    sums = [
+        F.sum(HOURS).alias("hours"),
+        F.sum("hour_days").alias("hour_days"),
         F.sum("employee_hrs").alias("employee_hours"),
         F.sum("contractor_hrs").alias("contractor_hours"),
         F.count("staffing_row").alias("staffing_rows"),
@@ -91,13 +92,23 @@ def _pairs(
         F.sum("inverse").alias("inverse_residents"),
         F.count("occupancy_rate").alias("occupancy_rows"),
         F.sum("occupancy_rate").alias("occupancy_total"),
-        *further,
-    )
+    ]
+    if with_owners:
+        # Texts are gathered from grouped rows: a minimum or a set of them over day rows would sort these.
+        owners = ("state", "ownership_type")
+        finer = stacked.groupBy(*FACILITY, *owners).agg(*sums)
+        names = [name for name in finer.columns if name not in (*FACILITY, *owners)]
+        first = F.array_min(F.collect_set(F.when(F.col("facility_rows") > 0, F.struct(*_missing_last(*owners)))))
+        groups = finer.groupBy(*FACILITY).agg(first.alias("first_facility"), *[F.sum(name).alias(name) for name in names])
+    else:
+        groups = stacked.groupBy(*FACILITY).agg(*sums)
     chosen = F.max("facility_rows").over(Window.partitionBy(CCN)) > 0
     joined = (F.col("staffing_rows") > 0) & (F.col("facility_rows") > 0)
     for key in FACILITY:
         joined = joined & F.col(key).isNotNull()
-    return groups.withColumns({"chosen": chosen, "joined": joined}).where("chosen")
+    return groups.withColumns(
+        {"mean_hours": safe_ratio("hours", "hour_days"), "chosen": chosen, "joined": joined}
+    ).where("chosen")
 
 
 def _missing_last(*names: str) -> list[Column]:
@@ -190,9 +201,7 @@ def provider_detail(
     pbj: DataFrame | Summary, provider: DataFrame, choice: FacilityFilter = EVERYTHING
 ) -> DataFrame:
     """Name, state and owner of the first joined facility beside the selection's averages."""
-    # Few distinct pairs of state and owner for each facility; a minimum of structs would sort the stacked rows.
-    owners = F.collect_set(F.when(F.col("facility_row") == 1, F.struct(*_missing_last("state", "ownership_type"))))
-    pairs = _pairs(pbj, provider, choice, (F.array_min(owners).alias("first_facility"),))
+    pairs = _pairs(pbj, provider, choice, with_owners=True)
     means = _joined_means()
     first = F.min(F.when(F.col("joined"), F.struct(*FACILITY, "first_facility")))
     one = (

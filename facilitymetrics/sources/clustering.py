@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from facilitymetrics.operators.aggs import deduplicated
@@ -39,26 +39,27 @@ def clustered_distinct(
 ) -> DataFrame | None:
     """Distinct rows of ``df`` clustered for a write by ``partition_by``; None for too many partition values.
 
-    Costs a scan of the partition columns, whose values are counted, and one of a sample.  ``observed(df)``, if
+    Costs one more scan, which counts the partition values and the copies in a sample.  ``observed(df)``, if
     given, has the same rows and takes the place of ``df`` in the one full pass.
     """
     spark = df.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counted = df.groupBy(*partition_by).count().limit(MOST_VALUES + 1).collect()
-    if len(counted) > MOST_VALUES:
-        return None
-    total = sum(row["count"] for row in counted)
+    total = df.count()  # from the footers of Parquet files
     if not total:
         return deduplicated(df)
+    row_hash = F.xxhash64(*df.columns)
+    counted = _sizes_and_copies(df, partition_by, row_hash, min(1.0, SAMPLED_PER_TASK * tasks / total))
+    if counted is None:
+        return None
     each = -(-total // tasks)
     names = [f"_size_{k}" for k in range(len(partition_by))]
     kinds = [df.select(name).schema[0].dataType.simpleString() for name in partition_by]
     sizes = spark.createDataFrame(
-        [(*row[:-1], -(-row["count"] // each)) for row in counted],
+        [(*row[: len(partition_by)], -(-row["n"] // each)) for row in counted],
         ", ".join(f"{name} {kind}" for name, kind in zip(names, kinds)) + f", {_BUCKETS} long",
     )
-    row_hash = F.xxhash64(*df.columns)
-    hot = _frequent(df, row_hash, min(1.0, SAMPLED_PER_TASK * tasks / total))
+    copied = [(one,) for row in counted for one in row["copied"]]  # at most two for each task
+    hot = spark.createDataFrame(copied, f"{_HASH} long") if copied else None
     # A row for each partition value, of which there are at most MOST_VALUES.
     rows = (observed(df) if observed else df).withColumn(_HASH, row_hash)
     if hot is not None:
@@ -75,11 +76,22 @@ def clustered_distinct(
     return distinct.union(deduplicated(copies))
 
 
-def _frequent(df: DataFrame, row_hash: Column, fraction: float) -> DataFrame | None:
-    """Hashes of rows whose copies would be half a task's rows or more; at most two for each task."""
-    sample = df if fraction >= 1 else df.sample(fraction, seed=1)
-    least = max(2, SAMPLED_PER_TASK // 2)
-    found = sample.groupBy(row_hash.alias(_HASH)).count().where(F.col("count") >= least).select(_HASH).collect()
-    if not found:
-        return None
-    return df.sparkSession.createDataFrame([tuple(row) for row in found], f"{_HASH} long")
+def _sizes_and_copies(
+    df: DataFrame, partition_by: Sequence[str], row_hash: Column, fraction: float
+) -> list[Row] | None:
+    """For each partition value its rows ``n``, and the hashes ``copied`` of rows whose copies would be half a task or more.
+
+    One scan: rows of the sample are counted by hash, the others together.  None for too many values.
+    """
+    sampled = F.when(F.rand(1) < fraction, row_hash) if fraction < 1 else row_hash
+    frequent = F.col(_HASH).isNotNull() & (F.col("n") >= max(2, SAMPLED_PER_TASK // 2))
+    found = (
+        df.withColumn(_HASH, sampled)
+        .groupBy(*partition_by, _HASH)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(*partition_by)
+        .agg(F.sum("n").alias("n"), F.collect_list(F.when(frequent, F.col(_HASH))).alias("copied"))
+        .limit(MOST_VALUES + 1)
+        .collect()
+    )
+    return found if len(found) <= MOST_VALUES else None
