@@ -80,7 +80,8 @@ class Ledger:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
             return self.spark.createDataFrame([], _FINDINGS)
-        return known.where(F.col("rule_version") == RULE_VERSION)
+        # Scans at the same time, or a job run again, append a blob more than once, with equal findings.
+        return known.where(F.col("rule_version") == RULE_VERSION).dropDuplicates(["blob"])
 
     def scan(self, versions: DataFrame, text: str = "text") -> None:
         """Record findings for the texts of ``versions`` that have none under these rules."""

@@ -7,6 +7,7 @@ never divided.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 GROUP_BYTES = 1 << 20
-_HASH_BYTES = 1 << 20
+_LONG = 256  # bytes from which a word is named by a cryptographic hash
 
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
@@ -34,20 +35,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mixed(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15))
-_BASE = 0xD1342543DE82EF95
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, _U)
-    if n:
-        out[0] = 1
-    return np.cumprod(out, dtype=_U)
-
-
-_POWERS = _powers(_BASE, _HASH_BYTES + 1)
-_INVERSES = _powers(_BASE_INVERSE, _HASH_BYTES + 1)
+# Masks that leave the first n bytes of a block of eight.
+_FIRST_BYTES = np.frombuffer(b"".join(bytes([255] * n + [0] * (8 - n)) for n in range(9)), _U)
 
 
 @dataclass
@@ -63,34 +52,25 @@ class Words:
         return len(self.first) - 1
 
     def names(self) -> np.ndarray:
-        """A 64-bit name of each word, the same for equal words everywhere."""
-        out = np.empty(len(self.starts), _U)
-        i = 0
-        while i < len(out):
-            # As many whole words as fit; a single longer word is named piece by piece.
-            j = int(np.searchsorted(self.ends, self.starts[i] + _HASH_BYTES, "right"))
-            if j <= i:
-                out[i] = self._long_name(int(self.starts[i]), int(self.ends[i]))
-                i += 1
-                continue
-            a = int(self.starts[i])
-            part = self.data[a : int(self.ends[j - 1])]
-            total = np.zeros(len(part) + 1, _U)
-            np.cumsum(_BYTE[part] * _POWERS[: len(part)], dtype=_U, out=total[1:])
-            at, to = self.starts[i:j] - a, self.ends[i:j] - a
-            out[i:j] = (total[to] - total[at]) * _INVERSES[at]
-            i = j
-        lengths = (self.ends - self.starts).astype(_U)
-        return mixed(out + lengths * _U(0x9E3779B97F4A7C15))
-
-    def _long_name(self, start: int, end: int) -> np.uint64:
-        total, scale = 0, 1
-        for a in range(start, end, _HASH_BYTES):
-            part = self.data[a : min(end, a + _HASH_BYTES)]
-            here = int(np.sum(_BYTE[part] * _POWERS[: len(part)], dtype=_U))
-            total = (total + here * scale) % (1 << 64)
-            scale = scale * pow(_BASE, len(part), 1 << 64) % (1 << 64)
-        return _U(total)
+        """A 64-bit name of each word, the same for equal words everywhere.
+
+        Blocks of eight bytes are scrambled into the state one after the other, so no pattern of letters makes two words
+        alike; words of at most eight bytes and one length never share a name.
+        """
+        lengths = self.ends - self.starts
+        blocks = np.lib.stride_tricks.sliding_window_view(np.append(self.data, np.zeros(8, np.uint8)), 8)
+        out = mixed(lengths.astype(_U) * _U(0x9E3779B97F4A7C15))
+        at, done = np.flatnonzero(lengths <= _LONG), 0
+        while len(at):
+            begin = self.starts[at] + done
+            rest = self.ends[at] - begin
+            block = np.ascontiguousarray(blocks[begin]).view(_U)[:, 0] & _FIRST_BYTES[np.minimum(rest, 8)]
+            out[at] = mixed(out[at] ^ block)
+            at, done = at[rest > 8], done + 8
+        for i in np.flatnonzero(lengths > _LONG):
+            word = self.data[self.starts[i] : self.ends[i]].tobytes()
+            out[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return out
 
     def texts(self, row: int) -> list[bytes]:
         raw = self.data.tobytes()
