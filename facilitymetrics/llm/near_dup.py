@@ -5,10 +5,12 @@ Method
      cost one row from here on.  The sketch of a class is its ``SKETCH`` smallest shingle
      names, all under one hash function.
   2. Inverted lists: of the values that two sketches retain, two similar sets share at least
-     ``least_shared`` with a chance of failure below 1e-7.  So they share one of the first
-     ``size - least_shared + 1`` values, in an order with rare values first.  Only those are
-     listed, which keeps passages common to many documents out of the lists.
-  3. The union of two sketches estimates the similarity and drops unrelated pairs.
+     ``least_shared`` with a chance of failure below 1e-7.  So they share ``OVERLAP`` of the first
+     ``size - least_shared + OVERLAP`` values, in an order with rare values first.  Only those are
+     listed, which keeps passages common to many documents out of the lists, and only pairs with that many lists in
+     common go on; they are counted before anything of a document moves.
+  3. The smallest values of the union of two sketches are a sample of the union of the sets; the share of them that both
+     sets have estimates the similarity and drops unrelated pairs, with the same chance of failure.
   4. The exact Jaccard similarity of the full sets confirms every link.
 
 A list may hold a third of all classes, so members are not paired freely.  In rounds, a class
@@ -41,6 +43,8 @@ from facilitymetrics.llm.scratch import written
 
 SKETCH = 48
 MISSED = 1e-7
+# Lists that two classes must have in common.
+OVERLAP = 3
 # Largest Jaccard distance of a core member from its pivot.
 CORE = 0.5
 # Rounds after which the pairs left are compared one by one, however many they are.
@@ -70,6 +74,24 @@ def _least_shared(size, similarity: float):
     return F.element_at(F.array(*map(F.lit, table)), size + 1)
 
 
+def _overlap(size, similarity: float):
+    """Listed values that two similar sets have in common; fewer where they share fewer values at all."""
+    return F.least(F.lit(OVERLAP), _least_shared(size, similarity))
+
+
+def _union_estimate_passes(similarity: float):
+    """Whether the sample of the union of sketches ``sa`` and ``sb`` may come from sets of this similarity."""
+    union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, SKETCH)
+    both = F.array_intersect(F.array_intersect("sa", "sb"), union)
+    return F.size(both) >= _least_shared(F.size(union), similarity)
+
+
+def _smallest(names: np.ndarray, n: int) -> np.ndarray:
+    """The first ``n`` of sorted 64-bit names in the order of signed numbers, which is Spark's."""
+    turn = int(np.searchsorted(names, np.uint64(1 << 63)))
+    return np.concatenate([names[turn : turn + n], names[: max(0, n - (len(names) - turn))]]).view(np.int64)
+
+
 def _digest(names: np.ndarray) -> bytes:
     """128 bits that equal sets share."""
     a = int(np.sum(names, dtype=np.uint64))
@@ -98,7 +120,7 @@ def with_sets(docs: DataFrame, text: str, width: int, lower: bool, sketch: int =
                     pa.array([len(s) for s in sets], pa.int64()),
                 ]
                 if sketch:
-                    new.append(W.lists([s[:sketch].view(np.int64) for s in sets], pa.int64()))
+                    new.append(W.lists([_smallest(s, sketch) for s in sets], pa.int64()))
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], names=schema.names)
 
     return docs.mapInArrow(run, schema)
@@ -218,10 +240,12 @@ def _lists(classes: DataFrame, similarity: float) -> DataFrame:
     )
     # The values that no other class has come first in the order; they fill places of the prefix.
     total = F.size("sketch")
-    places = total - _least_shared(total, similarity) + 1 - (total - F.size("found"))
-    listed = classes.join(found, "cls").withColumn("places", places.cast("int")).where("places > 0")
-    listed = listed.select("cls", "size", F.explode(F.expr("slice(found, 1, places)")).alias("x"))
-    return listed.select(F.col("x.h").alias("h"), "cls", "size")
+    overlap = _overlap(total, similarity)
+    places = total - _least_shared(total, similarity) + overlap - (total - F.size("found"))
+    listed = classes.join(found, "cls").withColumns({"places": places.cast("int"), "overlap": overlap})
+    listed = listed.where("places >= overlap")
+    listed = listed.select("cls", "size", "overlap", F.explode(F.expr("slice(found, 1, places)")).alias("x"))
+    return listed.select(F.col("x.h").alias("h"), "cls", "size", "overlap")
 
 
 def _shared_lists(entries: DataFrame) -> DataFrame:
@@ -246,8 +270,7 @@ def links(classes: DataFrame, bodies, width: int, lower: bool, percent: int) ->
         both = pairs.join(sketches.withColumnsRenamed({"cls": "a", "sketch": "sa"}), "a").join(
             sketches.withColumnsRenamed({"cls": "b", "sketch": "sb"}), "b"
         )
-        needed = _least_shared(F.greatest(F.size("sa"), F.size("sb")), similarity)
-        both = both.where(F.size(F.array_intersect("sa", "sb")) >= needed).select("a", "b")
+        both = both.where(_union_estimate_passes(similarity)).select("a", "b")
         both = both.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a").join(
             texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b"
         )
@@ -256,6 +279,11 @@ def links(classes: DataFrame, bodies, width: int, lower: bool, percent: int) ->
             (100 * F.col("shared") >= percent * F.col("total")).alias("linked"),
         )
 
+    def often(pairs: DataFrame) -> DataFrame:
+        """Pairs ``(a, b)`` that share enough lists: a row ``(a, b, o)`` for each shared list, ``o`` of them needed."""
+        counted = pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("o").alias("o"))
+        return counted.where("n >= o").select("a", "b")
+
     def add(found: DataFrame) -> None:
         nonlocal edges
         edges = found if edges is None else edges.union(found)
@@ -268,10 +296,10 @@ def links(classes: DataFrame, bodies, width: int, lower: bool, percent: int) ->
             break
         texts = texts or written(bodies(active.select("cls").distinct()), "texts")
         if mass[1] <= FEW_PAIRS * mass[0] or turn == MOST_ROUNDS:
-            other = active.select("h", F.col("cls").alias("other"), F.col("size").alias("n"))
+            other = active.select("h", F.col("cls").alias("other"), F.col("size").alias("n"), F.col("overlap").alias("o"))
             sizes = F.least("size", "n") * 100 >= F.greatest("size", "n") * percent
             pairs = active.join(other, "h").where((F.col("cls") < F.col("other")) & sizes)
-            pairs = pairs.select(F.col("cls").alias("a"), F.col("other").alias("b")).distinct()
+            pairs = often(pairs.select(F.col("cls").alias("a"), F.col("other").alias("b"), F.least("overlap", "o").alias("o")))
             add(written(compared(pairs, least).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")), "links"))
             break
         ranked = active.withColumn("rank", F.xxhash64("cls"))
@@ -280,9 +308,9 @@ def links(classes: DataFrame, bodies, width: int, lower: bool, percent: int) ->
         pivots = written(
             pivots.where("not later").select(F.col("cls").alias("pivot")), "pivots"
         )
-        heads = active.join(pivots, active.cls == pivots.pivot).select("h", "pivot")
-        pairs = heads.join(active.select("h", "cls"), "h").where("cls <> pivot")
-        pairs = pairs.select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct()
+        heads = active.join(pivots, active.cls == pivots.pivot).select("h", "pivot", F.col("overlap").alias("o"))
+        pairs = heads.join(active.select("h", "cls", "overlap"), "h").where("cls <> pivot")
+        pairs = often(pairs.select(F.col("cls").alias("a"), F.col("pivot").alias("b"), F.least("overlap", "o").alias("o")))
         near = compared(pairs, 1 - CORE).where(F.col("similarity") >= 1 - CORE)
         core = near.groupBy(F.col("a").alias("cls")).agg(
             F.max(F.struct("similarity", "b", "linked")).alias("x")
@@ -292,10 +320,11 @@ def links(classes: DataFrame, bodies, width: int, lower: bool, percent: int) ->
         )
         core = written(core, "core")
         add(core.where("linked and cls <> pivot").select(F.col("cls").alias("u"), F.col("pivot").alias("v")))
-        reached = active.join(core.select("cls", "pivot"), "cls").select("h", "pivot").distinct()
-        reached = reached.join(active.select("h", "cls"), "h").select("cls", "pivot").distinct()
-        reached = reached.join(core.select("cls", "pivot"), ["cls", "pivot"], "left_anti")
-        reached = reached.select(F.col("cls").alias("a"), F.col("pivot").alias("b"))
+        # A class linked to a core member has the lists in common with it, hence with the core.
+        reached = active.join(core.select("cls", "pivot"), "cls").groupBy("h", "pivot").agg(F.min("overlap").alias("o"))
+        reached = reached.join(active.select("h", "cls", "overlap"), "h")
+        reached = often(reached.select(F.col("cls").alias("a"), F.col("pivot").alias("b"), F.least("overlap", "o").alias("o")))
+        reached = reached.join(core.select(F.col("cls").alias("a"), F.col("pivot").alias("b")), ["a", "b"], "left_anti")
         within = least - CORE
         reached = compared(reached, max(within, 0.0)).where(F.col("similarity") >= within - 1e-9)
         reached = written(reached.select(F.col("a").alias("cls"), F.col("b").alias("pivot"), "linked"), "reached")
