@@ -8,7 +8,11 @@ the article around it; on a page without one, the outermost element around it th
 own.  All lines of the region belong to the text, also short ones, except those inside parts that
 pages declare as something else: menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles and reader comments.  A class or id that may as well be a topic ("discussion") declares
-nothing about a part that is clearly content.
+nothing about a part of the article that has the ratio of content; outside the article it does.  A form that
+holds the article is no form of it.
+
+Elements are numbered as they open, so that one number and the last one inside an element tell what it holds;
+work and memory are in proportion to the page, however deep its elements lie in each other.
 """
 
 from __future__ import annotations
@@ -58,13 +62,16 @@ TOPICS = frozenset(
     "header banner promotion navigation menu notice notices cookie cookies consent gdpr alert discussion respond "
     "share sharing social related recommended newsletter subscription login search skip".split()
 )
-# Characters of a part that is clearly content.
-CLEAR = 200
 _HEADINGS = frozenset("h1 h2 h3".split())
+# What a head holds; any other block ends it.
+_IN_HEAD = frozenset("title style script noscript template".split())
+# Unseen elements that hold no blocks; a block ends them.
+_NO_BLOCKS = frozenset("button select option datalist textarea".split())
+_ENDS_LIKE = frozenset("li dt dd tr td th option".split())
 _HEADING = re.compile("h[1-6]")
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-# How an element stands to the text.
-TEXT, TOPIC, APART, NEVER = range(4)
+# How an element stands to the text: part of it, apart if it is not in the article, apart, a form, never part.
+TEXT, TOPIC, APART, FORM, NEVER = range(5)
 
 
 def declared(names: str) -> set[str]:
@@ -78,34 +85,102 @@ def declared(names: str) -> set[str]:
 
 
 class Line:
-    __slots__ = ("parts", "tags", "link", "path", "apart", "heading", "outside")
+    """A run of text; ``block`` is the innermost block around it and ``apart`` the innermost declared part (or 0)."""
+
+    __slots__ = ("parts", "tags", "link", "block", "apart", "heading", "outside", "text")
 
-    def __init__(self, path: tuple[int, ...], apart: tuple[tuple[int, int], ...], heading: bool):
+    def __init__(self, block: int, apart: int, heading: bool):
         self.parts: list[str] = []
-        self.tags, self.link, self.path, self.apart, self.heading = 1, 0, path, apart, heading
-        self.outside = bool(apart)
+        self.tags, self.link, self.block, self.apart, self.heading = 1, 0, block, apart, heading
+        self.outside, self.text = bool(apart), ""
+
 
-    @property
-    def text(self) -> str:
-        return " ".join("".join(self.parts).split())
+class Element:
+    __slots__ = ("name", "number", "unseen", "stands", "block")
+
+    def __init__(self, name: str, number: int, unseen: bool, stands: int, block: bool):
+        self.name, self.number, self.unseen, self.stands, self.block = name, number, unseen, stands, block
 
 
 class PageParser(HTMLParser):
-    """Lines of a page with the elements they are in."""
+    """Lines of a page with the blocks and declared parts that they are in."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, int, bool, int]] = []  # name, number, unseen, how it stands to the text
+        self.open: list[Element] = []  # blocks, links, unseen and declared elements
+        self.blocks: list[int] = []  # places of the blocks among them
+        self.parts: list[Element] = []  # the declared ones among them
+        self.named: dict[str, int] = {}  # how many of each name are open
+        self.unseen = self.headings = self.articles = 0
+        self.strays: list[int] = []  # places of the parts that only a name declares
         self.count = 0
-        self.names: dict[int, str] = {}  # of the blocks
+        # By number, of blocks and declared parts: name, the one around it, the last number inside it.
+        self.names: dict[int, str] = {0: "html"}
+        self.above: dict[int, int] = {0: 0}
+        self.last: dict[int, int] = {}
+        # Of declared parts: how each stands to the text, and the strongest of those around it and itself.
+        self.stands: dict[int, int] = {}
+        self.strongest: dict[int, int] = {0: TEXT}
+        self.part_above: dict[int, int] = {}
         self.line: Line | None = None
 
     def _close(self, at: int) -> None:
-        if any(name in BLOCKS for name, *_ in self.open[at:]):
-            self.line = None
+        for element in reversed(self.open[at:]):
+            self.named[element.name] -= 1
+            self.unseen -= element.unseen
+            self.headings -= element.name in _HEADINGS
+            self.articles -= element.name in ARTICLE
+            self.last[element.number] = self.count
+            if element.block:
+                self.blocks.pop()
+                self.line = None
+            if element.stands:
+                self.parts.pop()
+                if element.name not in OUTSIDE:
+                    self.strays.pop()
         del self.open[at:]
 
+    def _open(self, element: Element) -> None:
+        number = element.number
+        around = self.open[self.blocks[-1]].number if self.blocks else 0
+        if element.block:
+            self.blocks.append(len(self.open))
+        if element.block or element.stands:
+            self.names[number], self.above[number] = element.name, around
+        if element.stands:
+            before = self.parts[-1].number if self.parts else 0
+            self.stands[number], self.part_above[number] = element.stands, before
+            self.strongest[number] = max(element.stands, self.strongest[before])
+            self.parts.append(element)
+            if element.name not in OUTSIDE:
+                self.strays.append(len(self.open))
+        self.named[element.name] = self.named.get(element.name, 0) + 1
+        self.unseen += element.unseen
+        self.headings += element.name in _HEADINGS
+        self.articles += element.name in ARTICLE
+        self.open.append(element)
+
+    def _close_named(self, name: str) -> None:
+        if self.named.get(name):
+            for at in range(len(self.open) - 1, -1, -1):
+                if self.open[at].name == name:
+                    self._close(at)
+                    return
+
+    def _ended_by_block(self, tag: str) -> None:
+        """Close what cannot hold the block ``tag``."""
+        if tag not in _IN_HEAD and tag != "head":
+            self._close_named("head")
+        if tag != "option":
+            for name in _NO_BLOCKS:
+                self._close_named(name)
+        # A block ends an open paragraph; an item ends the item before it.
+        if self.blocks:
+            name = self.open[self.blocks[-1]].name
+            if name == "p" or (name == tag and tag in _ENDS_LIKE):
+                self._close(self.blocks[-1])
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "br":
             self.handle_data(" ")
@@ -115,18 +190,14 @@ class PageParser(HTMLParser):
             elif self.line is not None:
                 self.line.tags += 1
             return
-        if tag in BLOCKS:
-            # A block ends an open paragraph; an item ends the item before it.
-            for k in range(len(self.open) - 1, -1, -1):
-                name = self.open[k][0]
-                if name == "p" or (name == tag and tag in ("li", "dt", "dd", "tr", "td", "th", "option")):
-                    self._close(k)
-                    break
-                if name in BLOCKS:
-                    break
+        block = tag in BLOCKS
+        if block:
+            self._ended_by_block(tag)
             self.line = None
         elif self.line is not None:
             self.line.tags += 1
+        if tag == "a":
+            self._close_inline("a")  # links do not lie in each other
         own = {name: value or "" for name, value in attrs}
         names = set().union(*(declared(own.get(name, "")) for name in ("class", "id")))
         roles = declared(own.get("role", ""))
@@ -135,57 +206,78 @@ class PageParser(HTMLParser):
         root = tag in ("html", "body") or (
             tag in ARTICLE and not {w for x in names | roles for w in x.split()} & {"comment", "comments", "reply", "related"}
         )
-        outside = TEXT
+        stands = TEXT
         if not root and tag in OUTSIDE:
-            outside = NEVER
+            # The header of an article may hold its lead, a form the whole page.
+            stands = TOPIC if tag == "header" and self.articles else FORM if tag == "form" else NEVER
         elif not root and not _HEADING.fullmatch(tag) and names | roles:
-            outside = TOPIC if names <= TOPICS and not roles else APART
+            stands = TOPIC if names <= TOPICS and not roles else APART
         if tag in ARTICLE and root:
             # What stays open before an article was never closed.
-            for k, (name, _, _, other) in enumerate(self.open):
-                if other and name not in OUTSIDE:
-                    self._close(k)
-                    break
+            if self.strays:
+                self._close(self.strays[0])
         self.count += 1
-        if tag in BLOCKS:
-            self.names[self.count] = tag
-        self.open.append((tag, self.count, unseen, outside))
+        if block or unseen or stands or tag == "a":
+            self._open(Element(tag, self.count, unseen, stands, block))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
             self.handle_endtag(tag)
 
+    def _close_inline(self, tag: str) -> None:
+        """Close an inline element unless a block lies between."""
+        if self.named.get(tag):
+            least = self.blocks[-1] if self.blocks else -1
+            for at in range(len(self.open) - 1, least, -1):
+                if self.open[at].name == tag:
+                    self._close(at)
+                    return
+
     def handle_endtag(self, tag: str) -> None:
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
-                self._close(k)
-                return
-            # An inline end tag does not end the block it is in.
-            if tag not in BLOCKS and self.open[k][0] in BLOCKS:
-                return
+        if tag in BLOCKS or tag in UNSEEN:
+            self._close_named(tag)
+        else:
+            self._close_inline(tag)
 
     def handle_data(self, data: str) -> None:
-        if any(unseen for _, _, unseen, _ in self.open):
+        if self.unseen:
             return
         if self.line is None:
             if not data.strip():
                 return
-            names = [name for name, *_ in self.open]
-            apart = tuple((n, kind) for _, n, _, kind in self.open if kind)
-            in_article = bool(ARTICLE & set(names))
-            only_header = all(x[0] == "header" for x in self.open if x[3])
+            part = self.parts[-1] if self.parts else None
+            apart = part.number if part else 0
             # An article's own heading may stand in its header.
-            heading = bool(_HEADINGS & set(names))
-            if only_header and in_article and heading:
-                apart = ()
-            path = tuple(n for name, n, *_ in self.open if name in BLOCKS)
-            self.line = Line(path, apart, heading)
+            heading = self.headings > 0
+            if heading and self.articles and len(self.parts) == 1 and part.name == "header":
+                apart = 0
+            block = self.open[self.blocks[-1]].number if self.blocks else 0
+            self.line = Line(block, apart, heading)
             self.lines.append(self.line)
         self.line.parts.append(data)
-        if any(name == "a" for name, *_ in self.open):
+        if self.named.get("a"):
             self.line.link += len(data.strip())
 
+    def finish(self) -> list[Line]:
+        self.close()
+        self._close(0)
+        self.last[0] = self.count
+        for line in self.lines:
+            line.text = " ".join("".join(line.parts).split())
+        return [line for line in self.lines if line.text]
+
+    def holds(self, element: int, block: int) -> bool:
+        return element <= block <= self.last[element]
+
+    def around(self, block: int) -> list[int]:
+        """The blocks around one, itself first, without the page."""
+        out = []
+        while block:
+            out.append(block)
+            block = self.above[block]
+        return out
+
 
 def smoothed(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     reach = math.ceil(3 * sigma)
@@ -208,83 +300,133 @@ def threshold(values: np.ndarray) -> float:
         low, high = new
 
 
-def _overrule(lines: list[Line], lengths: np.ndarray, links: np.ndarray, above: np.ndarray) -> None:
-    """Declared parts that are clearly content belong to the text.
+def _free(page: PageParser, lines: list[Line], free: set[int]) -> None:
+    """Let the lines of ``free`` parts into the text, unless they are in another part that is not free."""
+    bound = {0: False}
+    for part in sorted(page.stands):
+        bound[part] = part not in free or bound[page.part_above[part]]
+    for x in lines:
+        x.outside = bound[x.apart]
+
+
+def _content(page: PageParser, lines: list[Line], marked: np.ndarray, stands: int, among) -> set[int]:
+    """Declared parts that have the ratio of content: most of their text is in marked lines and few of it in links."""
+    sums = {part: [0, 0, 0] for part, kind in page.stands.items() if page.strongest[part] <= stands}
+    for k, (x, mark) in enumerate(zip(lines, marked)):
+        if x.apart in sums and among(k, x):
+            for at, value in enumerate((len(x.text), min(x.link, len(x.text)), len(x.text) * mark)):
+                sums[x.apart][at] += value
+    for part in sorted(sums, reverse=True):  # those inside come later
+        above = page.part_above[part]
+        if above in sums:
+            for at in range(3):
+                sums[above][at] += sums[part][at]
+    return {p for p, (n, link, mark) in sums.items() if page.stands[p] == stands and n and 3 * link <= n and 2 * mark >= n}
+
+
+def _wrappers(page: PageParser, lines: list[Line]) -> set[int]:
+    """Forms around a page: those that hold an article, or four fifths of the text that nothing else declares."""
+    forms = [p for p, kind in page.stands.items() if kind == FORM and page.strongest[page.part_above[p]] in (TEXT, FORM)]
+    if not forms:
+        return set()
+    articles = np.array(sorted(n for n, name in page.names.items() if name in ARTICLE and n not in page.stands))
+    whole, held = 0, dict.fromkeys(forms, 0)
+    for x in lines:
+        if page.strongest[x.apart] in (TEXT, FORM):
+            own = len(x.text) - min(x.link, len(x.text))
+            whole += own
+            if x.apart in held:
+                held[x.apart] += own
+    for form in sorted(forms, reverse=True):
+        above = page.part_above[form]
+        if above in held:
+            held[above] += held[form]
+    out = set()
+    for form in forms:
+        at = int(np.searchsorted(articles, form))
+        if (at < len(articles) and articles[at] <= page.last[form]) or 5 * held[form] >= 4 * whole > 0:
+            out.add(form)
+    return out
 
-    A part is clearly content if it is long, has few links and most of it is marked.  A topic
-    word gives way to that always, other words only where the page would have no text without.
-    """
 
-    def content(kind: int) -> set[int]:
-        held: dict[int, list[float]] = {}
-        for x, length, link, mark in zip(lines, lengths, links, above):
-            for element, own in x.apart:
-                if own == kind and all(k <= kind for _, k in x.apart):
-                    sums = held.setdefault(element, [0.0, 0.0, 0.0])
-                    sums[0] += length
-                    sums[1] += link
-                    sums[2] += length * mark
-        return {e for e, (n, link, mark) in held.items() if n - link >= CLEAR and 3 * link <= n and 2 * mark >= n}
-
-    free: set[int] = set()
-    for kind in (TOPIC, APART):
-        if kind == APART and any(not x.outside and not x.heading for x in lines):
+def _overrule(page: PageParser, lines: list[Line], ratios: np.ndarray, cut: float, above: np.ndarray) -> None:
+    """Declared parts that belong to the text after all.
+
+    A form around the page declares nothing.  A topic word declares nothing about a part with the ratio of content that
+    lies in the article: inside the content region, and on pages without an article element between two lines of it.
+    Other parts count only where the page would have no text without them.
+    """
+    free = _wrappers(page, lines)
+    for part in free:  # parts inside it stand on their own
+        page.stands[part] = TEXT
+    for part in sorted(page.stands):
+        page.strongest[part] = max(page.stands[part], page.strongest[page.part_above[part]])
+    _free(page, lines, free)
+    text = [k for k, x in enumerate(lines) if not x.outside and not x.heading]
+    if text:
+        # Half of what is usual in the text is enough, where some other long part has raised the threshold.
+        own = ratios > min(cut, float(np.median(ratios[text])) / 2)
+        marked = [k for k in text if above[k]] or text
+        region = _region(page, lines, marked)
+        held = page.names[region] in ARTICLE
+        first, last = marked[0], marked[-1]
+
+        def among(k: int, x: Line) -> bool:
+            return page.holds(region, x.block) and (held or first < k < last)
+
+        _free(page, lines, free | _content(page, lines, own, TOPIC, among))
+        return
+    everything = np.ones(len(lines), bool)
+    for stands in (TOPIC, APART):
+        free |= _content(page, lines, above if above.any() else everything, stands, lambda k, x: True)
+        _free(page, lines, free)
+        if any(not x.outside and not x.heading for x in lines):
             return
-        free |= content(kind)
-        for x in lines:
-            x.outside = any(e not in free for e, _ in x.apart)
-
-
-def _region(lines: list[Line], marked: np.ndarray, names: dict[int, str]) -> int | None:
-    """The element whose lines are the text; none for the whole page."""
-    around = [x.path for x, mark in zip(lines, marked) if mark]
-    common = around[0]
-    for path in around[1:]:
-        same = 0
-        while same < min(len(common), len(path)) and common[same] == path[same]:
-            same += 1
-        common = common[:same]
+
+
+def _region(page: PageParser, lines: list[Line], marked: list[int]) -> int:
+    """The element whose lines are the text; 0 for the whole page."""
+    blocks = [lines[k].block for k in marked]
+    low, high = min(blocks), max(blocks)
+    common = [e for e in page.around(low) if page.holds(e, high)][::-1]
     for element in common:
-        if names[element] in ARTICLE:
+        if page.names[element] in ARTICLE:
             return element
     # Without an article: a list or table is part of the text around it, and so is a division
     # beside which its parent has text that is not mostly links.
-    region = common[-1] if common and names[common[-1]] in DIVISIONS else None
-    own = set()
-    for x in lines:
-        if not x.outside and 2 * x.link < len(x.text):
-            own.add(next((e for e in reversed(x.path) if names[e] in DIVISIONS), None))
-    if None in own:
-        return None
+    division = {0: 0}
+    for element in sorted(page.above):
+        if element:
+            division[element] = element if page.names[element] in DIVISIONS else division[page.above[element]]
+    own = {division[x.block] for x in lines if not x.outside and 2 * x.link < len(x.text)}
+    if 0 in own:
+        return 0
     for element in common:
         if element in own:
             return element
-    return region
+    return common[-1] if common and page.names[common[-1]] in DIVISIONS else 0
 
 
 def main_text(html: str | None) -> str:
     if not html:
         return ""
-    parser = PageParser()
-    parser.feed(html)
-    parser.close()
-    lines = [x for x in parser.lines if x.text]
+    page = PageParser()
+    page.feed(html)
+    lines = page.finish()
     if not lines:
         return ""
     lengths = np.array([len(x.text) for x in lines], float)
     links = np.array([min(x.link, len(x.text)) for x in lines])
-    ratios = smoothed((lengths - links) / np.array([x.tags for x in lines]))
-    above = ratios > threshold(ratios)
-    _overrule(lines, lengths, links, above if above.any() else np.ones(len(lines), bool))
-    inside = np.array([not x.outside for x in lines])
-    if not inside.any():
+    own = (lengths - links) / np.array([x.tags for x in lines])
+    ratios = smoothed(own)
+    cut = threshold(ratios)
+    above = ratios > cut
+    _overrule(page, lines, own, cut, above)
+    inside = [k for k, x in enumerate(lines) if not x.outside]
+    if not inside:
         return ""
-    marked = inside & above
-    if not marked.any():
-        marked = inside
-    region = _region(lines, marked, parser.names)
-    chosen = [x for x in lines if not x.outside and (region is None or region in x.path)]
-    return "\n".join(x.text for x in chosen)
+    region = _region(page, lines, [k for k in inside if above[k]] or inside)
+    return "\n".join(x.text for x in lines if not x.outside and page.holds(region, x.block))
 
 
 def extracted(pages: DataFrame, html: str = "html", out: str = "text") -> DataFrame:
