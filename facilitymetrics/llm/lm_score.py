@@ -3,14 +3,19 @@
 The vocabulary is every word of the documents.  The background model counts all documents and the
 target model the documents of the target set; both are the same interpolated bigram model.
 The loss difference of a token is its loss under the target model less that under the background
-model; a document's score is the mean over its tokens, so low scores resemble the target.
-
-For each bigram of a document its own uses there are taken off the counts of the bigram, its word
-and its context.  Counts of words and contexts are a table; those of the ``VOCABULARY`` most frequent
-words at most are broadcast, others are joined by key to the bigrams they are in.  The counts
-of the most frequent bigrams, ``FREQUENT`` at most, are broadcast and scored where the text is read; all
-other bigrams of two or more documents are joined back to the documents by key.  All ways
-give the same losses.  No table that grows with the corpus is collected.
+model; a document's score is the mean over its tokens, so low scores resemble the target.  A document is scored by
+models trained without it: all its own uses of a word, a context and a bigram are taken off their counts.
+
+Documents are dealt into blocks of about ``BLOCK_BYTES``.  A block counts its words, contexts and bigrams and
+sends each of them once, with its counts, to the part of the model that its name belongs to, all those for one part as one
+binary value.  A part adds up what it gets, which gives the corpus counts, and answers every block in the order of its
+question.  The block then scores its documents from the answers.  So what is shuffled is the texts once, the distinct names
+of each block once, and two numbers for each back; nothing that grows with the corpus is collected, and every count is
+exact up to clashes of 64-bit names.
+
+Null and empty texts have no tokens and null losses.  Rows without an id, or that repeat one, are documents of their
+own; rows are dealt by their number, so copies of a row are spread.  An empty table gives an empty one.  Other columns
+than id and text play no part.
 """
 
 from __future__ import annotations
@@ -23,273 +28,176 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facilitymetrics.llm import words as W
-from facilitymetrics.llm.scratch import written
 
-# Words whose counts are broadcast, 40 bytes each.
-VOCABULARY = 1 << 17
-# The name of the start of a text.
-START = np.uint64(0)
-# Bigrams whose counts are broadcast, 24 bytes each.
-FREQUENT = 1 << 18
+# Bytes of text in a block, on average.
+BLOCK_BYTES = 16 << 20
 # Strength of the word model within the bigram model, and of the uniform one within the word model.
 BIGRAM_PRIOR = 50.0
 WORD_PRIOR = 1.0
-
-
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of words and of contexts, of all documents and of the target set."""
-    for batch in batches:
-        aims = batch.column(1).to_numpy()
-        for begin, end, words in W.groups(batch.column(0), lower=True):
-            count, aim = np.diff(words.first), aims[begin:end]
-            names, weight = words.names(), np.repeat(aim, count)
-            goes_on = np.ones(len(names), np.int64)
-            goes_on[words.first[1:][count > 0] - 1] = 0
-            own, place = np.unique(names, return_inverse=True)
-            sums = [np.bincount(place, x, len(own)) for x in (np.ones(len(names)), weight, goes_on, goes_on * weight)]
-            first = [0, 0, int((count > 0).sum()), int(aim[count > 0].sum())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(own, START).view(np.int64))]
-                + [pa.array(np.append(x.astype(np.int64), n)) for x, n in zip(sums, first)],
-                names=["word", "b", "t", "cb", "ct"],
-            )
-
-
-def _places(words: W.Words, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each token its word number and that of the word before it.
-
-    Numbers are places in the vocabulary, then any other word and the start of a text.
-    """
-    size = len(vocabulary)
-    names = words.names()
-    at = np.searchsorted(vocabulary, names)
-    known = at < size
-    known[known] = vocabulary[at[known]] == names[known]
-    word = np.where(known, at, size)
-    before = np.empty(len(word), np.int64)
-    before[1:] = word[:-1]
-    before[words.first[:-1][np.diff(words.first) > 0]] = size + 1
-    return word, before
-
-
-def _losses(
-    model: tuple, n: np.ndarray, aim: np.ndarray, counts: tuple, word: np.ndarray, context: np.ndarray
-) -> list[np.ndarray]:
-    """Background and target loss of ``n`` tokens of each bigram.
-
-    ``counts`` are those of the bigram in both models, ``word`` and ``context`` of its parts.
-    """
-    total, size = model
-    out = []
-    for side, seen in enumerate(counts):
-        own = n * aim if side else n
-        seen = np.maximum(seen - own, 0)
-        # The tokens of this bigram in the document are taken off its word and context too.
-        single = (np.maximum(word[side] - own, 0) + WORD_PRIOR) / (
-            np.maximum(total[side] - own, 0) + WORD_PRIOR * size
+# The name of the start of a text, and what tells names of words, contexts and bigrams apart.
+START = np.uint64(0)
+_WORD, _CONTEXT, _STEP = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949D7C7509E6557), np.uint64(0xD6E8FEB86659FD93)
+_KINDS = ("word", "context", "bigram")
+
+
+def _tokens(texts: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The row of each token, and the names of its word, of the word before it as a context, and of the two."""
+    rows, names, ahead = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    for begin, _, words in W.groups(texts, lower=True):
+        own, count = words.names(), np.diff(words.first)
+        before = np.empty_like(own)
+        before[1:] = own[:-1]
+        before[words.first[:-1][count > 0]] = START
+        rows.append(begin + np.repeat(np.arange(len(count)), count))
+        names.append(own)
+        ahead.append(before)
+    word, before = np.concatenate(names), np.concatenate(ahead)
+    keys = [W.mixed(word ^ _WORD), W.mixed(before ^ _CONTEXT), W.mixed(W.mixed(before ^ _CONTEXT) * _STEP + word)]
+    return np.concatenate(rows), keys
+
+
+def _asked(table: pa.Table, parts: int) -> pa.Table:
+    """What a block asks each part: sorted names of each kind with the block's own counts."""
+    rows, keys = _tokens(table["text"])
+    aim = table["aim"].to_numpy()[rows]
+    out: dict[int, list[bytes]] = {}
+    for kind, all_names in enumerate(keys):
+        names, place = np.unique(all_names, return_inverse=True)
+        counts = [np.bincount(place, x, len(names)).astype(np.int32) for x in (None, aim)]
+        part = (names % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        ends = np.cumsum(np.bincount(part, minlength=parts))
+        for p in np.flatnonzero(np.diff(ends, prepend=0)):
+            at = order[(ends[p - 1] if p else 0) : ends[p]]
+            found = out.setdefault(int(p), [b""] * 9)
+            found[3 * kind : 3 * kind + 3] = [names[at].tobytes(), *(c[at].tobytes() for c in counts)]
+    block = table["block"][0].as_py() if len(table) else 0
+    columns = {"block": pa.array([block] * len(out), pa.int64()), "part": pa.array(out, pa.int64())}
+    for k in range(9):
+        columns[f"x{k}"] = pa.array([x[k] for x in out.values()], pa.binary())
+    return pa.table(columns)
+
+
+_QUESTION = "block long, part long, " + ", ".join(f"x{k} binary" for k in range(9))
+_ANSWER = "block long, part long, " + ", ".join(f"x{k} binary" for k in range(6))
+
+
+def _answered(table: pa.Table) -> pa.Table:
+    """The corpus counts of all that was asked of a part, for each block in the order of its names."""
+    columns = [table["block"], table["part"]]
+    for kind in range(3):
+        names, background, target = (
+            [np.frombuffer(x.as_py(), dtype) for x in table[f"x{3 * kind + k}"]]
+            for k, dtype in enumerate((np.uint64, np.int32, np.int32))
         )
-        p = (seen + BIGRAM_PRIOR * single) / (np.maximum(context[side] - own, seen) + BIGRAM_PRIOR)
-        out.append(-n * np.log(p))
+        own, place = np.unique(np.concatenate(names), return_inverse=True)
+        ends = np.cumsum([len(x) for x in names])[:-1]
+        for counts in (background, target):
+            sums = np.bincount(place, np.concatenate(counts), len(own)).astype(np.int64)
+            columns.append(pa.array([x.tobytes() for x in np.split(sums[place], ends)], pa.binary()))
+    return pa.table(columns, names=["block", "part", *(f"x{k}" for k in range(6))])
+
+
+def _counts_of(answers: pa.Table, kind: int, names: np.ndarray, parts: int) -> list[np.ndarray]:
+    """Corpus counts of a block's sorted names in both models."""
+    part = (names % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    rows = np.argsort(answers["part"].to_numpy(), kind="stable")
+    out = []
+    for side in range(2):
+        column = answers[f"x{2 * kind + side}"]
+        found = np.frombuffer(b"".join(column[int(k)].as_py() for k in rows), np.int64)
+        if len(found) != len(names):
+            raise ValueError("a block's documents are not those that its counts were asked for")
+        counts = np.empty(len(names), float)
+        counts[order] = found
+        out.append(counts)
     return out
 
 
-def _frequent(table: DataFrame, most: int, *columns: str) -> tuple[list[np.ndarray], DataFrame]:
-    """``columns`` of all rows from a count ``b`` on that leaves at most ``most``, and the other rows."""
-    table = table.where("b > 0")
-    level = F.floor(F.log2("b") * 16).cast("int")
-    levels = sorted(table.groupBy(level.alias("level")).agg(F.count("*").alias("m")).collect(), reverse=True)
-    least, held = None, 0
-    for row in levels:
-        held += row["m"]
-        if held > most:
-            break
-        least = row["level"]
-    if least is None:
-        return [np.zeros(0, np.int64) for _ in columns], table
-    found = table.where(level >= least).select(*columns).toArrow()
-    return [found.column(c).to_numpy() for c in range(len(columns))], table.where(level < least)
+def _loss_sums(table: pa.Table, answers: pa.Table, parts: int, totals: tuple[int, int, int]) -> tuple[np.ndarray, ...]:
+    """Tokens and summed losses of both models for each row of a block."""
+    rows, keys = _tokens(table["text"])
+    aim = table["aim"].to_numpy().astype(float)
+    n = np.bincount(rows, minlength=len(table))
+    corpus, own = [], []
+    for kind, all_names in enumerate(keys):
+        names, place = np.unique(all_names, return_inverse=True)
+        corpus.append([counts[place] for counts in _counts_of(answers, kind, names, parts)])
+        # Uses by the document itself.
+        _, same, uses = np.unique(rows * len(names) + place, return_inverse=True, return_counts=True)
+        own.append(uses[same])
+    sums = []
+    for side in range(2):
+        part = np.ones(len(rows)) if not side else aim[rows]
+        word, context, bigram = (corpus[kind][side] - own[kind] * part for kind in range(3))
+        size = totals[side] - n[rows] * part
+        single = (word + WORD_PRIOR) / (size + WORD_PRIOR * totals[2])
+        p = (bigram + BIGRAM_PRIOR * single) / (context + BIGRAM_PRIOR)
+        sums.append(np.bincount(rows, -np.log(p), len(table)))
+    return n, sums[0], sums[1]
+
+
+def _totals(rows: DataFrame) -> tuple[int, int, int, int]:
+    """Bytes, tokens, tokens of the target set, and distinct words of all texts."""
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            aims = batch.column(1).to_numpy()
+            for begin, end, found in W.groups(batch.column(0), lower=True):
+                count = np.diff(found.first)
+                own = np.unique(found.names())
+                sums = [int(found.first[-1] - found.first[0]), int((count * aims[begin:end]).sum())]
+                # The start's name stands for the sums.
+                yield pa.record_batch(
+                    [pa.array(np.append(own, START).view(np.int64))]
+                    + [pa.array(np.append(np.zeros(len(own), np.int64), x)) for x in (*sums, len(found.data))],
+                    names=["word", "n", "t", "size"],
+                )
+
+    found = (
+        rows.select("text", "aim").mapInArrow(words, "word long, n long, t long, size long").groupBy("word")
+        .agg(F.sum("n").alias("n"), F.sum("t").alias("t"), F.sum("size").alias("size"))
+        .agg(F.sum("size"), F.sum("n"), F.sum("t"), F.count_if(F.col("word") != 0)).first()
+    )
+    return tuple(x or 0 for x in found)
 
 
 def scored(
-    docs: DataFrame,
-    target: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    vocabulary: int = VOCABULARY,
-    frequent: int = FREQUENT,
+    docs: DataFrame, target: DataFrame, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """``(doc_id, n_tokens, target_loss, background_loss, score)`` of every document.
 
-    ``target`` names the ids of the target set; null ids are none of it.  Texts without words have no
-    tokens and null losses.  Rows without an id, or that repeat one, are documents of their own.
+    ``target`` names the ids of the target set; null ids are none of it.
     """
-    spark = docs.sparkSession
     chosen = target.select(F.col(doc_id).alias("id"), F.lit(1).alias("aim")).dropna().distinct()
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-
-    keyed = rows.join(chosen, "id", "left").select(
-        "id", "text", F.coalesce("aim", F.lit(0)).alias("aim"), F.monotonically_increasing_id().alias("doc")
-    )
-    # Numbered rows are written, since numbers given anew might differ.
-    keyed = written(keyed, "documents")
-
-    sums = [F.sum(c).alias(c) for c in ("b", "t", "cb", "ct")]
-    every = keyed.select("text", "aim").mapInArrow(_word_counts, "word long, b long, t long, cb long, ct long")
-    every = written(every.groupBy("word").agg(*sums), "words")
-    start = F.col("word") == START
-    all_ = every.agg(
-        F.sum("b").alias("b"), F.sum("t").alias("t"), F.sum((~start).cast("long")).alias("types"),
-        F.sum(F.when(start, F.col("cb"))).alias("cb"), F.sum(F.when(start, F.col("ct"))).alias("ct"),
-    ).first()
-    (top, *held), rare = _frequent(every, vocabulary, "word", "b", "t", "cb", "ct")
-    order = np.argsort(top.view(np.uint64))
-    top = top.view(np.uint64)[order]
-    # Counts of frequent words and contexts, then of any other word (joined) and the start of a text.
-    other = len(top)
-    size = other + 2
-    word, context = (
-        np.array([np.append(held[k][order], [0, last]) for k, last in pair], float)
-        for pair in (((0, 0), (1, 0)), ((2, all_["cb"] or 0), (3, all_["ct"] or 0)))
-    )
-    shared = spark.sparkContext.broadcast(top)
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(chosen, "id", "left")
+    rows = rows.select("id", "text", F.coalesce("aim", F.lit(0)).cast("long").alias("aim"))
+    size, n, n_target, types = _totals(rows)
+    parts = max(1, -(-size // block_bytes))
     # All words, an unseen one and the start of a text.
-    totals = np.array([all_["b"] or 0, all_["t"] or 0], float), (all_["types"] or 0) + 2
-    model = spark.sparkContext.broadcast((totals, word, context))
-
-    def distinct(batches: Iterator[pa.RecordBatch], common: bool) -> Iterator[pa.RecordBatch]:
-        """Bigrams of each document: of two frequent words by their numbers, or all others by their names."""
-        known = shared.value
-        for batch in batches:
-            for begin, _, words in W.groups(batch.column(1), lower=True):
-                word, before = _places(words, known)
-                count = np.diff(words.first)
-                row = np.repeat(np.arange(len(count)), count)
-                chosen = ((word != other) & (before != other)) == common
-                row, word, before = row[chosen], word[chosen], before[chosen]
-                if common:
-                    parts = [before * size + word]
-                else:
-                    names = words.names()
-                    ahead = np.empty_like(names)
-                    ahead[1:] = names[:-1]
-                    ahead[words.first[:-1][count > 0]] = START
-                    parts = [ahead[chosen].view(np.int64), names[chosen].view(np.int64)]
-                order = np.lexsort((*parts, row))
-                row, parts = row[order], [x[order] for x in parts]
-                new = np.ones(len(row), bool)
-                new[1:] = row[1:] != row[:-1]
-                for x in parts:
-                    new[1:] |= x[1:] != x[:-1]
-                at = np.flatnonzero(new)
-                n = np.diff(np.append(at, len(row)))
-                more = [] if common else [pa.array(x[order][at].astype(np.int32)) for x in (before, word)]
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(pa.array(row[at] + begin)),
-                    *(pa.array(x[at]) for x in parts), pa.array(n.astype(np.int32)),
-                    batch.column(2).take(pa.array(row[at] + begin)), *more,
-                ], names=["doc", *(["key"] if common else ["before", "word"]), "n", "aim", *([] if common else ["c_at", "w_at"])])
-
-    def bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return distinct(batches, True)
-
-    def rare_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return distinct(batches, False)
-
-    source = keyed.select("doc", "text", "aim")
-    tokens = source.mapInArrow(bigrams, "doc long, key long, n int, aim int")
-    both = [F.sum("n").alias("b"), F.sum(F.col("n") * F.col("aim")).alias("t"), F.count("*").alias("df")]
-    types = written(tokens.groupBy("key").agg(*both).where("df > 1"), "bigrams")
-
-    (top_keys, *top_counts), _ = _frequent(types, frequent, "key", "b", "t")
-    order = np.argsort(top_keys)
-    top_bigrams = spark.sparkContext.broadcast((top_keys[order], *(x[order] for x in top_counts)))
-
-    def looked_up(key: np.ndarray, n: np.ndarray, aim: np.ndarray, counts: tuple) -> list[np.ndarray]:
-        totals, word, context = model.value
-        return _losses(totals, n, aim, counts, word[:, key % size], context[:, key // size])
-
-    def partly_scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Loss sums of frequent bigrams, one row for each document, and the rows of all others.
-
-        A row of sums has a negative key, which no bigram has.
-        """
-        keys, all_b, all_t = top_bigrams.value
-        for batch in bigrams(batches):
-            doc, key, n, aim = (batch.column(k).to_numpy() for k in range(4))
-            at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
-            here = keys[at] == key if len(keys) else np.zeros(len(key), bool)
-            rest = ~here
-            at, size_n = at[here], n[here].astype(np.int64)
-            own = doc[here]
-            found = looked_up(key[here], size_n, aim[here].astype(np.int64), (all_b[at], all_t[at]))
-            ids, place = np.unique(own, return_inverse=True)
-            sums = [np.bincount(place, x, len(ids)) for x in (size_n, *found)]
-            none = pa.nulls(int(rest.sum()), pa.float64())
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([doc[rest], ids])),
-                pa.array(np.concatenate([key[rest], -1 - ids])),
-                pa.array(np.concatenate([n[rest], sums[0].astype(np.int64)]).astype(np.int64)),
-                pa.array(np.concatenate([aim[rest], np.zeros(len(ids), aim.dtype)]).astype(np.int32)),
-                pa.concat_arrays([none, pa.array(sums[1], pa.float64())]),
-                pa.concat_arrays([none, pa.array(sums[2], pa.float64())]),
-            ], names=["doc", "key", "n", "aim", "loss_b", "loss_t"])
-
-    def losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Loss sums of all rows; b and t are null for a bigram of one document."""
-        for batch in batches:
-            key, n, aim = (batch.column(k).to_numpy().astype(np.int64) for k in (1, 2, 3))
-            counts = tuple(batch.column(k).fill_null(0).to_numpy().astype(float) for k in (6, 7))
-            summed = key < 0
-            found = looked_up(np.maximum(key, 0), n, aim, counts)
-            done = [batch.column(k).fill_null(0.0).to_numpy() for k in (4, 5)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n), *(pa.array(np.where(summed, d, x)) for d, x in zip(done, found))],
-                names=["doc", "n", "b", "t"],
-            )
-
-    def rare_losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Losses of bigrams with a joined word; counts of the other word are looked up."""
-        totals, word, context = model.value
-        for batch in batches:
-            n, aim, c_at, w_at = (batch.column(k).to_numpy().astype(np.int64) for k in range(1, 5))
-            b, t, wb, wt, cb, ct = (batch.column(k).fill_null(0).to_numpy().astype(float) for k in range(5, 11))
-            single = np.where(w_at == other, (wb, wt), word[:, w_at])
-            ahead = np.where(c_at == other, (cb, ct), context[:, c_at])
-            found = _losses(totals, n, aim, (b, t), single, ahead)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n), *map(pa.array, found)], names=["doc", "n", "b", "t"]
-            )
+    totals = n, n_target, types + 2
+    number = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).alias("block")
+    dealt = rows.select("id", "text", "aim", number).repartition("block")
+
+    def ask(table: pa.Table) -> pa.Table:
+        return _asked(table, parts)
+
+    def score(table: pa.Table, answers: pa.Table) -> pa.Table:
+        count, *sums = _loss_sums(table, answers, parts, totals)
+        some = count > 0
+        background, wanted = (x / np.maximum(count, 1) for x in sums)
+        losses = [pa.array(x, pa.float64(), mask=~some) for x in (wanted, background, wanted - background)]
+        return pa.table(
+            [table["id"], pa.array(count.astype(np.int64)), *losses],
+            names=["id", "n_tokens", "target_loss", "background_loss", "score"],
+        )
 
-    parts = source.mapInArrow(
-        partly_scored, "doc long, key long, n long, aim int, loss_b double, loss_t double"
+    answers = (
+        dealt.groupBy("block").applyInArrow(ask, _QUESTION).groupBy("part").applyInArrow(_answered, _ANSWER)
     )
-    joined = parts.join(types.drop("df"), "key", "left").select("doc", "key", "n", "aim", "loss_b", "loss_t", "b", "t")
-    losses_ = joined.mapInArrow(losses, "doc long, n long, b double, t double")
-
-    if rare.limit(1).count():
-        kept = source.mapInArrow(
-            rare_bigrams, "doc long, before long, word long, n int, aim int, c_at int, w_at int"
-        )
-        several = kept.groupBy("before", "word").agg(*both).where("df > 1").drop("df")
-        kept = kept.join(several, ["before", "word"], "left")
-        for name, at, counts in (("word", "w_at", ("b", "t")), ("before", "c_at", ("cb", "ct"))):
-            # Rows whose word was looked up match nothing and are spread by their document.
-            joins = F.col(at) == other
-            kept = kept.withColumns({
-                "found": joins, "by": F.when(joins, F.col(name)).otherwise(F.xxhash64("doc", "before", "word")),
-            })
-            part = rare.select(
-                F.col("word").alias("by"), F.lit(True).alias("found"), *(F.col(c).alias(f"{at}_{c}") for c in counts)
-            )
-            kept = kept.join(part, ["by", "found"], "left").drop("by", "found")
-        kept = kept.select("doc", "n", "aim", "c_at", "w_at", "b", "t", "w_at_b", "w_at_t", "c_at_cb", "c_at_ct")
-        losses_ = losses_.union(kept.mapInArrow(rare_losses, "doc long, n long, b double, t double"))
-    sums = losses_.groupBy("doc").agg(F.sum("n").alias("n_tokens"), F.sum("b").alias("b"), F.sum("t").alias("t"))
-    out = keyed.select("doc", "id").join(sums, "doc", "left")
-    return out.select(
-        F.col("id").alias(doc_id),
-        F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"),
-        (F.col("t") / F.col("n_tokens")).alias("target_loss"),
-        (F.col("b") / F.col("n_tokens")).alias("background_loss"),
-        ((F.col("t") - F.col("b")) / F.col("n_tokens")).alias("score"),
+    kind = docs.schema[doc_id].dataType.simpleString()
+    found = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        score, f"id {kind}, n_tokens long, target_loss double, background_loss double, score double"
     )
+    return found.withColumnRenamed("id", doc_id)

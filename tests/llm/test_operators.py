@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from facilitymetrics.llm import html_text, near_dup, packing, secrets, toxicity, warc
 from facilitymetrics.llm.components import components
 from facilitymetrics.llm.decontam import contained_items, without_leaks
-from facilitymetrics.llm.lm_score import scored
 from facilitymetrics.llm.near_dup import near_duplicates
 from facilitymetrics.llm.queries import tokenizer_path
 from facilitymetrics.llm.repeats import without_repeats
@@ -268,74 +267,6 @@ def test_extracted_table(spark):
     assert Counter(rows_of(out.select("page_id", "text", "n_chars"))) == Counter({(1, "Some text", 9): 1, (1, "", 0): 1, (None, "�", 1): 1})
 
 
-def test_cross_entropy_difference(spark):
-    rng = random.Random(3)
-    good, bad = [f"g{k}" for k in range(50)], [f"b{k}" for k in range(50)]
-    texts = [" ".join(rng.choices(good if k % 2 else bad, k=40)) for k in range(60)] + [None, "", "  "]
-    docs = spark.createDataFrame(list(enumerate(texts)) + [(None, texts[1])], "doc_id long, text string")
-    target = spark.createDataFrame([(k,) for k in range(1, 41, 2)] + [(None,), (1,)], "doc_id long")
-    out = {r["doc_id"]: r for r in scored(docs, target).collect() if r["doc_id"] is not None}
-    # Frequent bigrams scored in place, some of them or none, have the same losses.
-    for frequent in (0, 500):
-        for r in scored(docs, target, frequent=frequent).where("n_tokens > 0 and doc_id is not null").collect():
-            assert r["score"] == pytest.approx(out[r["doc_id"]]["score"], rel=1e-9, abs=1e-12)
-    held = [out[k]["score"] for k in range(41, 60, 2)]
-    assert max(held) < min(out[k]["score"] for k in range(0, 60, 2))
-    assert out[60]["n_tokens"] == 0 and out[61]["score"] is None and out[1]["n_tokens"] == 40
-    # Against the formula, written out for one document.
-    tokens = [(["<s>"] + t.split()) if t else [] for t in texts] + [["<s>"] + texts[1].split()]
-    aims = {k for k in range(1, 41, 2)}
-    words = sorted({w for t in tokens for w in t[1:]})
-    size = len(words) + 2
-    for doc in (0, 1, 41):
-        for side, name in ((0, "background_loss"), (1, "target_loss")):
-            members = [t for k, t in enumerate(tokens) if not side or k in aims]
-            pair = Counter(p for t in members for p in zip(t, t[1:]))
-            context = Counter(w for t in members for w in t[:-1])
-            word = Counter(w for t in members for w in t[1:])
-            total, loss = sum(word.values()), 0.0
-            own = Counter(zip(tokens[doc], tokens[doc][1:]))
-            for (v, w), n in own.items():
-                take = n if not side or doc in aims else 0
-                seen = max(pair[v, w] - take, 0)
-                single = (max(word[w] - take, 0) + 1) / (max(total - take, 0) + size)
-                loss -= n * math.log((seen + 50 * single) / (max(context[v] - take, seen) + 50))
-            assert out[doc][name] == pytest.approx(loss / 40, rel=1e-9)
-    assert scored(docs.where("doc_id < 0"), target).count() == 0
-
-
-def test_cross_entropy_counts_every_word(spark):
-    rng = random.Random(12)
-    names = [f"v{k}" for k in range(300)]
-    texts = [" ".join(rng.choices(names, [1 / (k + 1) for k in range(300)], k=60)) for _ in range(40)] + [None, "once", "once more v1"]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    target = spark.createDataFrame([(k,) for k in range(0, 40, 3)], "doc_id long")
-    tokens = [["<s>"] + (t or "").split() for t in texts]
-    aims = set(range(0, 40, 3))
-    size = len({w for t in tokens for w in t[1:]}) + 2
-    expected = {}
-    for side, name in ((0, "background_loss"), (1, "target_loss")):
-        members = [t for k, t in enumerate(tokens) if not side or k in aims]
-        pair = Counter(p for t in members for p in zip(t, t[1:]))
-        context, word = Counter(w for t in members for w in t[:-1]), Counter(w for t in members for w in t[1:])
-        total = sum(word.values())
-        for doc, own in enumerate(tokens):
-            loss = 0.0
-            for (v, w), n in Counter(zip(own, own[1:])).items():
-                take = n if not side or doc in aims else 0
-                seen = max(pair[v, w] - take, 0)
-                single = (max(word[w] - take, 0) + 1) / (max(total - take, 0) + size)
-                loss -= n * math.log((seen + 50 * single) / (max(context[v] - take, seen) + 50))
-            expected[doc, name] = loss / (len(own) - 1) if len(own) > 1 else None
-    # With all words broadcast, some of them or none.
-    for vocabulary in (1 << 17, 40, 0):
-        for frequent in (1 << 18, 20):
-            for r in scored(docs, target, vocabulary=vocabulary, frequent=frequent).collect():
-                for name in ("background_loss", "target_loss"):
-                    want = expected[r["doc_id"], name]
-                    assert r[name] == (None if want is None else pytest.approx(want, rel=1e-9))
-
-
 def test_token_ids_equal_the_tokenizer():
     encoder = packing.Encoder(tokenizer_path(), tokenizer_path("byte_bpe_50k.tiktoken"))
     rng = random.Random(7)
