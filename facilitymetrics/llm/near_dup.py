@@ -33,13 +33,14 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from facilitymetrics.llm import words as W
 from facilitymetrics.llm.components import components
-from facilitymetrics.llm.scratch import written
+from facilitymetrics.llm.scratch import written, written_by
 
 SKETCH = 48
 MISSED = 1e-7
@@ -53,6 +54,8 @@ MOST_ROUNDS = 3
 FEW_PAIRS = 8
 # Classes, and shingles, on either side of a block of comparisons.
 BLOCK_ROWS = 512
+# Bits of the map of classes whose texts are wanted.
+MARK_BITS = 27
 BLOCK_SHINGLES = 1 << 20
 _COLUMNS = 4096
 
@@ -99,10 +102,34 @@ def _digest(names: np.ndarray) -> bytes:
     return a.to_bytes(8, "big") + b.to_bytes(8, "big")
 
 
-def with_sets(docs: DataFrame, text: str, width: int, lower: bool, sketch: int = 0) -> DataFrame:
+def _marks(classes: DataFrame) -> Broadcast:
+    """A bit for each class ``cls``, by the first ``MARK_BITS`` bits of its digest: 16 MB, whatever the input."""
+    bit = F.conv(F.hex(F.substring("cls", 1, 4)), 16, 10).cast("long").bitwiseAND(F.lit((1 << MARK_BITS) - 1)) + 1
+    rows = (
+        classes.select(F.bitmap_bucket_number(bit).alias("at"), F.bitmap_bit_position(bit).alias("bit"))
+        .groupBy("at").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    )
+    each = 1 << 12
+    out = np.zeros((1 << MARK_BITS) >> 3, np.uint8)
+    for row in rows:
+        at = (row["at"] - 1) * each
+        out[at : at + each] = np.frombuffer(row["bits"], np.uint8)
+    return classes.sparkSession.sparkContext.broadcast(out)
+
+
+def _marked(marks: np.ndarray, keys: list[bytes | None]) -> np.ndarray:
+    """Whether the bit of each key is set; a few keys of other classes share one."""
+    bits = np.array([int.from_bytes(k[:4], "big") if k else 0 for k in keys], np.int64) & ((1 << MARK_BITS) - 1)
+    return ((marks[bits >> 3] >> (bits & 7)) & 1).astype(bool) & np.array([k is not None for k in keys])
+
+
+def with_sets(
+    docs: DataFrame, text: str, width: int, lower: bool, sketch: int = 0, marks: Broadcast | None = None
+) -> DataFrame:
     """``docs`` with ``set_key`` (null for a text without words), ``set_size`` and ``set_sketch``.
 
-    Columns of these names in ``docs`` must have been renamed by the caller.
+    Columns of these names in ``docs`` must have been renamed by the caller.  With ``marks`` only rows whose class may
+    be marked.
     """
     at = docs.columns.index(text)
     new = [T.StructField("set_key", T.BinaryType()), T.StructField("set_size", T.LongType())]
@@ -115,13 +142,12 @@ def with_sets(docs: DataFrame, text: str, width: int, lower: bool, sketch: int =
             for begin, end, words in W.groups(batch.column(at), lower):
                 sets = list(W.shingle_sets(words, width))
                 part = batch.slice(begin, end - begin)
-                new = [
-                    pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                ]
+                keys = [_digest(s) if len(s) else None for s in sets]
+                new = [pa.array(keys, pa.binary()), pa.array([len(s) for s in sets], pa.int64())]
                 if sketch:
                     new.append(W.lists([_smallest(s, sketch) for s in sets], pa.int64()))
-                yield pa.RecordBatch.from_arrays([*part.columns, *new], names=schema.names)
+                found = pa.RecordBatch.from_arrays([*part.columns, *new], names=schema.names)
+                yield found if marks is None else found.filter(pa.array(_marked(marks.value, keys)))
 
     return docs.mapInArrow(run, schema)
 
@@ -262,8 +288,7 @@ def links(classes: DataFrame, bodies, width: int, lower: bool, percent: int) ->
     """
     least = percent / 100
     active = written(_shared_lists(_lists(classes, least)), "lists")
-    sketches = classes.select("cls", "sketch")
-    texts, edges = None, None
+    sketches, texts, edges = None, None, None
 
     def compared(pairs: DataFrame, similarity: float) -> DataFrame:
         """``(a, b, near)`` for the pairs whose sketches may have this similarity."""
@@ -294,7 +319,11 @@ def links(classes: DataFrame, bodies, width: int, lower: bool, percent: int) ->
         ).first()
         if not mass[0]:
             break
-        texts = texts or written(bodies(active.select("cls").distinct()), "texts")
+        if texts is None:
+            # What is joined in every round: the classes with company alone, and dealt by class once.
+            members = written(active.select("cls").distinct(), "members")
+            sketches = written_by(classes.select("cls", "sketch").join(members, "cls", "left_semi"), "sketches", "cls")
+            texts = written_by(bodies(members), "texts", "cls")
         if mass[1] <= FEW_PAIRS * mass[0] or turn == MOST_ROUNDS:
             other = active.select("h", F.col("cls").alias("other"), F.col("size").alias("n"), F.col("overlap").alias("o"))
             sizes = F.least("size", "n") * 100 >= F.greatest("size", "n") * percent
@@ -368,7 +397,7 @@ def near_duplicates(
     )
 
     def bodies(wanted: DataFrame) -> DataFrame:
-        keyed = with_sets(slim.select("text"), "text", width, lower).select(
+        keyed = with_sets(slim.select("text"), "text", width, lower, marks=_marks(wanted)).select(
             F.col("set_key").alias("cls"), "text"
         )
         # Any text of the class serves, since all have the same set.
