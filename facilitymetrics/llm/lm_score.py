@@ -6,16 +6,17 @@ The loss difference of a token is its loss under the target model less that unde
 model; a document's score is the mean over its tokens, so low scores resemble the target.  A document is scored by
 models trained without it: all its own uses of a word, a context and a bigram are taken off their counts.
 
-Documents are dealt into blocks of about ``BLOCK_BYTES``.  A block counts its words, contexts and bigrams and
-sends each of them once, with its counts, to the part of the model that its name belongs to, all those for one part as one
-binary value.  A part adds up what it gets, which gives the corpus counts, and answers every block in the order of its
-question.  The block then scores its documents from the answers.  So what is shuffled is the texts once, the distinct names
-of each block once, and two numbers for each back; nothing that grows with the corpus is collected, and every count is
-exact up to clashes of 64-bit names.
+Documents are dealt by id into blocks of about ``BLOCK_BYTES``, and the ids of the target set with them.  A block counts
+its words, contexts and bigrams and sends each of them once, with its counts, to the part of the model that its name
+belongs to, all those for one part as one packed value.  A part adds up what it gets, which gives the corpus counts, and
+answers every block in the order of its question.  The block then scores its documents from the answers.  So what is shuffled
+is the texts once, the distinct names of each block once, and two numbers for each back; nothing that grows with the
+corpus is collected.  Counts are exact up to clashes of names, which have 48 bits beside the part's number: a part has a few
+million names, so about one in 1e8 shares its counts with another.
 
 Null and empty texts have no tokens and null losses.  Rows without an id, or that repeat one, are documents of their
-own; rows are dealt by their number, so copies of a row are spread.  An empty table gives an empty one.  Other columns
-than id and text play no part.
+own.  Rows of one id are spread over ``SPREAD`` blocks and rows without an id over all of them, by their number.  An empty table
+gives an empty one.  Other columns than id and text play no part.
 """
 
 from __future__ import annotations
@@ -24,20 +25,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from facilitymetrics.llm import words as W
 
 # Bytes of text in a block, on average.
 BLOCK_BYTES = 16 << 20
+# Blocks that rows with one id are spread over; each id of the target set is sent to as many.
+SPREAD = 16
 # Strength of the word model within the bigram model, and of the uniform one within the word model.
 BIGRAM_PRIOR = 50.0
 WORD_PRIOR = 1.0
 # The name of the start of a text, and what tells names of words, contexts and bigrams apart.
 START = np.uint64(0)
 _WORD, _CONTEXT, _STEP = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949D7C7509E6557), np.uint64(0xD6E8FEB86659FD93)
-_KINDS = ("word", "context", "bigram")
 
 
 def _tokens(texts: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -56,23 +60,62 @@ def _tokens(texts: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, list[np.ndar
     return np.concatenate(rows), keys
 
 
-def _asked(table: pa.Table, parts: int) -> pa.Table:
-    """What a block asks each part: sorted names of each kind with the block's own counts."""
+def _packed(names: np.ndarray) -> bytes:
+    """Sorted 48-bit names as their differences, in as few bytes as the largest needs."""
+    steps = np.diff(names, prepend=np.uint64(0))
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8)
+    return bytes([width]) + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    width = data[0]
+    rows = np.frombuffer(data, np.uint8, offset=1).reshape(-1, width)
+    wide = np.zeros((len(rows), 8), np.uint8)
+    wide[:, :width] = rows
+    return np.cumsum(wide.view("<u8")[:, 0], dtype=np.uint64)
+
+
+def _small(counts: np.ndarray) -> bytes:
+    """Counts in one, two, four or eight bytes each, as the largest needs."""
+    width = next(w for w in (1, 2, 4, 8) if not len(counts) or int(counts.max()) < 1 << (8 * w))
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def _large(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+
+
+def _by_part(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct names in the order of part and 48-bit name, how many each part has, and the place of each key."""
+    own, place = np.unique(keys, return_inverse=True)
+    part, name = (own % np.uint64(parts)).astype(np.int64), own >> np.uint64(16)
+    order = np.lexsort((name, part))
+    back = np.empty(len(own), np.int64)
+    back[order] = np.arange(len(own))
+    return name[order], np.bincount(part, minlength=parts), back[place]
+
+
+def _aims(table: pa.Table, labels: pa.Table) -> np.ndarray:
+    """1 for the rows of a block whose id is in the target set."""
+    wanted = labels["id"].combine_chunks() if len(labels) else pa.array([], table["id"].type)
+    return pc.fill_null(pc.is_in(table["id"], value_set=wanted, skip_nulls=True), False).to_numpy().astype(np.int64)
+
+
+def _asked(table: pa.Table, labels: pa.Table, parts: int) -> pa.Table:
+    """What a block asks each part: names of each kind with the block's own counts."""
     rows, keys = _tokens(table["text"])
-    aim = table["aim"].to_numpy()[rows]
-    out: dict[int, list[bytes]] = {}
+    aim = _aims(table, labels)[rows]
+    out: dict[int, list[bytes | None]] = {}
     for kind, all_names in enumerate(keys):
-        names, place = np.unique(all_names, return_inverse=True)
-        counts = [np.bincount(place, x, len(names)).astype(np.int32) for x in (None, aim)]
-        part = (names % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        ends = np.cumsum(np.bincount(part, minlength=parts))
-        for p in np.flatnonzero(np.diff(ends, prepend=0)):
-            at = order[(ends[p - 1] if p else 0) : ends[p]]
-            found = out.setdefault(int(p), [b""] * 9)
-            found[3 * kind : 3 * kind + 3] = [names[at].tobytes(), *(c[at].tobytes() for c in counts)]
-    block = table["block"][0].as_py() if len(table) else 0
-    columns = {"block": pa.array([block] * len(out), pa.int64()), "part": pa.array(out, pa.int64())}
+        names, sizes, place = _by_part(all_names, parts)
+        counts = [np.bincount(place, x, len(names)).astype(np.int64) for x in (None, aim)]
+        ends = np.cumsum(sizes)
+        for p in np.flatnonzero(sizes):
+            at = slice(ends[p] - sizes[p], ends[p])
+            found = out.setdefault(int(p), [None] * 9)
+            found[3 * kind : 3 * kind + 3] = [_packed(names[at]), *(_small(c[at]) for c in counts)]
+    columns = {"block": pa.array([table["block"][0].as_py() if len(table) else 0] * len(out), pa.int64())}
+    columns["part"] = pa.array(out, pa.int64())
     for k in range(9):
         columns[f"x{k}"] = pa.array([x[k] for x in out.values()], pa.binary())
     return pa.table(columns)
@@ -86,44 +129,48 @@ def _answered(table: pa.Table) -> pa.Table:
     """The corpus counts of all that was asked of a part, for each block in the order of its names."""
     columns = [table["block"], table["part"]]
     for kind in range(3):
-        names, background, target = (
-            [np.frombuffer(x.as_py(), dtype) for x in table[f"x{3 * kind + k}"]]
-            for k, dtype in enumerate((np.uint64, np.int32, np.int32))
-        )
-        own, place = np.unique(np.concatenate(names), return_inverse=True)
-        ends = np.cumsum([len(x) for x in names])[:-1]
-        for counts in (background, target):
-            sums = np.bincount(place, np.concatenate(counts), len(own)).astype(np.int64)
-            columns.append(pa.array([x.tobytes() for x in np.split(sums[place], ends)], pa.binary()))
+        asked = [[x.as_py() for x in table[f"x{3 * kind + k}"]] for k in range(3)]
+        some = [k for k, x in enumerate(asked[0]) if x is not None]
+        names = [_unpacked(asked[0][k]) for k in some]
+        own, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *names]), return_inverse=True)
+        ends = np.cumsum([0, *(len(x) for x in names)])
+        for side in (1, 2):
+            counts = np.concatenate([np.zeros(0, np.int64), *(_large(asked[side][k]) for k in some)])
+            sums = np.bincount(place, counts, len(own)).astype(np.int64)[place]
+            answer: list[bytes | None] = [None] * len(table)
+            for k, a, b in zip(some, ends[:-1], ends[1:]):
+                answer[k] = _small(sums[a:b])
+            columns.append(pa.array(answer, pa.binary()))
     return pa.table(columns, names=["block", "part", *(f"x{k}" for k in range(6))])
 
 
-def _counts_of(answers: pa.Table, kind: int, names: np.ndarray, parts: int) -> list[np.ndarray]:
-    """Corpus counts of a block's sorted names in both models."""
-    part = (names % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    rows = np.argsort(answers["part"].to_numpy(), kind="stable")
+def _counts_of(answers: pa.Table, kind: int, n: int) -> list[np.ndarray]:
+    """Corpus counts of a block's names, in their order, in both models."""
+    rows = np.argsort(answers["part"].to_numpy(), kind="stable") if len(answers) else []
     out = []
     for side in range(2):
         column = answers[f"x{2 * kind + side}"]
-        found = np.frombuffer(b"".join(column[int(k)].as_py() for k in rows), np.int64)
-        if len(found) != len(names):
+        found = [_large(x) for k in rows if (x := column[int(k)].as_py()) is not None]
+        counts = np.concatenate([np.zeros(0, np.int64), *found])
+        if len(counts) != n:
             raise ValueError("a block's documents are not those that its counts were asked for")
-        counts = np.empty(len(names), float)
-        counts[order] = found
-        out.append(counts)
+        out.append(counts.astype(float))
     return out
 
 
-def _loss_sums(table: pa.Table, answers: pa.Table, parts: int, totals: tuple[int, int, int]) -> tuple[np.ndarray, ...]:
-    """Tokens and summed losses of both models for each row of a block."""
+def _loss_sums(table: pa.Table, further: pa.Table, parts: int, totals: tuple[int, int, int]) -> tuple[np.ndarray, ...]:
+    """Tokens and summed losses of both models for each row of a block.
+
+    ``further`` holds the answers, and rows without a part that name ids of the target set.
+    """
     rows, keys = _tokens(table["text"])
-    aim = table["aim"].to_numpy().astype(float)
+    labels, answers = further.filter(pc.is_null(further["part"])), further.filter(pc.is_valid(further["part"]))
+    aim = _aims(table, labels).astype(float)
     n = np.bincount(rows, minlength=len(table))
     corpus, own = [], []
     for kind, all_names in enumerate(keys):
-        names, place = np.unique(all_names, return_inverse=True)
-        corpus.append([counts[place] for counts in _counts_of(answers, kind, names, parts)])
+        names, _, place = _by_part(all_names, parts)
+        corpus.append([counts[place] for counts in _counts_of(answers, kind, len(names))])
         # Uses by the document itself.
         _, same, uses = np.unique(rows * len(names) + place, return_inverse=True, return_counts=True)
         own.append(uses[same])
@@ -138,29 +185,38 @@ def _loss_sums(table: pa.Table, answers: pa.Table, parts: int, totals: tuple[int
     return n, sums[0], sums[1]
 
 
-def _totals(rows: DataFrame) -> tuple[int, int, int, int]:
+def _totals(rows: DataFrame, chosen: DataFrame) -> tuple[int, int, int, int]:
     """Bytes, tokens, tokens of the target set, and distinct words of all texts."""
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, waiting = np.zeros(0, np.uint64), []
         for batch in batches:
-            aims = batch.column(1).to_numpy()
-            for begin, end, found in W.groups(batch.column(0), lower=True):
-                count = np.diff(found.first)
-                own = np.unique(found.names())
-                sums = [int(found.first[-1] - found.first[0]), int((count * aims[begin:end]).sum())]
-                # The start's name stands for the sums.
-                yield pa.record_batch(
-                    [pa.array(np.append(own, START).view(np.int64))]
-                    + [pa.array(np.append(np.zeros(len(own), np.int64), x)) for x in (*sums, len(found.data))],
-                    names=["word", "n", "t", "size"],
-                )
-
-    found = (
-        rows.select("text", "aim").mapInArrow(words, "word long, n long, t long, size long").groupBy("word")
-        .agg(F.sum("n").alias("n"), F.sum("t").alias("t"), F.sum("size").alias("size"))
-        .agg(F.sum("size"), F.sum("n"), F.sum("t"), F.count_if(F.col("word") != 0)).first()
+            sizes = []
+            for _, _, part in W.groups(batch.column(1), lower=True):
+                sizes.append(np.diff(part.first))
+                waiting.append(np.unique(part.names()))
+                if sum(map(len, waiting)) > max(1 << 20, len(found)):
+                    found, waiting = np.unique(np.concatenate([found, *waiting])), []
+            if sizes:
+                count = pa.array(np.concatenate(sizes).astype(np.int64))
+                size = pc.fill_null(pc.binary_length(batch.column(1)), 0).cast(pa.int64())
+                none = pa.nulls(batch.num_rows, pa.int64())
+                yield pa.record_batch([batch.column(0), none, count, size], ["id", "word", "n", "size"])
+        found = np.unique(np.concatenate([found, *waiting])).view(np.int64)
+        none = pa.nulls(len(found), pa.int64())
+        yield pa.record_batch([none.cast(kind), pa.array(found), none, none], ["id", "word", "n", "size"])
+
+    schema = f"id {rows.schema['id'].dataType.simpleString()}, word long, n long, size long"
+    kind = to_arrow_type(rows.schema["id"].dataType)
+    found = rows.select("id", "text").mapInArrow(words, schema)
+    # Numbers of rows with ids of the target set, and distinct words, without any text.
+    by_id = found.where("word is null").groupBy("id").agg(F.sum("n").alias("n"), F.sum("size").alias("size"))
+    sums = by_id.join(chosen.withColumn("aim", F.lit(1)), "id", "left").agg(
+        F.sum("size").alias("size"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("aim")).alias("t")
     )
-    return tuple(x or 0 for x in found)
+    types = found.where("word is not null").select("word").distinct().agg(F.count("*").alias("types"))
+    size, n, t = sums.first()
+    return size or 0, n or 0, t or 0, types.first()[0]
 
 
 def scored(
@@ -170,21 +226,25 @@ def scored(
 
     ``target`` names the ids of the target set; null ids are none of it.
     """
-    chosen = target.select(F.col(doc_id).alias("id"), F.lit(1).alias("aim")).dropna().distinct()
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(chosen, "id", "left")
-    rows = rows.select("id", "text", F.coalesce("aim", F.lit(0)).cast("long").alias("aim"))
-    size, n, n_target, types = _totals(rows)
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    kind = rows.schema["id"].dataType
+    chosen = target.select(F.col(doc_id).cast(kind).alias("id")).dropna().distinct()
+    size, n, n_target, types = _totals(rows, chosen)
     parts = max(1, -(-size // block_bytes))
     # All words, an unseen one and the start of a text.
     totals = n, n_target, types + 2
-    number = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).alias("block")
-    dealt = rows.select("id", "text", "aim", number).repartition("block")
+    number = F.xxhash64(F.monotonically_increasing_id())
+    salted = F.when(F.col("id").isNull(), number).otherwise(F.xxhash64("id", F.pmod(number, F.lit(SPREAD))))
+    dealt = rows.withColumn("block", F.pmod(salted, F.lit(parts))).repartition("block")
+    every = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)).cast("array<bigint>"))
+    labels = chosen.withColumn("salt", every).select("id", F.pmod(F.xxhash64("id", "salt"), F.lit(parts)).alias("block"))
+    labels = labels.distinct()
 
-    def ask(table: pa.Table) -> pa.Table:
-        return _asked(table, parts)
+    def ask(table: pa.Table, labels: pa.Table) -> pa.Table:
+        return _asked(table, labels, parts)
 
-    def score(table: pa.Table, answers: pa.Table) -> pa.Table:
-        count, *sums = _loss_sums(table, answers, parts, totals)
+    def score(table: pa.Table, further: pa.Table) -> pa.Table:
+        count, *sums = _loss_sums(table, further, parts, totals)
         some = count > 0
         background, wanted = (x / np.maximum(count, 1) for x in sums)
         losses = [pa.array(x, pa.float64(), mask=~some) for x in (wanted, background, wanted - background)]
@@ -193,11 +253,12 @@ def scored(
             names=["id", "n_tokens", "target_loss", "background_loss", "score"],
         )
 
+    blocks = dealt.groupBy("block")
     answers = (
-        dealt.groupBy("block").applyInArrow(ask, _QUESTION).groupBy("part").applyInArrow(_answered, _ANSWER)
+        blocks.cogroup(labels.groupBy("block")).applyInArrow(ask, _QUESTION).groupBy("part").applyInArrow(_answered, _ANSWER)
     )
-    kind = docs.schema[doc_id].dataType.simpleString()
-    found = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        score, f"id {kind}, n_tokens long, target_loss double, background_loss double, score double"
+    further = answers.unionByName(labels, allowMissingColumns=True)
+    found = blocks.cogroup(further.groupBy("block")).applyInArrow(
+        score, f"id {kind.simpleString()}, n_tokens long, target_loss double, background_loss double, score double"
     )
     return found.withColumnRenamed("id", doc_id)
