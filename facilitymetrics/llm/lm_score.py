@@ -33,7 +33,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from facilitymetrics.llm import words as W
 
 # Bytes of text in a block, on average.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 12 << 20
 # Blocks that rows with one id are spread over; each id of the target set is sent to as many.
 SPREAD = 16
 # Strength of the word model within the bigram model, and of the uniform one within the word model.
