@@ -12,9 +12,14 @@ from pyspark.sql import functions as F
 from facilitymetrics.llm.scratch import written
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long"))).first()
-    return row[0], row[1]
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge to a smaller one, which has none, or no such edge."""
+    apart = edges.where("u <> v")
+    ends = apart.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        apart.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not ends.agg(F.max((F.col("up") > 1) | ((F.col("up") == 1) & (F.col("down") == 1)))).first()[0]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -28,9 +33,7 @@ def components(edges: DataFrame) -> DataFrame:
         ).distinct(),
         "edges",
     )
-    before = None
-    while (state := _state(now)) != before:
-        before = state
+    while not _stars(now):
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -41,6 +44,7 @@ def components(edges: DataFrame) -> DataFrame:
             low.select("u", F.col("m").alias("v"))
         )
         now = written(small.distinct(), "edges")
-    roots = now.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")
-    alone = now.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("root"))
-    return roots.union(alone).groupBy("node").agg(F.min("root").alias("root"))
+    roots = now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
+        now.select(F.col("v").alias("node"), F.col("v").alias("root"))
+    )
+    return roots.groupBy("node").agg(F.min("root").alias("root"))

@@ -20,7 +20,7 @@ linked to a core member lies within ``CORE`` and the link distance from the pivo
 the core name it, and its exact distance to the pivot admits it.  What is not linked to the
 pivot itself is compared with the core in blocks of bounded size, by matrix products, which
 return a spanning forest and not the pairs.  Then the core is done and leaves the lists.  Once
-few pairs are left against the length of the lists, they are compared one by one.  No list and
+few pairs are left against the length of the lists at the start, they are compared one by one.  No list and
 no pair is skipped, and no list is gathered in one task.
 """
 
@@ -50,7 +50,7 @@ OVERLAP = 3
 CORE = 0.5
 # Rounds after which the pairs left are compared one by one, however many they are.
 MOST_ROUNDS = 3
-# Pairs left for each entry of the lists that are compared one by one at once.
+# Pairs left for each entry of the first lists that are compared one by one at once.
 FEW_PAIRS = 8
 # Classes, and shingles, on either side of a block of comparisons.
 BLOCK_ROWS = 512
@@ -153,11 +153,12 @@ def with_sets(
 
 
 def _measured(pairs: DataFrame, width: int, lower: bool) -> DataFrame:
-    """Shared shingles and union of the full sets of ``(a, b, text_a, text_b)``."""
-    schema = "a binary, b binary, shared long, total long"
+    """Shared shingles and union of the full sets of ``(a, b, text_a, text_b)``, and ``size``, the shingles of ``a``."""
+    schema = "a binary, b binary, size long, shared long, total long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            size = np.zeros(batch.num_rows, np.int64)
             shared = np.zeros(batch.num_rows, np.int64)
             total = np.zeros(batch.num_rows, np.int64)
             # Sets of one side, a group of bounded size at a time, against the other side's.
@@ -167,12 +168,13 @@ def _measured(pairs: DataFrame, width: int, lower: bool) -> DataFrame:
                 for _, _, other in W.groups(batch.column(3).slice(begin, end - begin), lower):
                     for right in W.shingle_sets(other, width):
                         own = left[row - begin]
+                        size[row] = len(own)
                         shared[row] = len(np.intersect1d(own, right, assume_unique=True))
                         total[row] = len(own) + len(right) - shared[row]
                         row += 1
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(shared), pa.array(total)],
-                names=["a", "b", "shared", "total"],
+                [batch.column(0), batch.column(1), pa.array(size), pa.array(shared), pa.array(total)],
+                names=["a", "b", "size", "shared", "total"],
             )
 
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, schema)
@@ -259,25 +261,31 @@ def _block_links(rest: DataFrame, core: DataFrame, texts: DataFrame, width: int,
 
 def _lists(classes: DataFrame, similarity: float) -> DataFrame:
     """Inverted lists ``(h, cls, size)`` of the values that similar classes must share."""
-    values = classes.select("cls", F.explode("sketch").alias("h"))
+    values = classes.select("cls", "size", F.size("sketch").alias("total"), F.explode("sketch").alias("h"))
     common = values.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    found = values.join(common, "h").groupBy("cls").agg(
+    found = values.join(common, "h").groupBy("cls", "size", "total").agg(
         F.sort_array(F.collect_list(F.struct("df", "h"))).alias("found")
     )
     # The values that no other class has come first in the order; they fill places of the prefix.
-    total = F.size("sketch")
+    total = F.col("total")
     overlap = _overlap(total, similarity)
     places = total - _least_shared(total, similarity) + overlap - (total - F.size("found"))
-    listed = classes.join(found, "cls").withColumns({"places": places.cast("int"), "overlap": overlap})
+    listed = found.withColumns({"places": places.cast("int"), "overlap": overlap})
     listed = listed.where("places >= overlap")
     listed = listed.select("cls", "size", "overlap", F.explode(F.expr("slice(found, 1, places)")).alias("x"))
     return listed.select(F.col("x.h").alias("h"), "cls", "size", "overlap")
 
 
 def _shared_lists(entries: DataFrame) -> DataFrame:
-    """The lists that still have more than one member."""
-    several = entries.groupBy("h").agg(F.count("*").alias("m")).where("m > 1")
-    return entries.join(several.select("h"), "h")
+    """The lists that still have more than one member, with their members ``m`` and the smallest rank of these."""
+    entries = entries.select("h", "cls", "size", "overlap")
+    several = entries.groupBy("h").agg(F.count("*").alias("m"), F.min(_rank("cls")).alias("first")).where("m > 1")
+    return entries.join(several, "h")
+
+
+def _rank(cls: str):
+    """The order in which classes become pivots."""
+    return F.xxhash64(cls)
 
 
 def links(classes: DataFrame, bodies, width: int, lower: bool, percent: int) -> DataFrame | None:
@@ -291,16 +299,19 @@ def links(classes: DataFrame, bodies, width: int, lower: bool, percent: int) ->
     sketches, texts, edges = None, None, None
 
     def compared(pairs: DataFrame, similarity: float) -> DataFrame:
-        """``(a, b, near)`` for the pairs whose sketches may have this similarity."""
+        """``(a, b, size, similarity, linked)`` for the pairs whose sketches may have this similarity, with the size of ``a``.
+
+        ``a`` comes first and last, so that sketch and text of ``b`` take one exchange.
+        """
         both = pairs.join(sketches.withColumnsRenamed({"cls": "a", "sketch": "sa"}), "a").join(
             sketches.withColumnsRenamed({"cls": "b", "sketch": "sb"}), "b"
         )
         both = both.where(_union_estimate_passes(similarity)).select("a", "b")
-        both = both.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a").join(
-            texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b"
+        both = both.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b").join(
+            texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a"
         )
         return _measured(both, width, lower).select(
-            "a", "b", (F.col("shared") / F.col("total")).alias("similarity"),
+            "a", "b", "size", (F.col("shared") / F.col("total")).alias("similarity"),
             (100 * F.col("shared") >= percent * F.col("total")).alias("linked"),
         )
 
@@ -313,54 +324,57 @@ def links(classes: DataFrame, bodies, width: int, lower: bool, percent: int) ->
         nonlocal edges
         edges = found if edges is None else edges.union(found)
 
+    few = None
     for turn in range(MOST_ROUNDS + 1):
-        mass = active.groupBy("h").agg(F.count("*").cast("double").alias("m")).agg(
-            F.sum("m"), F.sum(F.col("m") * (F.col("m") - 1) / 2)
-        ).first()
+        # Half the members beside each entry, summed, are the pairs.
+        mass = active.agg(F.count("*"), F.sum((F.col("m") - 1) / 2)).first()
         if not mass[0]:
             break
         if texts is None:
+            few = FEW_PAIRS * mass[0]
             # What is joined in every round: the classes with company alone, and dealt by class once.
             members = written(active.select("cls").distinct(), "members")
             sketches = written_by(classes.select("cls", "sketch").join(members, "cls", "left_semi"), "sketches", "cls")
             texts = written_by(bodies(members), "texts", "cls")
-        if mass[1] <= FEW_PAIRS * mass[0] or turn == MOST_ROUNDS:
-            other = active.select("h", F.col("cls").alias("other"), F.col("size").alias("n"), F.col("overlap").alias("o"))
+        if mass[1] <= few or turn == MOST_ROUNDS:
+            one = active.select("h", "cls", "size", "overlap")
+            other = one.select("h", F.col("cls").alias("other"), F.col("size").alias("n"), F.col("overlap").alias("o"))
             sizes = F.least("size", "n") * 100 >= F.greatest("size", "n") * percent
-            pairs = active.join(other, "h").where((F.col("cls") < F.col("other")) & sizes)
+            pairs = one.join(other, "h").where((F.col("cls") < F.col("other")) & sizes)
             pairs = often(pairs.select(F.col("cls").alias("a"), F.col("other").alias("b"), F.least("overlap", "o").alias("o")))
             add(written(compared(pairs, least).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")), "links"))
             break
-        ranked = active.withColumn("rank", F.xxhash64("cls"))
-        first = ranked.groupBy("h").agg(F.min("rank").alias("first"))
-        pivots = ranked.join(first, "h").groupBy("cls").agg(F.max(F.col("rank") != F.col("first")).alias("later"))
         pivots = written(
-            pivots.where("not later").select(F.col("cls").alias("pivot")), "pivots"
+            active.groupBy("cls").agg(
+                F.max(_rank("cls") != F.col("first")).alias("later"), F.min("size").alias("size"), F.min("overlap").alias("o")
+            ).where("not later").select(F.col("cls").alias("pivot"), _rank("cls").alias("first"), "size", "o"),
+            "pivots",
         )
-        heads = active.join(pivots, active.cls == pivots.pivot).select("h", "pivot", F.col("overlap").alias("o"))
-        pairs = heads.join(active.select("h", "cls", "overlap"), "h").where("cls <> pivot")
-        pairs = often(pairs.select(F.col("cls").alias("a"), F.col("pivot").alias("b"), F.least("overlap", "o").alias("o")))
-        near = compared(pairs, 1 - CORE).where(F.col("similarity") >= 1 - CORE)
+        # A list names one pivot at most, by its rank, so a class has no more rows here than lists.
+        pairs = active.join(pivots.select("first", "pivot", "o"), "first").where("cls <> pivot")
+        pairs = pairs.select(F.col("cls").alias("a"), F.col("pivot").alias("b"), F.least("overlap", "o").alias("o"))
+        near = compared(often(pairs.repartition("a")), 1 - CORE).where(F.col("similarity") >= 1 - CORE)
         core = near.groupBy(F.col("a").alias("cls")).agg(
-            F.max(F.struct("similarity", "b", "linked")).alias("x")
-        ).select("cls", F.col("x.b").alias("pivot"), F.col("x.linked").alias("linked"))
+            F.max(F.struct("similarity", "b", "linked", "size")).alias("x")
+        ).select("cls", F.col("x.b").alias("pivot"), F.col("x.linked").alias("linked"), F.col("x.size").alias("size"))
         core = core.join(pivots, F.col("cls") == pivots.pivot, "left_anti").union(
-            pivots.select(F.col("pivot").alias("cls"), "pivot", F.lit(True).alias("linked"))
+            pivots.select(F.col("pivot").alias("cls"), "pivot", F.lit(True).alias("linked"), "size")
         )
         core = written(core, "core")
         add(core.where("linked and cls <> pivot").select(F.col("cls").alias("u"), F.col("pivot").alias("v")))
         # A class linked to a core member has the lists in common with it, hence with the core.
         reached = active.join(core.select("cls", "pivot"), "cls").groupBy("h", "pivot").agg(F.min("overlap").alias("o"))
         reached = reached.join(active.select("h", "cls", "overlap"), "h")
-        reached = often(reached.select(F.col("cls").alias("a"), F.col("pivot").alias("b"), F.least("overlap", "o").alias("o")))
-        reached = reached.join(core.select(F.col("cls").alias("a"), F.col("pivot").alias("b")), ["a", "b"], "left_anti")
+        reached = reached.select(F.col("cls").alias("a"), F.col("pivot").alias("b"), F.least("overlap", "o").alias("o"))
+        # All members of a list have its pivots in common, so no class has many more rows than the others.
+        reached = often(reached.repartition("a")).join(core.select(F.col("cls").alias("a"), F.col("pivot").alias("own")), "a", "left")
+        reached = reached.where("own is null or own <> b").select("a", "b")
         within = least - CORE
         reached = compared(reached, max(within, 0.0)).where(F.col("similarity") >= within - 1e-9)
-        reached = written(reached.select(F.col("a").alias("cls"), F.col("b").alias("pivot"), "linked"), "reached")
+        reached = written(reached.select(F.col("a").alias("cls"), F.col("b").alias("pivot"), "linked", "size"), "reached")
         add(reached.where("linked").select(F.col("cls").alias("u"), F.col("pivot").alias("v")))
-        sizes = classes.select("cls", "size")
-        rest = reached.union(core).where("not linked").select("cls", "pivot").join(sizes, "cls")
-        add(written(_block_links(rest, core.join(sizes, "cls"), texts, width, lower, percent), "links"))
+        rest = reached.unionByName(core).where("not linked").select("cls", "pivot", "size")
+        add(written(_block_links(rest, core, texts, width, lower, percent), "links"))
         active = written(_shared_lists(active.join(core.select("cls"), "cls", "left_anti")), "lists")
     return edges
 

@@ -118,6 +118,14 @@ def test_near_duplicates_of_nothing(spark, docs):
     assert near_duplicates(docs.where("doc_id < 0")).count() == 0
 
 
+def test_components_stop_at_stars(spark, monkeypatch):
+    made = []
+    monkeypatch.setitem(components.__globals__, "written", lambda df, name: made.append(name) or df)
+    edges = spark.createDataFrame([(5, 1), (1, 7), (9, 2), (4, 4)], "u long, v long")
+    assert dict(rows_of(components(edges))) == {1: 1, 5: 1, 7: 1, 2: 2, 9: 2, 4: 4}
+    assert len(made) == 1  # no round was needed
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 2), (9, 9), (7, 5), (5, 6), (8, 6), (None, 1)] + [(k, k + 1) for k in range(20, 60)]
     out = dict(rows_of(components(spark.createDataFrame(edges, "u long, v long"))))
