@@ -17,12 +17,17 @@ from pyspark.sql import functions as F
 from facilitymetrics.functions.rowwise import safe_ratio
 from facilitymetrics.functions.timeops import month_start, parse_workday
 from facilitymetrics.schemas import CCN
+from facilitymetrics.sources.sizing import MIB, input_bytes, partitions_for
 
 FACILITY = (CCN, "provider_name")
 FACILITY_STATE = FACILITY + ("state",)
 SUMMARY_KEYS = FACILITY_STATE + ("CY_Qtr", "month")
 HOURS = "Total_Nurse_Hrs"
 MEASURES = (HOURS, "hour_days", "record_count", "employee_hrs", "contractor_hrs")
+# Bytes of the plan's estimate of two summaries for each task that adds them up.
+MERGE_BYTES = 16 * MIB
+# Such tasks, unless the session asks for more; estimates from which on the size is taken as unknown.
+MOST_PARTS, UNKNOWN_BYTES = 10_000, 1 << 50
 
 
 @dataclass(frozen=True)
@@ -83,10 +88,21 @@ def with_quarters_replaced(
     return summary.where(~touched).unionByName(fresh)
 
 
+def _merge_parts(*summaries: DataFrame) -> int:
+    configured = int(summaries[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = input_bytes(*summaries)
+    if size >= UNKNOWN_BYTES:
+        return configured
+    return min(partitions_for(size, 1, MERGE_BYTES), max(configured, MOST_PARTS))
+
+
 def with_rows_added(summary: DataFrame, added: DataFrame) -> DataFrame:
     """The summary after further staffing rows, given by their own summary: measures add up group by group."""
+    # Dealt anew into parts by size: merged where they were made, a task would hold the groups of both and the sums at once.
+    parts = _merge_parts(summary, added)
     return (
-        summary.unionByName(added)
+        summary.repartition(parts, *SUMMARY_KEYS)
+        .unionByName(added.repartition(parts, *SUMMARY_KEYS))
         .groupBy(*SUMMARY_KEYS)
         .agg(*[F.sum(measure).alias(measure) for measure in MEASURES])
     )

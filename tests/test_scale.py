@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from facilitymetrics.operators.joins import of_selected
 from facilitymetrics.operators.select import FacilityFilter
-from facilitymetrics.plans import occupancy, rollups, staffing
+from facilitymetrics.plans import occupancy, rollups, staffing, summary
 from facilitymetrics.plans.facility_staffing import facility_staffing
 from facilitymetrics.schemas import CCN
 from facilitymetrics.sources.sizing import input_bytes, partitions_for, sized_tasks
@@ -232,3 +232,16 @@ def test_task_counts_are_restored(spark, stored):
 def test_input_size_is_known_without_reading(stored):
     days, facilities = stored
     assert input_bytes(days) > input_bytes(facilities) > 0
+
+
+def test_summaries_are_added_in_parts(spark):
+    """Sums merged where both summaries are made would hold the groups of three aggregates in one task."""
+    schema = f"`{CCN}` string, provider_name string, state string, WorkDate int, CY_Qtr string, " \
+        "Total_Nurse_Hrs double, employee_hrs double, contractor_hrs double"
+    days = spark.createDataFrame([_day(i) for i in range(300)], schema)
+    first = F.coalesce(F.col("Total_Nurse_Hrs") % 2 == 0, F.lit(False))
+    parts = [summary.staffing_summary(days.where(own)) for own in (first, ~first)]
+    added = summary.with_rows_added(*parts)
+    assert added._jdf.queryExecution().toString().count("REPARTITION_BY_NUM") == 2
+    expected = summary.staffing_summary(days)
+    assert added.exceptAll(expected).count() == 0 == expected.exceptAll(added).count()
