@@ -91,9 +91,10 @@ def with_quarters_replaced(
 def _merge_parts(*summaries: DataFrame) -> int:
     configured = int(summaries[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
     size = input_bytes(*summaries)
-    if size >= UNKNOWN_BYTES:
-        return configured
-    return min(partitions_for(size, 1, MERGE_BYTES), max(configured, MOST_PARTS))
+    known = size < UNKNOWN_BYTES
+    parts = min(partitions_for(size, 1, MERGE_BYTES), max(configured, MOST_PARTS)) if known else configured
+    # As many parts as the summaries were made in are no parts of their own to Spark.
+    return parts + 1 if parts == configured else parts
 
 
 def with_rows_added(summary: DataFrame, added: DataFrame) -> DataFrame:
