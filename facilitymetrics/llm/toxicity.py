@@ -38,7 +38,9 @@ NEAREST = 15
 PRIOR = 0.5
 THRESHOLD = 0.3
 BLOCK = 64
-_CACHED = 400_000
+# Rows that a worker makes Python objects of at a time, and words it remembers the features of.
+ROWS = 256
+_CACHED = 100_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -61,8 +63,15 @@ def text_words(text: str | None) -> Counter:
     return Counter(_WORD.findall(text.lower())) if text else Counter()
 
 
-def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, ``ROWS`` at a time, so that a worker's memory does not depend on the batches."""
     for batch in batches:
+        for begin in range(0, batch.num_rows, ROWS):
+            yield batch.slice(begin, ROWS)
+
+
+def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _parts(batches):
         seen: tuple[Counter, Counter] = (Counter(), Counter())
         for text, toxic, copies in zip(*(batch.column(k).to_pylist() for k in range(3))):
             own: Counter = Counter()
@@ -184,7 +193,7 @@ class BlockMaxIndex:
 def _document_counts(lookup, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, n, total = Lookup(lookup.value), np.zeros(size, np.int64), 0
-        for batch in batches:
+        for batch in _parts(batches):
             for text in batch.column(0).to_pylist():
                 for k in find.vector(text):
                     n[k] += 1
@@ -238,7 +247,7 @@ def toxicity_scores(
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = Lookup(shared.value)
-        for batch in batches:
+        for batch in _parts(batches):
             yield pa.RecordBatch.from_arrays([
                 pa.array([find.vector(x) for x in batch.column(0).to_pylist()], pa.list_(pa.int64())),
                 batch.column(1).cast(pa.int64()),
@@ -269,7 +278,7 @@ def toxicity_scores(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, own, cache = Lookup(shared.value), index.value, {}
-        for batch in batches:
+        for batch in _parts(batches):
             found = []
             for text in batch.column(at).to_pylist():
                 query = find.vector(text)
