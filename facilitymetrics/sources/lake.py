@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,6 +15,12 @@ from facilitymetrics.schemas import CURATED
 from facilitymetrics.sources.conform import conform
 
 
+# Partition values that a task writes side by side.  As rows come together by value, nearly all tasks have fewer, and
+# need no sort of whole rows before the write; Spark sorts what comes beyond.
+OPEN_FILES = 8
+_OPEN_KEY = "spark.sql.maxConcurrentOutputFileWriters"
+
+
 @dataclass(frozen=True)
 class Lake:
     """Root directory of each layer; a dataset is one directory below a root."""
@@ -87,6 +94,17 @@ def read_curated(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
     return conform(read_parquet(spark, lake.curated_path(dataset)), CURATED[dataset])
 
 
+@contextmanager
+def _files_side_by_side(spark: SparkSession) -> Iterator[None]:
+    """Partitioned writes inside keep some files open instead of sorting; a number set by the session stays."""
+    configured = int(spark.conf.get(_OPEN_KEY))
+    spark.conf.set(_OPEN_KEY, str(configured or OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(_OPEN_KEY, str(configured))
+
+
 def write_parquet(
     df: DataFrame,
     path: str,
@@ -111,7 +129,8 @@ def write_parquet(
         writer = writer.partitionBy(*partition_by).option(
             "partitionOverwriteMode", "dynamic" if touched_partitions_only else "static"
         )
-    writer.parquet(path)
+    with _files_side_by_side(df.sparkSession):
+        writer.parquet(path)
     return counted.get["rows"]
 
 
