@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from facilitymetrics.operators.aggs import deduplicated
 
 SAMPLED_PER_TASK = 20
+# Rows of a task on average at most, since deduplication holds all of them; there are as many tasks as that takes.
+ROWS_PER_TASK = 250_000
 # Directories of a partitioned table; beyond that many the sizes of partition values are not worth a broadcast.
 MOST_VALUES = 10_000
 _BUCKET, _BUCKETS, _HASH = "_row_bucket", "_row_buckets", "_row_hash"
@@ -43,8 +45,8 @@ def clustered_distinct(
     given, has the same rows and takes the place of ``df`` in the one full pass.
     """
     spark = df.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = df.count()  # from the footers of Parquet files
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // ROWS_PER_TASK))
     if not total:
         return deduplicated(df)
     row_hash = F.xxhash64(*df.columns)
@@ -69,7 +71,8 @@ def clustered_distinct(
         .withColumn(_BUCKET, F.pmod(F.col(_HASH), F.coalesce(_BUCKETS, F.lit(1))))
         .select(*df.columns, _BUCKET)
     )
-    distinct = rows.repartition(*partition_by, _BUCKET).dropDuplicates().drop(_BUCKET)
+    # With a number, as adaptive execution would merge tasks by compressed size, several times less than they hold in memory.
+    distinct = rows.repartition(tasks, *partition_by, _BUCKET).dropDuplicates().drop(_BUCKET)
     if hot is None:
         return distinct
     copies = df.withColumn(_HASH, row_hash).join(F.broadcast(hot), _HASH, "left_semi").select(*df.columns)

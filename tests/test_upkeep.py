@@ -331,3 +331,14 @@ def test_a_narrow_selection_shuffles_its_own_rows(spark, tmp_path, missing):
     assert (None in ids) == missing
     # 1% of the known ids; with a missing id in the selection also the third of rows without one.
     assert expected <= max(shuffled) <= expected + 100
+
+
+def test_deduplicating_tasks_grow_in_number_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(clustering, "ROWS_PER_TASK", 50)
+    table = spark.range(0, 1000, 1, 3).selectExpr("id", "id % 3 AS part")
+    table = table.union(table.where("id < 100"))
+    found = clustering.clustered_distinct(table, ["part"])
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    # More than the session's 4 shuffle partitions.
+    assert sum(sizes) == 1000 and len(sizes) > 8 and max(sizes) < 300
+    assert sorted(r["id"] for r in found.collect()) == list(range(1000))
